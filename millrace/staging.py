@@ -29,12 +29,16 @@ def shared_dir(spark: SparkSession) -> str:
     )
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """Unused path below the shared folder."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/{application}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str, *, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a table once and return a reader of it."""
     spark = df.sparkSession
-    path = "/".join(
-        [shared_dir(spark), spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}"]
-    )
+    path = new_path(spark, name)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
