@@ -128,10 +128,10 @@ WHITESPACE_CHARS = (
 WHITESPACE_CLASS = (
     r"[\t\n\x0B\x0C\r\x1C-\x20\x85\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 )
-# Line boundaries of Python's ``str.splitlines``.
-LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
-# The same without a lone line feed.
-FOREIGN_LINE_BREAK = r"\r\n|[\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
+# Line boundaries of Python's ``str.splitlines``, apart from CR LF, which is one boundary.
+LINE_BREAK = r"[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
+# The same without the line feed.
+FOREIGN_LINE_BREAK = r"[\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
 # Runs that whitespace normalisation replaces by one space.
 HORIZONTAL_RUN = r"[\t\x0B\x0C\r]+"
 # Three or more line feeds shrink to two.

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.sources.tables import spread_small
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -48,7 +50,8 @@ def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     for old, new in ((", ", ",\t"), (".\n", ".\r\n\n\n\n"), (" the ", "  the ")):
         text = F.replace(text, F.lit(old), F.lit(new))
-    return table(spark, sf_dir, "documents").select("doc_id", text.alias("content"))
+    documents = spread_small(table(spark, sf_dir, "documents"), ["doc_id"])
+    return documents.select("doc_id", text.alias("content"))
 
 
 # --- sources: those of the documents, every third one with a language focus ----------

@@ -26,9 +26,8 @@ SMALL_FILE = 2048
 
 
 def file_records(spark, sf_dir):
-    files = inputs.files(spark, sf_dir)
     raw = tables.raw_records(
-        files,
+        tables.spread_small(inputs.files(spark, sf_dir), FILE_ORDER),
         source_ord=F.col("source_ord"), source_name=F.col("source_name"),
         relative_path=F.col("relative_path"), text=F.col("text"),
     )
@@ -185,7 +184,7 @@ def chunks_sql(source: str, size: int, overlap: int, content: str = "content", k
 
 
 def _chunked(spark, sf_dir, size, overlap):
-    documents = inputs.table(spark, sf_dir, "documents")
+    documents = tables.spread_small(inputs.table(spark, sf_dir, "documents"), ["doc_id"])
     return chunking.chunk_lines(
         documents.select("doc_id", F.col("text").alias("content")), ChunkOptions(size, overlap)
     )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions import paths, text
 
-RECORD_COLUMNS = (
-    "source_ord", "source_name", "relative_path", "content", "language", "file_hash", "size",
-)
+# Input bytes that are worth a task of their own.
+_SPLIT_BYTES = 16 << 20
 
 
 def raw_records(
@@ -30,6 +31,20 @@ def raw_records(
     )
 
 
+def spread_small(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Spread a small table over all cores.
+
+    A small file often is a single row group, which one task reads and then would also
+    process alone. A table with enough bytes for all cores is left as it is.
+    """
+    spark = table.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    estimate = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(estimate)) >= cores * _SPLIT_BYTES:
+        return table
+    return table.repartition(cores, *keys)
+
+
 def to_records(raw: DataFrame) -> DataFrame:
     """File records from raw ones: binary files go, text is decoded, hashed and tagged.
 
