@@ -8,6 +8,7 @@ as one row per map task. The wide rows are then filtered, never grouped.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,42 +29,66 @@ def survivors(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFr
     return firsts.select(*[F.col(f"_first.{name}").alias(name) for name in order])
 
 
+@dataclass(frozen=True)
+class Repeats:
+    """Keys that occur more than once, each with the order key of its first row."""
+
+    table: DataFrame
+    found: int
+    limit: int
+
+    @property
+    def fit_broadcast(self) -> bool:
+        return self.found <= self.limit
+
+
+def find_repeats(
+    rows: DataFrame, key: Sequence[str], order: Sequence[str], limit: int | None = None
+) -> Repeats:
+    """Aggregate, write and count the repeated keys: one row per key however often it
+    occurs."""
+    table = stage(
+        rows.groupBy(*key)
+        .agg(first_order(order).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+        .filter(F.col("_copies") > 1)
+        .drop("_copies"),
+        "repeated-keys",
+    )
+    return Repeats(table, table.count(), BROADCAST_ROWS if limit is None else limit)
+
+
 def keep_first(
     df: DataFrame,
     key: Sequence[str],
     order: Sequence[str],
     *,
+    rows: DataFrame | None = None,
+    repeats: Repeats | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """Keep the first row of each ``key`` in the total order ``order``.
 
-    ``order`` must identify a row. The repeated keys are found first and written,
-    one row per key however often it occurs. Then, by their number:
+    ``order`` identifies a row. When ``df`` has several rows per order key, such as the
+    chunks of a file, ``rows`` gives one row for each of them. The repeated keys decide:
 
     * none: every row survives;
     * within the broadcast bound: each row looks up the first row of its key, and
       the wide side is not shuffled;
-    * beyond it: semi join with the survivors on the order key. That key is unique, so
-      no partition is hot, and the narrow side is the hashed one.
+    * beyond it: semi join with the survivors on the order key. That key is not shared
+      by copies, so no partition is hot, and the narrow side is the hashed one.
     """
-    repeated = stage(
-        df.groupBy(*key)
-        .agg(first_order(order).alias("_first"), F.count(F.lit(1)).alias("_copies"))
-        .filter(F.col("_copies") > 1)
-        .drop("_copies"),
-        "repeated-keys",
-    )
-    found = repeated.count()
-    if found == 0:
+    narrow = df if rows is None else rows
+    repeats = repeats or find_repeats(narrow, key, order, limit)
+    if repeats.found == 0:
         return df
-    if found <= (BROADCAST_ROWS if limit is None else limit):
+    if repeats.fit_broadcast:
         own = F.col(order[0]) if len(order) == 1 else F.struct(*order)
         return (
-            df.join(F.broadcast(repeated), list(key), "left")
+            df.join(F.broadcast(repeats.table), list(key), "left")
             .filter(F.col("_first").isNull() | (F.col("_first") == own))
             .select(*df.columns)
         )
-    return semi_join_survivors(df, survivors(df, key, order), order)
+    return semi_join_survivors(df, survivors(narrow, key, order), order)
 
 
 def semi_join_survivors(df: DataFrame, first: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -16,16 +16,21 @@ COUNTERS = (
 )
 
 
-def run_counters(scanned: DataFrame, outcome: DataFrame, emitted: DataFrame) -> DataFrame:
+def file_rows(outcome: DataFrame) -> DataFrame:
+    """One row per file: its first chunk, or its only row when it gave no chunk."""
+    return outcome.filter(F.coalesce(F.col("start_line"), F.lit(1)) == 1)
+
+
+def run_counters(outcome: DataFrame, unique: DataFrame, emitted: DataFrame) -> DataFrame:
     """The seven counters as one row.
 
-    ``scanned``: a row per file record. ``outcome``: the rows of files that were not
-    duplicates, with ``passed`` and, per chunk, ``start_line``; a file without chunks has
-    one row with a null ``start_line``. ``emitted``: a row per surviving chunk.
+    ``outcome`` has a row per chunk of every file, with ``passed``, and one row with a null
+    ``start_line`` for a file without chunks. ``unique`` is the part of it from files that
+    are not duplicates, ``emitted`` the chunks that survive.
     """
     first_row = F.coalesce(F.col("start_line"), F.lit(1)) == 1
-    files = scanned.agg(F.count(F.lit(1)).alias("files_scanned"))
-    chunks = outcome.agg(
+    files = file_rows(outcome).agg(F.count(F.lit(1)).alias("files_scanned"))
+    chunks = unique.agg(
         F.count_if(F.col("passed") & first_row).alias("files_emitted"),
         F.count_if(~F.col("passed")).alias("files_filtered"),
         F.count("start_line").alias("chunks_generated"),
@@ -50,9 +55,9 @@ def language_distribution(emitted: DataFrame) -> DataFrame:
     return emitted.groupBy("language").agg(F.count(F.lit(1)).alias("chunks"))
 
 
-def source_file_counts(scanned: DataFrame) -> DataFrame:
+def source_file_counts(files: DataFrame) -> DataFrame:
     """Scanned files per source name; sources that share a name are added up."""
-    return scanned.groupBy("source_name").agg(F.count(F.lit(1)).alias("files"))
+    return files.groupBy("source_name").agg(F.count(F.lit(1)).alias("files"))
 
 
 def _sorted_map(counts: DataFrame, key: str, value: str, name: str) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.config import JobConfig
 from millrace.operators import chunking, commands, filters, metadata, stats
-from millrace.operators.dedup import keep_first
+from millrace.operators.dedup import (
+    find_repeats, keep_first, semi_join_survivors, survivors,
+)
 from millrace.operators.split import hash_split, sequence_split
 from millrace.sinks import writers
 from millrace.sources import scan
@@ -23,21 +25,25 @@ CHUNK_ORDER = (*FILE_ORDER, "start_line")
 
 @dataclass(frozen=True)
 class Built:
-    """Tables of a build. ``outcome`` has the rows of all files that were not duplicates:
-    one per chunk, or one without chunk columns for files that give no chunk."""
+    """Tables of a build. ``outcome`` has the rows of all files: one per chunk, or one
+    without chunk columns for a file that gives no chunk. ``unique`` is the part of it from
+    files that are not duplicates."""
 
-    scanned: DataFrame
     outcome: DataFrame
+    unique: DataFrame
     emitted: DataFrame
 
+    def scanned(self) -> DataFrame:
+        return stats.file_rows(self.outcome)
+
     def counters(self) -> DataFrame:
-        return stats.run_counters(self.scanned, self.outcome, self.emitted)
+        return stats.run_counters(self.outcome, self.unique, self.emitted)
 
     def document(self) -> DataFrame:
         return stats.stats_document(
             self.counters(),
             stats.language_distribution(self.emitted),
-            stats.source_file_counts(self.scanned),
+            stats.source_file_counts(self.scanned()),
         )
 
 
@@ -61,22 +67,36 @@ def chunk_outcome(records: DataFrame, config: JobConfig) -> DataFrame:
     )
 
 
-def build_chunks(records: DataFrame, config: JobConfig, *, staged: bool = False) -> Built:
+def build_chunks(records: DataFrame, config: JobConfig, *, limit: int | None = None) -> Built:
     """Emitted chunks of file records that are already filtered by source language.
 
-    The text is written twice: as records, unless they come from a table that is cheap to
-    read again (``staged``), and as chunks. In between, deduplication shuffles hashes and
-    order keys only, as long as the repeated hashes fit a broadcast.
+    The text is read, normalised, chunked and written in one pass without a shuffle.
+    Both deduplications and all statistics then work on the narrow columns of that
+    table. Chunking before the file deduplication gives the same result, because equal
+    files have equal chunks; it costs the chunks of copies and saves a pass over all text.
+    ``limit`` is the broadcast bound of the deduplications.
     """
-    scanned = records if staged else stage(records, "records")
     quality = config.quality
-    unique = keep_first(scanned, ["file_hash"], FILE_ORDER) if quality.deduplicate_files else scanned
-    outcome = stage(chunk_outcome(unique, config), "chunks", partition_by=["split"])
-    chunks = outcome.filter(F.col("start_line").isNotNull())
-    emitted = keep_first(chunks, ["chunk_hash"], CHUNK_ORDER) if quality.deduplicate_chunks else chunks
+    outcome = stage(chunk_outcome(records, config), "chunks", partition_by=["split"])
+    is_chunk = F.col("start_line").isNotNull()
+    unique, emitted = outcome, outcome.filter(is_chunk)
+    moved = False
+    if quality.deduplicate_files:
+        files = stats.file_rows(outcome)
+        repeats = find_repeats(files, ["file_hash"], FILE_ORDER, limit)
+        unique = keep_first(outcome, ["file_hash"], FILE_ORDER, rows=files, repeats=repeats)
+        emitted = unique.filter(is_chunk)
+        moved = not repeats.fit_broadcast
+    if quality.deduplicate_chunks and moved:
+        # The surviving chunks, found on narrow columns, also leave out the copies of
+        # files: one shuffle of the text instead of two.
+        first = survivors(emitted, ["chunk_hash"], CHUNK_ORDER)
+        emitted = semi_join_survivors(outcome.filter(is_chunk), first, CHUNK_ORDER)
+    elif quality.deduplicate_chunks:
+        emitted = keep_first(emitted, ["chunk_hash"], CHUNK_ORDER, limit=limit)
     if config.dataset.split_method == "sequence":
         emitted = _with_sequence_split(emitted, config)
-    return Built(scanned, outcome, emitted)
+    return Built(outcome, unique, emitted)
 
 
 def _with_sequence_split(emitted: DataFrame, config: JobConfig) -> DataFrame:

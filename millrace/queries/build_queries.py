@@ -48,7 +48,7 @@ def _built(spark, sf_dir):
     records = filters.filter_source_language(
         file_records(spark, sf_dir), inputs.sources(spark, sf_dir)
     )
-    return build_chunks(records, CONFIG, staged=True)
+    return build_chunks(records, CONFIG)
 
 
 @query("build_dataset", f"""WITH {BUILD_SQL} SELECT source_ord, relative_path, language, file_hash,
@@ -92,7 +92,7 @@ def language_distribution(spark, sf_dir):
 @query("source_file_counts",
        f"WITH {BUILD_SQL} SELECT source_name, count(*) AS files FROM scanned GROUP BY source_name")
 def source_file_counts(spark, sf_dir):
-    return stats.source_file_counts(_built(spark, sf_dir).scanned)
+    return stats.source_file_counts(_built(spark, sf_dir).scanned())
 
 
 @query("stats_document", f"""WITH {COUNTERS_SQL},

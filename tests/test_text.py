@@ -1,0 +1,143 @@
+"""Column functions against plain Python on random strings."""
+
+import fnmatch
+import random
+from pathlib import PurePosixPath
+
+import pytest
+from pyspark.sql import functions as F
+
+import rules
+from millrace.config import ChunkOptions
+from millrace.functions import fixed, paths, text
+from millrace.operators import chunking, commands
+
+TEXTS = rules.random_texts(1500, rules.CHARACTERS, 25, seed=7) + ["", "\n", "\r\n", "a\r\r\nb\n\r"]
+
+
+def apply(spark, values, column, kind="string"):
+    """Evaluate a column over values, in their order."""
+    rows = spark.createDataFrame(list(enumerate(values)), f"i int, v {kind}")
+    return [r[0] for r in rows.select("i", column.alias("out")).orderBy("i").select("out").collect()]
+
+
+RULES = {
+    "strip": (lambda: text.strip_text("v"), str.strip),
+    "white space": (lambda: text.normalize_whitespace("v"),
+                    lambda s: rules.normalised(s, True, False, None)),
+    "blank lines": (lambda: text.collapse_blank_lines(text.strip_text("v")),
+                    lambda s: rules.normalised(s, False, True, None)),
+    "truncate": (lambda: text.truncate_lines("v", 3), lambda s: rules.truncated(s, 3)),
+    "split lines": (lambda: text.split_lines("v"), str.splitlines),
+    "lines": (lambda: text.piece_count(text.line_pieces("v")), lambda s: len(s.splitlines())),
+    "line count": (lambda: text.line_count("v"), lambda s: s.count("\n") + 1 if s else 0),
+    "command": (lambda: text.collapse_command("v"), lambda s: " ".join(s.split())),
+    "slug": (lambda: text.slugify("v"), lambda s: rules.slug(s, "commands")),
+    "source slug": (lambda: text.slugify("v", "source"), lambda s: rules.slug(s, "source")),
+    "length": (lambda: F.length("v"), len),
+}
+
+
+@pytest.mark.parametrize("name", RULES)
+def test_text_rule(spark, name):
+    column, rule = RULES[name]
+    assert apply(spark, TEXTS, column()) == [rule(t) for t in TEXTS]
+
+
+@pytest.mark.parametrize("whitespace", [True, False])
+@pytest.mark.parametrize("strip", [True, False])
+@pytest.mark.parametrize("width", [None, 0, 1, 4])
+def test_normalise_content(spark, whitespace, strip, width):
+    column = text.normalise_content(
+        "v", whitespace=whitespace, strip_empty_lines=strip, max_line_length=width
+    )
+    assert apply(spark, TEXTS, column) == [
+        rules.normalised(t, whitespace, strip, width) for t in TEXTS
+    ]
+
+
+def test_bytes(spark):
+    rng = random.Random(3)
+    pieces = [bytes([b]) for b in range(256)] + [
+        "é".encode(), "😀".encode(), b"\xed\xa0\x80", b"\xc0\xaf", b"\xef\xbb\xbf", b"abc",
+    ]
+    data = [bytes([b]) for b in range(256)] + [
+        b"".join(rng.choices(pieces, k=rng.randint(0, 6))) for _ in range(1500)
+    ]
+    assert apply(spark, data, text.is_binary("v"), "binary") == [rules.looks_binary(d) for d in data]
+    assert apply(spark, data, text.decode_text("v"), "binary") == [rules.decoded(d) for d in data]
+
+
+def test_commands(spark):
+    lines = rules.random_texts(3000, rules.COMMAND_TOKENS, 5, seed=11)
+    frame = spark.createDataFrame(
+        [(0, "f", i, line) for i, line in enumerate(lines)],
+        "source_ord int, path string, line_no bigint, line string",
+    )
+    found = commands.command_lines(frame, fixed.DEFAULT_SHELLS).collect()
+    shells = set(fixed.DEFAULT_SHELLS)
+    want = {i: c for i, line in enumerate(lines) if (c := rules.command_of(line, shells))}
+    assert {r.line_no: r.command for r in found} == want
+
+
+@pytest.mark.parametrize("size, overlap", [(4, 1), (3, 0), (7, 6), (1, 0), (2048, 200)])
+@pytest.mark.parametrize("unix_only", [False, True])
+def test_chunk_lines(spark, size, overlap, unix_only):
+    texts = TEXTS
+    if unix_only:
+        texts = [rules.truncated(t, 50) for t in TEXTS]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, content string")
+    chunks = chunking.chunk_lines(frame, ChunkOptions(size, overlap), unix_only=unix_only)
+    got = sorted((r.i, r.start_line, r.end_line, r.content) for r in chunks.collect())
+    assert got == sorted((i, *w) for i, t in enumerate(texts) for w in rules.windows(t, size, overlap))
+
+
+def test_chunk_lines_keep_empty(spark):
+    frame = spark.createDataFrame([(0, ""), (1, "a\nb")], "i int, content string")
+    rows = chunking.chunk_lines(frame, ChunkOptions(1, 0), keep_empty=True).orderBy("i", "start_line")
+    assert [tuple(r) for r in rows.collect()] == [
+        (0, None, None, None), (1, 1, 1, "a"), (1, 2, 2, "b"),
+    ]
+
+
+NAMES = [
+    "a.py", "a.PY", "Makefile", ".gitignore", "a.", "..a", "a..py", ".a.b", "b.tar.gz", "x.y.",
+    "sp ace.Js", "new\nline.md", "é.TXT", "...", "a.b c",
+]
+
+
+def test_extension(spark):
+    files = ["d.x/" + n for n in NAMES] + NAMES
+    want = [PurePosixPath(f).suffix.lower() for f in files]
+    assert apply(spark, files, paths.extension("v")) == want
+    languages = [fixed.LANGUAGE_BY_EXTENSION.get(e, "unknown") for e in want]
+    assert apply(spark, files, paths.detect_language("v")) == languages
+
+
+def test_globs(spark):
+    rng = random.Random(5)
+    alphabet = ["*", "?", "[", "]", "!", "-", "a", "b", "C", ".", "/", "&&", "^", "\\", "[a-c]", "[!b]"]
+    patterns = ["".join(rng.choices(alphabet, k=rng.randint(1, 6))) for _ in range(250)]
+    patterns += ["*.sh", "*history.txt", "[[]x", "[]]", "[!]]", "[b-a]", "[a-]", "[^a]", "a&&b"]
+    names = ["/R/a.sh", "/r/my_History.txt", "/r/[x", "/r/]", "/r/a", "/r/b/c", "/r/-", "/r/a&&b", "/r/^"]
+    names += ["/" + "".join(rng.choices("abc./^]&-\\", k=rng.randint(1, 4))) for _ in range(150)]
+
+    def wanted(name, pattern):
+        name, pattern = name.lower(), pattern.lower()
+        return any(
+            fnmatch.fnmatchcase(n, pattern) for n in (name, name.rsplit("/", 1)[-1])
+        )
+
+    frame = spark.createDataFrame([(n,) for n in names], "v string")
+    for begin in range(0, len(patterns), 40):
+        block = patterns[begin : begin + 40]
+        columns = [paths.matches_globs("v", [p]).alias(f"m{i}") for i, p in enumerate(block)]
+        for row in frame.select("v", *columns).collect():
+            for i, pattern in enumerate(block):
+                assert row[i + 1] == wanted(row.v, pattern), (row.v, pattern)
+
+
+def test_directories(spark):
+    files = ["vendor/a", "a/vendor/b", "vendor", "avendor/b", "a/vendor2/b", ".git/x", "xgit/x"]
+    got = apply(spark, files, paths.inside_directory("v", fixed.DEFAULT_EXCLUDE_DIRS))
+    assert got == [True, True, False, False, False, True, False]
