@@ -128,15 +128,22 @@ WHITESPACE_CHARS = (
 WHITESPACE_CLASS = (
     r"[\t\n\x0B\x0C\r\x1C-\x20\x85\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 )
+# Classes are written out character by character: Java scans a class of single Latin-1
+# characters with one table lookup, and a class with ranges several times slower.
 # Line boundaries of Python's ``str.splitlines``, apart from CR LF, which is one boundary.
-LINE_BREAK = r"[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
-# The same without the line feed.
-FOREIGN_LINE_BREAK = r"[\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
+LINE_BREAK = r"[\n\r\x0B\x0C\x1C\x1D\x1E\x85\u2028\u2029]"
+# The same without the line feed, as a class and as characters.
+FOREIGN_LINE_BREAK = r"[\r\x0B\x0C\x1C\x1D\x1E\x85\u2028\u2029]"
+FOREIGN_LINE_BREAK_CHARS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 # Runs that whitespace normalisation replaces by one space.
 HORIZONTAL_RUN = r"[\t\x0B\x0C\r]+"
+HORIZONTAL_CHARS = "\t\x0b\x0c\r"
 # Three or more line feeds shrink to two.
-BLANK_LINES_RUN = r"\n{3,}"
-# Bytes that make a file binary, on a Latin-1 view of the bytes.
-BINARY_BYTES = r"[\x00-\x06\x0B\x0E-\x1A\x1C-\x1F]"
+BLANK_LINES_RUN = r"\n\n\n+"
+# Bytes that make a file binary.
+BINARY_BYTES = (
+    r"[\x00\x01\x02\x03\x04\x05\x06\x0B\x0E\x0F\x10\x11\x12\x13\x14\x15\x16\x17\x18\x19\x1A"
+    r"\x1C\x1D\x1E\x1F]"
+)
 # A suffix needs at least one character before its dot and after it.
 SUFFIX = r"(?s)^.+(\.[^.]+)\z"

@@ -7,6 +7,9 @@ higher-order functions, so that they fuse with the scan or shuffle around them.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from millrace.functions import fixed
@@ -18,10 +21,24 @@ def _col(value: ColumnOrName) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _holds_any(content: Column, markers: Iterable[str]) -> Column:
+    """True when a text holds one of the markers. This is a search on bytes, which costs
+    a small part of a regular expression over the same text."""
+    return reduce(Column.__or__, [F.contains(content, F.lit(m)) for m in markers])
+
+
+def _rewrite(content: Column, markers: Iterable[str], rewritten: Column) -> Column:
+    """The rewritten text, computed only for texts that hold one of the markers."""
+    return F.when(_holds_any(content, markers), rewritten).otherwise(content)
+
+
 # --- bytes ---------------------------------------------------------------------
 def is_binary(raw: ColumnOrName) -> Column:
-    """True for bytes holding NUL or a control byte that text does not use."""
-    return F.decode(_col(raw), "ISO-8859-1").rlike(fixed.BINARY_BYTES)
+    """True for bytes holding NUL or a control byte that text does not use.
+
+    The decoded text is searched: these bytes stand for themselves in UTF-8 and in Latin-1.
+    """
+    return decode_text(raw).rlike(fixed.BINARY_BYTES)
 
 
 def decode_text(raw: ColumnOrName) -> Column:
@@ -40,7 +57,9 @@ def fingerprint(value: ColumnOrName) -> Column:
 # --- normalisation ---------------------------------------------------------------
 def normalize_whitespace(content: ColumnOrName) -> Column:
     """Each run of tab, VT, FF and CR becomes one space; spaces stay as they are."""
-    return F.regexp_replace(_col(content), fixed.HORIZONTAL_RUN, " ")
+    text = _col(content)
+    spaced = F.regexp_replace(text, fixed.HORIZONTAL_RUN, " ")
+    return _rewrite(text, fixed.HORIZONTAL_CHARS, spaced)
 
 
 def strip_text(content: ColumnOrName) -> Column:
@@ -50,18 +69,23 @@ def strip_text(content: ColumnOrName) -> Column:
 
 def collapse_blank_lines(content: ColumnOrName) -> Column:
     """Three or more line feeds in a row become two."""
-    return F.regexp_replace(_col(content), fixed.BLANK_LINES_RUN, "\n\n")
+    text = _col(content)
+    collapsed = F.regexp_replace(text, fixed.BLANK_LINES_RUN, "\n\n")
+    return _rewrite(text, ["\n\n\n"], collapsed)
 
 
-def _single_breaks(content: ColumnOrName) -> Column:
-    """CR LF as a line feed, so that every line boundary is one character of a class.
-    A class is scanned much faster than an alternation."""
-    return F.replace(_col(content), F.lit("\r\n"), F.lit("\n"))
+def _single_breaks(content: Column) -> Column:
+    """CR LF as a line feed, so that every line boundary is one character of a class."""
+    return F.replace(content, F.lit("\r\n"), F.lit("\n"))
 
 
-def unix_lines(content: ColumnOrName) -> Column:
-    """Every line boundary as a line feed."""
-    return F.regexp_replace(_single_breaks(content), fixed.FOREIGN_LINE_BREAK, "\n")
+def unix_lines(content: ColumnOrName, *, absent: str = "") -> Column:
+    """Every line boundary as a line feed. ``absent`` names boundaries that the text is
+    known not to hold."""
+    text = _col(content)
+    markers = [c for c in fixed.FOREIGN_LINE_BREAK_CHARS if c not in absent]
+    rewritten = F.regexp_replace(_single_breaks(text), fixed.FOREIGN_LINE_BREAK, "\n")
+    return _rewrite(text, markers, rewritten)
 
 
 def _cut_lines(unix: Column, width: int) -> Column:
@@ -93,7 +117,8 @@ def normalise_content(
         result = collapse_blank_lines(strip_text(result))
     if max_line_length and strip_empty_lines:
         # A stripped text has no boundary at its end.
-        result = _cut_lines(unix_lines(result), max_line_length)
+        absent = fixed.HORIZONTAL_CHARS if whitespace else ""
+        result = _cut_lines(unix_lines(result, absent=absent), max_line_length)
     elif max_line_length:
         result = truncate_lines(result, max_line_length)
     return result
@@ -105,9 +130,12 @@ def line_pieces(content: ColumnOrName, *, unix_only: bool = False) -> Column:
 
     ``unix_only`` says that line feeds are the only boundaries left in the text.
     """
+    text = _col(content)
+    pieces = F.split(text, "\n", -1)
     if unix_only:
-        return F.split(_col(content), "\n", -1)
-    return F.split(_single_breaks(content), fixed.LINE_BREAK, -1)
+        return pieces
+    foreign = _holds_any(text, fixed.FOREIGN_LINE_BREAK_CHARS)
+    return F.when(foreign, F.split(_single_breaks(text), fixed.LINE_BREAK, -1)).otherwise(pieces)
 
 
 def piece_count(pieces: ColumnOrName) -> Column:
