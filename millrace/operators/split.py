@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.config import DatasetOptions
@@ -68,3 +70,7 @@ def _twister(seed: int) -> np.random.RandomState:
     twister = np.random.RandomState()
     twister.set_state(("MT19937", np.array(state[:-1], dtype=np.uint32), state[-1]))
     return twister
+
+
+# Task functions travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,6 +3,8 @@ task would count twice."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 COUNTERS = (
@@ -36,19 +38,21 @@ def run_counters(outcome: DataFrame, unique: DataFrame, emitted: DataFrame) -> D
         F.count("start_line").alias("chunks_generated"),
     )
     kept = emitted.agg(F.count(F.lit(1)).alias("chunks_emitted"))
-    # Three one-row sides: this join pairs one row with one row.
-    one = F.lit(1)
-    row = (
-        files.withColumn("_one", one)
-        .join(chunks.withColumn("_one", one), "_one")
-        .join(kept.withColumn("_one", one), "_one")
+    return (
+        _one_row(files, chunks, kept)
         .withColumn(
             "files_deduplicated",
             F.col("files_scanned") - F.col("files_emitted") - F.col("files_filtered"),
         )
         .withColumn("chunks_deduplicated", F.col("chunks_generated") - F.col("chunks_emitted"))
+        .select(*COUNTERS)
     )
-    return row.select(*COUNTERS)
+
+
+def _one_row(*parts: DataFrame) -> DataFrame:
+    """Columns of several one-row tables side by side, without a join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])
 
 
 def language_distribution(emitted: DataFrame) -> DataFrame:
@@ -70,14 +74,10 @@ def stats_document(
     counters: DataFrame, languages: DataFrame, sources: DataFrame
 ) -> DataFrame:
     """Counters and both maps, sorted by key, as one row."""
-    one = F.lit(1)
-    by_language = _sorted_map(languages, "language", "chunks", "language_distribution")
-    by_source = _sorted_map(sources, "source_name", "files", "source_file_counts")
-    return (
-        counters.withColumn("_one", one)
-        .join(by_language.withColumn("_one", one), "_one")
-        .join(by_source.withColumn("_one", one), "_one")
-        .drop("_one")
+    return _one_row(
+        counters,
+        _sorted_map(languages, "language", "chunks", "language_distribution"),
+        _sorted_map(sources, "source_name", "files", "source_file_counts"),
     )
 
 

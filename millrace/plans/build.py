@@ -17,7 +17,7 @@ from millrace.sinks import writers
 from millrace.sources import scan
 from millrace.sources.resolve import ResolvedSource, resolve_sources, sources_frame
 from millrace.sources.tables import to_records, union_sources
-from millrace.staging import stage
+from millrace.staging import run_folder, stage
 
 FILE_ORDER = ("source_ord", "relative_path")
 CHUNK_ORDER = (*FILE_ORDER, "start_line")
@@ -140,25 +140,25 @@ def scan_sources(
 
 
 def build_dataset(spark: SparkSession, config: JobConfig) -> dict:
-    """Run a build and write its outputs; returns the statistics as a dictionary."""
+    """Run a build and write its outputs; returns the statistics as a dictionary.
+
+    The intermediate tables are deleted at the end.
+    """
     config.validate()
+    sources = resolve_sources(config)
     os.makedirs(config.output_dir, exist_ok=True)
-    records, sources = scan_sources(spark, config, resolve_sources(config))
-    built = build_chunks(records, config)
-    writers.write_jsonl(built.emitted, config.output_dir, compress=config.dataset.compress)
-    document = stage(built.document(), "statistics")
-    writers.write_stats(document, config.output_dir)
-    present = [s for s in sources if os.path.exists(s.path)]
-    writers.write_metadata(
-        metadata.repository_metadata(
+    with run_folder(spark):
+        records, present = scan_sources(spark, config, sources)
+        built = build_chunks(records, config)
+        writers.write_jsonl(built.emitted, config.output_dir, compress=config.dataset.compress)
+        statistics = writers.write_stats(built.document(), config.output_dir)
+        present = [s for s in present if os.path.exists(s.path)]
+        described = metadata.repository_metadata(
             sources_frame(spark, present), scan.list_metadata_paths(spark, present)
-        ),
-        config.output_dir,
-    )
-    writers.write_text(
-        spark, f"{config.output_dir}/{writers.CONFIG_FILE}", config.to_json()
-    )
-    return document.first().asDict()
+        )
+        writers.write_metadata(described, config.output_dir)
+    writers.write_text(spark, f"{config.output_dir}/{writers.CONFIG_FILE}", config.to_json())
+    return statistics
 
 
 def run_from_paths(spark: SparkSession, root: str, output_dir: str) -> dict:

@@ -51,14 +51,12 @@ def write_jsonl(chunks: DataFrame, output_dir: str, *, compress: bool = False) -
     return targets
 
 
-def stats_json(document: DataFrame) -> str:
-    """Statistics row as a JSON document with sorted keys."""
+def write_stats(document: DataFrame, output_dir: str) -> dict:
+    """Write the one-row statistics as a JSON document with sorted keys; returns them."""
     row = document.first().asDict()
-    return json.dumps(row, indent=2, sort_keys=True)
-
-
-def write_stats(document: DataFrame, output_dir: str) -> str:
-    return write_text(document.sparkSession, f"{output_dir}/{STATS_FILE}", stats_json(document))
+    content = json.dumps(row, indent=2, sort_keys=True)
+    write_text(document.sparkSession, f"{output_dir}/{STATS_FILE}", content)
+    return row
 
 
 def write_metadata(metadata: DataFrame, output_dir: str) -> str:

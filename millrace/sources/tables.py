@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions import paths, text
 
-# Input bytes that are worth a task of their own.
-_SPLIT_BYTES = 16 << 20
 
 
 def raw_records(
@@ -20,7 +18,8 @@ def raw_records(
     relative_path: Column,
     text: Column,
 ) -> DataFrame:
-    """Project a table with one text or binary column to raw file records."""
+    """Project a table with one text or binary column to raw file records. A row whose text
+    is null is not a file."""
     raw = text.cast("binary")
     return table.select(
         source_ord.cast("int").alias("source_ord"),
@@ -32,15 +31,13 @@ def raw_records(
 
 
 def spread_small(table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Spread a small table over all cores.
+    """Spread the scan of a small table over all cores.
 
     A small file often is a single row group, which one task reads and then would also
-    process alone. A table with enough bytes for all cores is left as it is.
+    process alone. A table with enough splits for all cores is left as it is.
     """
-    spark = table.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    estimate = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(estimate)) >= cores * _SPLIT_BYTES:
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= cores:
         return table
     return table.repartition(cores, *keys)
 

@@ -9,11 +9,13 @@ then run on the listing, and only the files that are left are read, spread by by
 from __future__ import annotations
 
 import os
+import sys
 from collections import deque
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.staging import stage
@@ -232,3 +234,7 @@ def _file_lines(file: bytes) -> Iterator[str]:
     with open(file, encoding=encoding, newline="\n") as handle:
         for piece in handle:
             yield from piece.splitlines()
+
+
+# Task functions travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_RUN_DIR: ContextVar[str | None] = ContextVar("run_dir", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,9 +33,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """Unused path below the shared folder."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/{application}/{name}-{uuid.uuid4().hex}"
+    """Unused path in the folder of the current run, or below the shared folder."""
+    folder = _RUN_DIR.get() or f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Keep the tables written inside in one new folder, and delete that folder at the end.
+
+    For jobs whose results are written elsewhere before they leave the block.
+    """
+    folder = new_path(spark, "run")
+    token = _RUN_DIR.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN_DIR.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str, *, partition_by: Sequence[str] = ()) -> DataFrame:

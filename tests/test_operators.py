@@ -9,6 +9,7 @@ import rules
 from millrace.config import ChunkOptions, CommandSource, DatasetOptions, IngestionOptions
 from millrace.operators import chunking, commands, joins, positions, split
 from millrace.operators.dedup import keep_first
+from millrace.sources import tables
 
 
 @pytest.fixture
@@ -146,6 +147,18 @@ def test_command_records_follow_the_ingestion_rules(spark):
     assert commands.command_source_records(texts, names, no_suffix).count() == 0
 
 
+def test_record_table_from_json_lines(spark, tmp_path):
+    path = str(tmp_path / "records")
+    spark.createDataFrame([("a.PY", "é\n"), ("b", "x\x00"), ("c.md", "")], "p string, t string") \
+        .write.json(path)
+    raw = tables.scan_record_table(
+        spark, path, format="json", source_ord=F.lit(4), source_name=F.lit("s"),
+        relative_path=F.col("p"), text=F.col("t"))
+    rows = tables.to_records(raw).orderBy("relative_path").collect()
+    assert [(r.source_ord, r.relative_path, r.content, r.language, r.size) for r in rows] == [
+        (4, "a.PY", "é\n", "python", 3), (4, "c.md", "", "markdown", 0)]
+
+
 @pytest.mark.parametrize("limit", [None, 0])
 def test_sized_join_gives_the_same_rows(spark, hot, limit):
     _, frame = hot
