@@ -10,7 +10,8 @@ from millrace.config import (
     PreprocessOptions,
     QualityOptions,
 )
-from millrace.plans.build import build_dataset, run_from_paths
+from millrace.plans.build import build_dataset, build_from_records, run_from_paths
+from millrace.sources.tables import raw_records, scan_record_table
 
 __all__ = [
     "ChunkOptions",
@@ -22,5 +23,8 @@ __all__ = [
     "PreprocessOptions",
     "QualityOptions",
     "build_dataset",
+    "build_from_records",
+    "raw_records",
     "run_from_paths",
+    "scan_record_table",
 ]

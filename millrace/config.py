@@ -140,6 +140,12 @@ class JobConfig:
     def workspace_dir(self) -> str:
         return self.workspace or os.path.join(self.output_dir, "_workspace")
 
+    @property
+    def output_uri(self) -> str:
+        """Output folder for Spark: a plain path names a file system that all nodes see,
+        whatever the default file system of the cluster is."""
+        return self.output_dir if "://" in self.output_dir else f"file://{self.output_dir}"
+
     # --- loading -------------------------------------------------------------------
     @classmethod
     def from_mapping(cls, values: Mapping[str, Any], root: str | None = None) -> JobConfig:
@@ -219,7 +225,11 @@ _SECTIONS = {
 
 
 def _absolute(path: str | os.PathLike[str]) -> str:
-    return os.path.realpath(os.path.expanduser(os.fspath(path)))
+    """Resolved path; a URI of another file system stays as it is."""
+    text = os.fspath(path).removeprefix("file://")
+    if "://" in text:
+        return text.rstrip("/")
+    return os.path.realpath(os.path.expanduser(text))
 
 
 def _fold_case(target: Any, *names: str) -> None:

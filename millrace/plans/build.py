@@ -139,28 +139,52 @@ def scan_sources(
     return records, alive_sources
 
 
+def write_dataset(records: DataFrame, config: JobConfig) -> dict:
+    """Build chunks of file records and write them with the statistics and the
+    configuration; returns the statistics. Call it inside a run folder."""
+    built = build_chunks(records, config)
+    target = config.output_uri
+    writers.write_jsonl(built.emitted, target, compress=config.dataset.compress)
+    statistics = writers.write_stats(built.document(), target)
+    writers.write_text(records.sparkSession, f"{target}/{writers.CONFIG_FILE}", config.to_json())
+    return statistics
+
+
 def build_dataset(spark: SparkSession, config: JobConfig) -> dict:
-    """Run a build and write its outputs; returns the statistics as a dictionary.
+    """Build a dataset from the source trees of a configuration; returns the statistics.
 
     The intermediate tables are deleted at the end.
     """
     config.validate()
     sources = resolve_sources(config)
-    os.makedirs(config.output_dir, exist_ok=True)
     with run_folder(spark):
         records, present = scan_sources(spark, config, sources)
-        built = build_chunks(records, config)
-        writers.write_jsonl(built.emitted, config.output_dir, compress=config.dataset.compress)
-        statistics = writers.write_stats(built.document(), config.output_dir)
+        statistics = write_dataset(records, config)
         present = [s for s in present if os.path.exists(s.path)]
         described = metadata.repository_metadata(
             sources_frame(spark, present), scan.list_metadata_paths(spark, present)
         )
-        writers.write_metadata(described, config.output_dir)
-    writers.write_text(spark, f"{config.output_dir}/{writers.CONFIG_FILE}", config.to_json())
+        writers.write_metadata(described, config.output_uri)
     return statistics
 
 
+def build_from_records(
+    raw: DataFrame, config: JobConfig, sources: DataFrame | None = None
+) -> dict:
+    """Build a dataset from a table of raw records instead of trees.
+
+    All ingestion rules apply. ``sources`` (``source_ord``, ``languages``) gives the language
+    focus of each source. The order of a record is its source and its path, so these
+    must identify it.
+    """
+    config.validate()
+    with run_folder(raw.sparkSession):
+        records = to_records(filters.ingestible(raw, config.ingestion))
+        if sources is not None:
+            records = filters.filter_source_language(records, sources)
+        return write_dataset(records, config)
+
+
 def run_from_paths(spark: SparkSession, root: str, output_dir: str) -> dict:
     """Build with default parameters."""
     return build_dataset(spark, JobConfig(root=root, output_dir=output_dir))

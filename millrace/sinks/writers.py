@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -68,11 +69,13 @@ def write_metadata(metadata: DataFrame, output_dir: str) -> str:
 
 
 def write_text(spark: SparkSession, path: str, content: str) -> str:
-    """Write one small driver-side document: a file, or a part file under a URI."""
-    if "://" in path:
+    """Write one small driver-side document: a file under ``file://``, else a part file."""
+    local = path.removeprefix("file://")
+    if "://" in local:
         document = spark.createDataFrame([(content,)], "value string")
         document.coalesce(1).write.mode("overwrite").text(path)
         return path
-    with open(path, "w", encoding="utf-8") as handle:
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    with open(local, "w", encoding="utf-8") as handle:
         handle.write(content)
     return path

@@ -14,11 +14,11 @@ import pytest
 import rules
 from millrace import (
     ChunkOptions, CodeSource, CommandSource, DatasetOptions, IngestionOptions, JobConfig,
-    PreprocessOptions, QualityOptions, build_dataset, run_from_paths,
+    PreprocessOptions, QualityOptions, build_dataset, build_from_records, raw_records, run_from_paths,
 )
 from millrace.functions import fixed
 from millrace.plans.build import build_chunks
-from millrace.sources.tables import raw_records, to_records
+from millrace.sources.tables import to_records
 
 WORDS = ["alpha", "beta\t", "gamma", "é", "  ", "\n", "\n\n\n\n", "\r\n", "x" * 70, "# note", "ls -la"]
 
@@ -211,6 +211,28 @@ def test_empty_root(spark, tmp_path):
     assert os.path.exists(tmp_path / "out" / "pipeline_config.json")
 
 
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_build_from_a_table(spark, config, tmp_path, scheme):
+    from pyspark.sql import functions as F
+
+    from millrace.queries import build_queries, inputs, registry
+
+    sf_dir = "/root/testdata/sf0.001"
+    config = dataclasses.replace(
+        build_queries.CONFIG, output_dir=f"{scheme}{tmp_path}/out",
+        ingestion=IngestionOptions(include_extensions=(), exclude_dirs=()))
+    raw = raw_records(
+        inputs.files(spark, sf_dir), source_ord=F.col("source_ord"),
+        source_name=F.col("source_name"), relative_path=F.col("relative_path"), text=F.col("text"))
+    stats = build_from_records(raw, config, inputs.sources(spark, sf_dir))
+    want = registry.QUERIES["run_stats"](spark, sf_dir).first().asDict()
+    assert {k: stats[k] for k in want} == want
+    output = str(tmp_path / "out")
+    rows = read_split(output, "train", False) + read_split(output, "eval", False)
+    assert len(rows) == want["chunks_emitted"]
+    assert json.loads((tmp_path / "out" / "dataset_stats.json").read_text()) == stats
+
+
 @pytest.mark.parametrize("shuffle, limit", [(1, None), (4, 0), (64, 0), (8, 1)])
 def test_build_on_hot_copies(spark, config, shuffle, limit):
     """A third of all files are one text; the result is that of one partition."""
