@@ -35,15 +35,19 @@ def is_command(command: Column, shells: Column | Sequence[str]) -> Column:
     return (command != "") & ~bare
 
 
+def _with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later filters read but do not compute again: a filter is not
+    pushed through a generator whose output it uses."""
+    others = [c for c in df.columns if c != name]
+    return df.select(*others, F.explode(F.array(value)).alias(name))
+
+
 def command_lines(lines: DataFrame, shells: Column | Sequence[str]) -> DataFrame:
     """Lines that are commands, with the cleaned ``command`` in place of ``line``."""
-    return (
-        lines.withColumn("line", text.strip_text("line"))
-        .filter(is_candidate(F.col("line")))
-        .withColumn("command", text.collapse_command(text.strip_prompt("line")))
-        .drop("line")
-        .filter(is_command(F.col("command"), shells))
-    )
+    stripped = _with_once(lines, "line", text.strip_text("line"))
+    candidates = stripped.filter(is_candidate(F.col("line")))
+    cleaned = _with_once(candidates, "command", text.collapse_command(text.strip_prompt("line")))
+    return cleaned.drop("line").filter(is_command(F.col("command"), shells))
 
 
 def extract_commands(
