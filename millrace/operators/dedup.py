@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.operators.joins import BROADCAST_ROWS
+from millrace.operators.joins import fits_broadcast
 from millrace.staging import stage
 
 
@@ -34,18 +34,14 @@ class Repeats:
     """Keys that occur more than once, each with the order key of its first row."""
 
     table: DataFrame
-    found: int
-    limit: int
-
-    @property
-    def fit_broadcast(self) -> bool:
-        return self.found <= self.limit
+    none: bool
+    fit_broadcast: bool
 
 
 def find_repeats(
     rows: DataFrame, key: Sequence[str], order: Sequence[str], limit: int | None = None
 ) -> Repeats:
-    """Aggregate, write and count the repeated keys: one row per key however often it
+    """Aggregate, write and measure the repeated keys: one row per key however often it
     occurs."""
     table = stage(
         rows.groupBy(*key)
@@ -54,7 +50,7 @@ def find_repeats(
         .drop("_copies"),
         "repeated-keys",
     )
-    return Repeats(table, table.count(), BROADCAST_ROWS if limit is None else limit)
+    return Repeats(table, table.isEmpty(), fits_broadcast(table, limit))
 
 
 def keep_first(
@@ -79,7 +75,7 @@ def keep_first(
     """
     narrow = df if rows is None else rows
     repeats = repeats or find_repeats(narrow, key, order, limit)
-    if repeats.found == 0:
+    if repeats.none:
         return df
     if repeats.fit_broadcast:
         own = F.col(order[0]) if len(order) == 1 else F.struct(*order)

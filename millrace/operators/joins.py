@@ -8,8 +8,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.staging import stage
 
-# A broadcast side holds at most this many narrow rows (about 100 bytes each).
+# A broadcast side holds at most this many rows and bytes.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 128 << 20
+
+
+def fits_broadcast(staged: DataFrame, limit: int | None = None) -> bool:
+    """Measure a written narrow table against the broadcast bounds, ``limit`` for its rows."""
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("bigint"))
+    row = staged.agg(F.count(F.lit(1)).alias("rows"), size.alias("bytes")).first()
+    rows_bound = BROADCAST_ROWS if limit is None else limit
+    return row["rows"] <= rows_bound and (row["bytes"] or 0) <= BROADCAST_BYTES
 
 
 def sized_join(
@@ -23,13 +32,14 @@ def sized_join(
 ) -> DataFrame:
     """Join a narrow table to a wide one.
 
-    The narrow table is written and counted, unless the caller knows its ``rows``. Within the bound it is broadcast and the
-    wide side stays where it is; beyond it Spark shuffles both sides, and adaptive
-    execution splits skewed partitions of the wide side.
+    The narrow table is written and measured; a caller that made it from a list on the
+    driver passes its ``rows`` instead. Within the bounds it is broadcast and the wide side
+    stays where it is; beyond them Spark shuffles both sides, and adaptive execution splits
+    skewed partitions of the wide side.
     """
     if rows is None:
         small = stage(small, "join-side")
-        rows = small.count()
-    if rows <= (BROADCAST_ROWS if limit is None else limit):
-        small = F.broadcast(small)
-    return wide.join(small, list(on), how)
+        fits = fits_broadcast(small, limit)
+    else:
+        fits = rows <= (BROADCAST_ROWS if limit is None else limit)
+    return wide.join(F.broadcast(small) if fits else small, list(on), how)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import rules
 from millrace.config import ChunkOptions, CommandSource, DatasetOptions, IngestionOptions
 from millrace.operators import chunking, commands, joins, positions, split
-from millrace.operators.dedup import keep_first
+from millrace.operators.dedup import find_repeats, keep_first
 from millrace.sources import tables
 
 
@@ -40,6 +40,15 @@ def test_keep_first(spark, hot, limit, shuffle):
     assert sorted(map(tuple, kept)) == first_rows(rows)
 
 
+def test_bytes_bound_the_broadcast_too(spark, hot, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 10)
+    rows, frame = hot
+    repeats = find_repeats(frame, ["key"], ["source_ord", "relative_path"])
+    assert not repeats.fit_broadcast and not repeats.none
+    kept = keep_first(frame, ["key"], ["source_ord", "relative_path"], repeats=repeats)
+    assert sorted(map(tuple, kept.collect())) == first_rows(rows)
+
+
 def test_keep_first_without_repeats(hot):
     _, frame = hot
     assert keep_first(frame, ["relative_path"], ["relative_path"]).count() == 3000
