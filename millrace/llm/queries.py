@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from millrace.llm.line_frequency import line_frequency_rules
+from millrace.llm.weighted_sampling import weighted_fingerprints
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -57,3 +58,8 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
 @query("op1_line_frequency", LINE_FREQUENCY_SQL)
 def op1_line_frequency(spark, sf_dir):
     return line_frequency_rules(documents(spark, sf_dir))
+
+
+@query("op9_weighted_sampling")
+def op9_weighted_sampling(spark, sf_dir):
+    return weighted_fingerprints(documents(spark, sf_dir))
