@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
 from millrace.llm.line_frequency import line_frequency_rules
+from millrace.llm.packing import pack_texts
+from millrace.llm.token_cache import cached_token_counts
+from millrace.llm.token_records import read_records, write_records
 from millrace.llm.weighted_sampling import weighted_fingerprints
+from millrace.staging import new_path
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+OVER_TOKENS = 512
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -63,3 +73,28 @@ def op1_line_frequency(spark, sf_dir):
 @query("op9_weighted_sampling")
 def op9_weighted_sampling(spark, sf_dir):
     return weighted_fingerprints(documents(spark, sf_dir))
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark, sf_dir):
+    """Each call starts with an empty cache, so that every distinct text is encoded."""
+    counts = cached_token_counts(
+        documents(spark, sf_dir), TOKENIZER, new_path(spark, "token-counts")
+    )
+    return counts.withColumn("over_limit", F.col("n_tokens") > OVER_TOKENS)
+
+
+@query("op5_token_records")
+def op5_token_records(spark, sf_dir):
+    files = write_records(documents(spark, sf_dir), new_path(spark, "records"), TOKENIZER)
+    return read_records(files).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+@query("op10_packing")
+def op10_packing(spark, sf_dir):
+    return pack_texts(documents(spark, sf_dir), TOKENIZER).withColumn(
+        "ids_crc32", F.crc32("ids")
+    ).drop("ids")
