@@ -104,78 +104,69 @@ def as_text(samples: Column) -> Column:
     return F.coalesce(F.array_join(digits, ""), F.lit(""))
 
 
-def with_next_text(docs: DataFrame) -> DataFrame:
-    """Each row of (doc_id, text) with ``edited`` and its place in the order of ids.
+def with_next_text(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct rows of (doc_id, text) by key with their place in the order of ids, and by key
+    their texts and edited texts.
 
-    The order is by id, then by digest. Ids, digests and lengths alone are ranged and placed;
-    then each text gives the row before it as many leading code points as that row needs. Whole
-    texts are shuffled once, by id, and a third of them once more.
+    The order is by id, then by key (a digest of id and text). Ids, keys and lengths alone are
+    ranged and placed; then each text gives the row before it as many leading code points as that row
+    needs. Whole texts are shuffled once, by key, and a third of them once more.
     """
-    n = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
     whole = docs.select(
-        F.coalesce("doc_id", F.lit(-(1 << 63)).cast("bigint")).alias("_id"),
-        F.col("doc_id").isNull().alias("_no_id"), F.coalesce("text", F.lit("")).alias("text"),
-    ).withColumn("_digest", F.md5("text"))
-    key = ["_id", "_no_id", "_digest"]
-    placed = with_positions(
-        whole.select(*key, F.char_length("text").cast("bigint").alias("n_chars")).distinct(), [], key
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"),
+    ).withColumn("_key", F.unhex(F.md5(F.concat(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(":"), "text"
+    ))))
+    narrow = whole.groupBy("_key").agg(
+        F.first("doc_id").alias("doc_id"), F.first(F.char_length("text").cast("bigint")).alias("n_chars"),
+        F.count(F.lit(1)).alias("copies"),
     )
+    placed = with_positions(narrow, [], ["doc_id", "_key"])
     following = F.when(F.col("position") == 0, F.col("group_size")).otherwise(F.col("position")) - 1
-    placed = stage(placed.select(*key, "n_chars", "position", following.alias("next")), "placed")
+    placed = stage(placed.withColumn("next", following).drop("group_size"), "placed")
     wanted = placed.select(
-        F.col("next").alias("position"), *[F.col(c).alias(f"for{c}") for c in key],
+        F.col("next").alias("position"), F.col("_key").alias("_for"),
         F.floor(F.col("n_chars") / 3).cast("int").alias("_need"),
     )
-    givers = placed.select(*key, "position").join(wanted, "position").drop("position")
-    by_id = whole.repartition(int(n), "_id")
-    heads = by_id.join(givers.hint("merge"), key).select(
-        *[F.col(f"for{c}").alias(c) for c in key],
-        F.expr("substring(text, 1, _need)").alias("_head"),
+    givers = placed.select("_key", "position").join(wanted, "position").drop("position")
+    texts = whole.groupBy("_key").agg(F.first("text").alias("text"))
+    heads = texts.join(givers.hint("merge"), "_key").select(
+        F.col("_for").alias("_key"), F.expr("substring(text, 1, _need)").alias("_head")
     )
-    # equal rows give equal heads: one of them is enough
-    heads = heads.repartition(int(n), "_id").groupBy(*key).agg(F.max("_head").alias("_head"))
-    own = by_id.join(placed.hint("merge"), key).join(heads.hint("merge"), key)
-    kept = F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 3) AS int))")
-    return own.select(
-        "_id", "_no_id", "position", "next", "n_chars", "text",
-        F.concat(kept, "_head").alias("edited"),
-        F.monotonically_increasing_id().alias("_row"),
+    kept = F.substring("text", F.lit(1), F.expr("char_length(text) - floor(char_length(text) / 3)").cast("int"))
+    edited = texts.join(heads.hint("merge"), "_key").select(
+        "_key", "text", F.concat(kept, "_head").alias("edited")
     )
+    return placed, edited
 
 
 def weighted_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """Fingerprints of each text and of its edited text, and how alike they are.
 
     One row per row of (``doc_id``, ``text``); other columns are not read. Null texts count as
-    empty. Rows with equal ids are ordered by digest; equal rows share a place and get equal
-    results. A single document follows itself. Rows without an id come first in the order.
+    empty. Rows with equal ids are ordered by a digest; equal rows count once in the order and get
+    equal results. A single document follows itself. Rows without an id come first in the order.
     The words of a text are counted where the text was dealt to, without another shuffle.
     """
-    texts = with_next_text(docs)
-    row = ["_id", "_row"]
-    carried = ["_no_id", "position", "next", "n_chars", "_sha"]
-    both = texts.withColumn("_sha", F.sha2("edited", 256)).select(
-        *row, *carried,
-        F.expr("stack(2, 1, text, 0, edited)").alias("_own", "_text"),
+    placed, texts = with_next_text(docs)
+    both = texts.select("_key", F.expr("stack(2, 1, text, 0, edited)").alias("_own", "_text"))
+    words = both.select("_key", "_own", F.explode_outer(split_words(F.col("_text"))).alias("_word"))
+    there = F.col("_word").isNotNull().cast("int")
+    counts = words.groupBy("_key", "_word").agg(
+        F.sum(F.col("_own") * there).alias("_n_own"),
+        F.sum((1 - F.col("_own")) * there).alias("_n_edited"),
     )
-    words = both.select(
-        *row, *carried, "_own",
-        F.explode_outer(split_words(F.col("_text"))).alias("_word"),
+    found = weighted_samples(
+        counts, ["_key"], "_word", {"_n_own": "own", "_n_edited": "edited"}, samples
     )
-    own = F.col("_own") * F.col("_word").isNotNull().cast("int")
-    other = (1 - F.col("_own")) * F.col("_word").isNotNull().cast("int")
-    counts = words.groupBy(*row, *carried, "_word").agg(
-        F.sum(own).alias("_n_own"), F.sum(other).alias("_n_edited")
-    )
-    marked = stage(weighted_samples(
-        counts, [*row, *carried], "_word", {"_n_own": "own", "_n_edited": "edited"}, samples
-    ), "fingerprints")
-    following = marked.groupBy(F.col("position").alias("next")).agg(F.first("own").alias("_following"))
+    digests = texts.select("_key", F.sha2("edited", 256).alias("edited_sha256"))
+    marked = stage(found.join(digests, "_key").join(placed, "_key"), "fingerprints")
+    following = marked.select(F.col("position").alias("next"), F.col("own").alias("_following"))
     return marked.join(following, "next").select(
-        F.when(~F.col("_no_id"), F.col("_id")).alias("doc_id"), "n_chars",
-        F.col("_sha").alias("edited_sha256"),
+        "doc_id", "n_chars", "edited_sha256",
         as_text(F.col("own")).alias("fingerprint"),
         as_text(F.col("edited")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("edited")).alias("near_edited"),
         likeness(F.col("own"), F.col("_following")).alias("near_next"),
-    )
+        F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("_copy"),
+    ).drop("_copy")
