@@ -1,9 +1,72 @@
-"""The training-data pipeline over ``documents``."""
+"""The training-data pipeline over ``documents``: five stages, each written before the next reads it.
 
-STAGES: list = []
+Each stage takes all that the one before kept. The first four return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from millrace.llm.language_cnn import UNDETERMINED, identify_language, train_language_network
+from millrace.llm.mixing import Mix, mix_documents
+from millrace.llm.packing import pack_texts
+from millrace.llm.quality_neighbours import fit_neighbours, score_quality
+from millrace.llm.simhash import keep_one_of_each
+from millrace.staging import stage
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def kept_by(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Rows of ``docs`` without those whose id is among the rejected. Only ids move to the texts; the
+    rejected ids are shuffled with them, or broadcast by Spark where its own size check allows."""
+    rejected = verdicts.select("doc_id").filter("doc_id IS NOT NULL").distinct()
+    return docs.join(rejected, "doc_id", "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the nearest-neighbour classifier rejects."""
+    model = fit_neighbours(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return kept_by(docs, stage(score_quality(docs, model).filter("predicted = 0"), "rejected"))
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in none of the learned languages: those without a letter."""
+    found = identify_language(docs, train_language_network(docs))
+    return kept_by(docs, stage(found.filter(F.col("lang_pred") == UNDETERMINED), "rejected"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves one document of each group of SimHash near-duplicates."""
+    return keep_one_of_each(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Orders documents in blocks of target weights; small sources are repeated up to twice."""
+    return mix_documents(docs, Mix(repetition=2.0))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the mixture into sequences of at most 2048 tokens."""
+    pieces = pack_texts(docs, TOKENIZER)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+STAGES = [
+    ("quality", quality),
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("mixing", mixing),
+    ("packing", packing),
+]
+
+# Learned models and packing have no SQL; the tests compare the run with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

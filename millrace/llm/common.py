@@ -27,13 +27,37 @@ def hash_order(*columns: Column) -> Column:
     return F.xxhash64(F.lit(HASH_SEED), *columns)
 
 
-def smallest_hashes(rows: DataFrame, key: str, n: int) -> DataFrame:
-    """The keys of ``n`` rows chosen by hash; ties at the cut go by key. At most ``n`` rows.
-
-    Works on the key alone, so that no wide column is sorted or moved.
+def text_blocks(data: bytes, size: int = 1 << 20):
+    """Pieces of a text of about ``size`` bytes, cut at white space so that no word is torn."""
+    begin = 0
+    while len(data) - begin > size:
+        cut = min((at for at in (data.find(b, begin + size) for b in (b" ", b"\n")) if at >= 0),
+                  default=-1)
+        if cut < 0:
+            break
+        yield data[begin:cut]
+        begin = cut
+    yield data[begin:]
+
+
+def stratified_keys(rows: DataFrame, key: str, label: str, per_label: int, most: int) -> DataFrame:
+    """Keys and labels of a fixed sample: ``per_label`` rows of each label by hash, ``most`` in all.
+
+    Labels are counted first; a row is considered if its hash lies within the share that twice the
+    wanted number makes of its label, so that few rows are ranked however many there are.
     """
+    from pyspark.sql import Window
+
+    from millrace.operators.joins import sized_join
+
+    known = rows.select(key, label).filter(F.col(key).isNotNull() & F.col(label).isNotNull())
+    sizes = known.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    unit = F.shiftrightunsigned(hash_order(F.col(key)), 11) * F.lit(2.0 ** -53)
+    drawn = sized_join(known.withColumn("_unit", unit), sizes, [label]).filter(
+        F.col("_unit") * F.col("_n") <= 2 * per_label + 20
+    ).groupBy(key).agg(F.min(label).alias(label), F.min("_unit").alias("_unit"))
+    rank = F.row_number().over(Window.partitionBy(label).orderBy("_unit", key))
     return (
-        rows.select(key).filter(F.col(key).isNotNull()).distinct()
-        .withColumn("_hash", hash_order(F.col(key)))
-        .orderBy("_hash", key).limit(n).select(key)
+        drawn.withColumn("_rank", rank).filter(F.col("_rank") <= per_label)
+        .orderBy("_rank", "_unit", key).limit(most).select(key, label)
     )

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.files import small_batches
+from millrace.llm.files import prepare_tasks
 from millrace.llm.tokens import encoder
 
 PIECES = (
@@ -155,7 +155,7 @@ def pack_texts(
     that bear no loss (instructions); without it all ids do. Null texts count as empty: their one
     id is the end id. Repeated rows are packed one by one; other columns are not read.
     """
-    small_batches(docs.sparkSession)
+    prepare_tasks(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
         (F.coalesce(F.col(prompt), F.lit(0)) if prompt else F.lit(0)).cast("bigint").alias("prompt"),

@@ -5,10 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from millrace.llm.common import held_out
+from millrace.llm.language_cnn import identify_language, train_language_network
 from millrace.llm.line_frequency import line_frequency_rules
+from millrace.llm.mixing import Mix, mixing_plan
 from millrace.llm.packing import pack_texts
+from millrace.llm.quality_neighbours import fit_neighbours, score_quality
+from millrace.llm.simhash import simhash_components
 from millrace.llm.token_cache import cached_token_counts
 from millrace.llm.token_records import read_records, write_records
+from millrace.llm.warc import URN, read_warc, write_warc
 from millrace.llm.weighted_sampling import weighted_fingerprints
 from millrace.staging import new_path
 
@@ -98,3 +104,42 @@ def op10_packing(spark, sf_dir):
     return pack_texts(documents(spark, sf_dir), TOKENIZER).withColumn(
         "ids_crc32", F.crc32("ids")
     ).drop("ids")
+
+
+@query("op2_mixing")
+def op2_mixing(spark, sf_dir):
+    return mixing_plan(documents(spark, sf_dir), Mix(repetition=2.0))
+
+
+@query("op4_warc")
+def op4_warc(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    records = read_warc(write_warc(pages, new_path(spark, "warc"))).filter("reason IS NULL")
+
+    def page(column):
+        return F.regexp_extract(column, f"^{URN}(-?[0-9]+)$", 1).cast("bigint")
+
+    return records.select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
+@query("op6_simhash")
+def op6_simhash(spark, sf_dir):
+    return simhash_components(documents(spark, sf_dir))
+
+
+@query("op7_language")
+def op7_language(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return identify_language(docs, train_language_network(docs)).withColumn(
+        "held_out", held_out(F.col("doc_id"))
+    )
+
+
+@query("op8_quality")
+def op8_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = fit_neighbours(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_quality(docs, model).withColumn("held_out", held_out(F.col("doc_id")))

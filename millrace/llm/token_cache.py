@@ -11,7 +11,7 @@ import hashlib
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.files import small_batches
+from millrace.llm.files import prepare_tasks
 from millrace.llm.tokens import encoder
 
 _SCHEMA = "digest binary, n_tokens bigint"
@@ -64,7 +64,7 @@ def cached_token_counts(
     half way leaves the cache as it was or with the new counts, both of which are valid.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare_tasks(spark)
     version = tokenizer_version(tokenizer)
     whole = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.llm.files import attempt_name, open_input, open_output, small_batches
+from millrace.llm.files import attempt_name, open_input, open_output, prepare_tasks
 from millrace.llm.tokens import encoder
 from millrace.staging import stage
 
@@ -116,7 +116,7 @@ def write_records(
     null id is written as the smallest integer. The returned table is on disk: reading it again
     writes nothing.
     """
-    small_batches(docs.sparkSession)
+    prepare_tasks(docs.sparkSession)
     ranged = docs.select(
         F.coalesce("doc_id", F.lit(-(1 << 63)).cast("bigint")).alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
@@ -169,6 +169,7 @@ def read_records(files: DataFrame) -> DataFrame:
 
     One task reads a file, of bounded size. The starts come from the ids per file, one row each.
     """
+    prepare_tasks(files.sparkSession)
     order = Window.orderBy("partition", "number").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select(
         "partition", "number", F.coalesce(F.sum("tokens").over(order), F.lit(0)).alias("_base")
