@@ -156,6 +156,8 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes, int]:
         length = int(fields["content-length"])
     except (KeyError, ValueError):
         raise Damaged("no content length") from None
+    if not fields.get("warc-type") or not fields.get("warc-record-id"):
+        raise Damaged("no type or no id")
     begin = end + 4
     block = data[begin:begin + length]
     if length < 0 or len(block) < length or data[begin + length:begin + length + 4] != b"\r\n\r\n":
