@@ -180,11 +180,11 @@ def mixing_plan(
 def mix_documents(docs: DataFrame, mix: Mix = Mix(), **columns) -> DataFrame:
     """The rows of ``docs`` as often and in the order that the plan says, dealt over partitions by block."""
     plan = stage(mixing_plan(docs, mix, **columns), "plan").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_of"), "block", "position"
+        *[F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "source", "block", "position")]
     )
     own, of = columns.get("doc_id", "doc_id"), columns.get("source", "source")
     met = docs.join(
-        plan, docs[own].eqNullSafe(plan["_id"]) & docs[of].eqNullSafe(plan["_of"])
+        plan, docs[own].eqNullSafe(plan["_mix_doc_id"]) & docs[of].eqNullSafe(plan["_mix_source"])
     )
-    return met.repartitionByRange("block", "position").sortWithinPartitions(
-        "block", "position").select(*[docs[c] for c in docs.columns])
+    order = ["_mix_block", "_mix_position"]
+    return met.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)

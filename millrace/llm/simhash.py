@@ -198,7 +198,7 @@ def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MA
         "doc_id").distinct()
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
     return (
-        docs.join(kept.hint("merge"), "doc_id").withColumn("_place", place)
-        .filter("_place = 1").select(*docs.columns)
+        docs.join(kept.hint("merge"), "doc_id").withColumn("_simhash_place", place)
+        .filter("_simhash_place = 1").select(*docs.columns)
         .unionByName(docs.filter("doc_id IS NULL"))
     )
