@@ -88,11 +88,11 @@ DEFAULT_COMMAND_PATTERNS = (
 
 DEFAULT_IGNORE_PATTERNS = ("*.png", "*.jpg", "*.jpeg", "*.gif", "*.pdf")
 
-# A lower-cased line starting with one of these is a comment.
-COMMENT_STARTS = r"\A(?:#|//|rem |::|;)"
+# A line starting with one of these, in any letter case, is a comment.
+COMMENT_STARTS = ("#", "//", "rem ", "REM ", "::", ";")
 
 # The first of these at the start of a line is a shell prompt.
-PROMPT_STARTS = r"[$#%>λ]|PS |PS>|C:\\"
+PROMPT_STARTS = ("$", "#", "%", ">", "PS ", "PS>", "PS C:\\", "C:\\", "λ")
 
 # --- fixed values: repository metadata ----------------------------------------
 DEPENDENCY_MANIFESTS = {
@@ -139,7 +139,7 @@ FOREIGN_LINE_BREAK_CHARS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 HORIZONTAL_RUN = r"[\t\x0B\x0C\r]+"
 HORIZONTAL_CHARS = "\t\x0b\x0c\r"
 # Three or more line feeds shrink to two.
-BLANK_LINES_RUN = r"\n\n\n+"
+BLANK_LINES_RUN = r"\n{3,}"
 # Bytes that make a file binary.
 BINARY_BYTES = (
     r"[\x00\x01\x02\x03\x04\x05\x06\x0B\x0E\x0F\x10\x11\x12\x13\x14\x15\x16\x17\x18\x19\x1A"

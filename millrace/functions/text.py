@@ -7,6 +7,8 @@ higher-order functions, so that they fuse with the scan or shuffle around them.
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Iterable
 from functools import reduce
 
@@ -160,14 +162,14 @@ def line_count(content: ColumnOrName) -> Column:
 # --- command lines -----------------------------------------------------------------
 def is_comment_line(line: ColumnOrName) -> Column:
     """True for a line that starts like a comment, in any letter case."""
-    return F.lower(_col(line)).rlike(fixed.COMMENT_STARTS)
+    starts = dict.fromkeys(re.escape(s.lower()) for s in fixed.COMMENT_STARTS)
+    return F.lower(_col(line)).rlike(rf"\A(?:{'|'.join(starts)})")
 
 
 def strip_prompt(line: ColumnOrName) -> Column:
     """Drop one shell prompt at the start and the white space behind it."""
-    return F.regexp_replace(
-        _col(line), rf"\A(?:{fixed.PROMPT_STARTS}){fixed.WHITESPACE_CLASS}*+", ""
-    )
+    starts = "|".join(map(re.escape, fixed.PROMPT_STARTS))
+    return F.regexp_replace(_col(line), rf"\A(?:{starts}){fixed.WHITESPACE_CLASS}*+", "")
 
 
 def collapse_command(line: ColumnOrName) -> Column:

@@ -1,7 +1,8 @@
 """Shell commands mined from lines of text.
 
 A line table has ``source_ord``, ``path``, ``line_no`` and ``line``. The corpus of a
-source stays a table; it becomes one text only when that text is within the size cap.
+source stays a table; it becomes one text when that text is within the size cap, and
+several texts when it is not.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from millrace.config import CommandSource, IngestionOptions
 from millrace.functions import paths, text
 from millrace.operators.dedup import distinct_first
 from millrace.operators.joins import sized_join
-from millrace.operators.positions import first_n
+from millrace.operators.positions import first_n, with_totals_before
 from millrace.staging import stage
 
 ORDER = ("path", "line_no")
@@ -74,42 +75,56 @@ def command_cap(corpus: DataFrame, caps: Mapping[int, int | None] | int | None)
     """First ``max_lines`` commands of each source; one cap, or one per ``source_ord``."""
     if caps is None or isinstance(caps, int):
         return corpus if caps is None else first_n(corpus, ("source_ord",), ORDER, caps)
-    by_cap: dict[int, list[int]] = {}
-    for source_ord, cap in caps.items():
-        if cap is not None:
-            by_cap.setdefault(cap, []).append(source_ord)
-    capped = [o for orders in by_cap.values() for o in orders]
-    result = corpus.filter(~F.col("source_ord").isin(*capped)) if capped else corpus
-    for cap, orders in sorted(by_cap.items()):
-        part = corpus.filter(F.col("source_ord").isin(*orders))
-        result = result.unionByName(first_n(part, ("source_ord",), ORDER, cap))
-    return result
+    limits = {source_ord: cap for source_ord, cap in caps.items() if cap is not None}
+    if not limits:
+        return corpus
+    # Written once: the capped and the uncapped sources are two readers.
+    corpus = stage(corpus, "uncapped-corpus")
+    pairs = [F.lit(x) for pair in limits.items() for x in pair]
+    cap = F.try_element_at(F.create_map(*pairs), F.col("source_ord"))
+    capped = corpus.filter(cap.isNotNull())
+    return corpus.filter(cap.isNull()).unionByName(
+        first_n(capped, ("source_ord",), ORDER, max(limits.values()), cap=cap)
+    )
 
 
 def corpus_records(corpus: DataFrame, max_bytes: int) -> DataFrame:
-    """Corpus of each source as one text, for sources whose text is within the cap.
+    """Corpus of each source as texts of at most ``max_bytes``, numbered by ``part``.
 
-    Sizes are summed first, so that only groups of at most ``max_bytes`` are collected.
-    A source with a larger corpus has no record, like a file above the size cap.
+    Sizes are summed first, so that only bounded groups are collected. A corpus within the cap is
+    one text, part 0. A larger one is cut, in its order, where half the cap is reached: nothing
+    is lost. Only a single command of over half the cap can make a part larger than the cap.
     """
     corpus = stage(corpus, "command-corpus")
+    length = F.octet_length("command").cast("bigint")
     sizes = corpus.groupBy("source_ord").agg(
         (F.sum(F.octet_length("command").cast("bigint")) + F.count(F.lit(1)) - 1).alias("size")
     )
-    within = sizes.filter(F.col("size") <= F.lit(max_bytes))
+    sizes = stage(sizes, "corpus-sizes")
+    small = sized_join(
+        corpus, sizes.filter(F.col("size") <= F.lit(max_bytes)).select("source_ord"), ["source_ord"]
+    ).withColumn("part", F.lit(0).cast("bigint"))
+    large = sized_join(
+        corpus, sizes.filter(F.col("size") > F.lit(max_bytes)).select("source_ord"), ["source_ord"]
+    ).withColumn("_bytes", length + 1)
+    cut = F.floor(F.col("before") / F.lit(max(1, max_bytes // 2))).cast("bigint")
+    parts = with_totals_before(large, ("source_ord",), ORDER, "_bytes").withColumn("part", cut)
     ordered = F.sort_array(F.collect_list(F.struct(*ORDER, "command")))
     return (
-        sized_join(corpus, within, ["source_ord"])
-        .groupBy("source_ord")
-        .agg(F.first("size").alias("size"), ordered.alias("_held"))
-        .select("source_ord", "size", F.array_join(F.col("_held.command"), "\n").alias("text"))
+        small.unionByName(parts.select(*small.columns))
+        .groupBy("source_ord", "part")
+        .agg((F.sum(length) + F.count(F.lit(1)) - 1).alias("size"), ordered.alias("_held"))
+        .select(
+            "source_ord", "part", "size", F.array_join(F.col("_held.command"), "\n").alias("text")
+        )
     )
 
 
 def command_source_records(
     corpora: DataFrame, sources: DataFrame, options: IngestionOptions, rows: int | None = None
 ) -> DataFrame:
-    """Corpus texts as raw records named ``<slug>.terminal``, under the ingestion rules.
+    """Corpus texts as raw records named ``<slug>.terminal``, later parts ``<slug>-2.terminal`` and
+    so on, under the ingestion rules.
 
     ``sources`` has ``source_ord`` and ``name``. The record belongs to the source
     ``<name>-commands``.
@@ -118,7 +133,12 @@ def command_source_records(
     return named.select(
         "source_ord",
         F.concat("name", F.lit("-commands")).alias("source_name"),
-        F.concat(text.slugify("name"), F.lit(".terminal")).alias("relative_path"),
+        F.concat(
+            text.slugify("name"),
+            F.when(F.col("part") > 0, F.concat(F.lit("-"), (F.col("part") + 1).cast("string")))
+            .otherwise(""),
+            F.lit(".terminal"),
+        ).alias("relative_path"),
         "size",
         F.col("text").cast("binary").alias("raw"),
     ).filter(

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.operators.joins import fits_broadcast
+from millrace.operators.joins import fits_broadcast, null_safe_join
 from millrace.staging import stage
 
 
@@ -21,14 +21,6 @@ def first_order(order: Sequence[str]) -> Column:
     return F.min(order[0] if len(order) == 1 else F.struct(*order))
 
 
-def survivors(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Order key of the first row of each group, as columns named like ``order``."""
-    firsts = df.groupBy(*key).agg(first_order(order).alias("_first"))
-    if len(order) == 1:
-        return firsts.select(F.col("_first").alias(order[0]))
-    return firsts.select(*[F.col(f"_first.{name}").alias(name) for name in order])
-
-
 @dataclass(frozen=True)
 class Repeats:
     """Keys that occur more than once, each with the order key of its first row."""
@@ -70,8 +62,11 @@ def keep_first(
     * none: every row survives;
     * within the broadcast bound: each row looks up the first row of its key, and
       the wide side is not shuffled;
-    * beyond it: semi join with the survivors on the order key. That key is not shared
-      by copies, so no partition is hot, and the narrow side is the hashed one.
+    * beyond it: semi join with the survivors on key and order. Copies do not share the
+      order, so no partition is hot. The survivors are written once for all readers.
+
+    Nulls follow one rule on all ways: a null key is a key like any other, and so is a null in
+    the order (a single order column takes it after all values, several take it before).
     """
     narrow = df if rows is None else rows
     repeats = repeats or find_repeats(narrow, key, order, limit)
@@ -80,16 +75,20 @@ def keep_first(
     if repeats.fit_broadcast:
         own = F.col(order[0]) if len(order) == 1 else F.struct(*order)
         return (
-            df.join(F.broadcast(repeats.table), list(key), "left")
-            .filter(F.col("_first").isNull() | (F.col("_first") == own))
+            null_safe_join(
+                df, repeats.table.withColumn("_repeated", F.lit(True)), key, "left", broadcast=True
+            )
+            .filter(F.col("_repeated").isNull() | F.col("_first").eqNullSafe(own))
             .select(*df.columns)
         )
-    return semi_join_survivors(df, survivors(narrow, key, order), order)
+    first = stage(distinct_first(narrow, key, order), "survivors")
+    return semi_join_survivors(df, first, [*key, *order])
 
 
-def semi_join_survivors(df: DataFrame, first: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Rows whose order key is among the survivors; hashes the narrow side."""
-    return df.join(first.hint("shuffle_hash"), list(order), "left_semi")
+def semi_join_survivors(df: DataFrame, first: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows that are among the survivors. Spark sorts both sides, which can spill, unless it
+    measures at run time that the narrow one is small."""
+    return null_safe_join(df, first.select(*on), on, "left_semi")
 
 
 def distinct_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

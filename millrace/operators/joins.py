@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -29,8 +30,9 @@ def sized_join(
     *,
     rows: int | None = None,
     limit: int | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
-    """Join a narrow table to a wide one.
+    """Join a narrow table to a wide one. ``null_safe``: nulls in ``on`` are equal.
 
     The narrow table is written and measured; a caller that made it from a list on the
     driver passes its ``rows`` instead. Within the bounds it is broadcast and the wide side
@@ -42,4 +44,18 @@ def sized_join(
         fits = fits_broadcast(small, limit)
     else:
         fits = rows <= (BROADCAST_ROWS if limit is None else limit)
+    if null_safe:
+        return null_safe_join(wide, small, on, how, broadcast=fits)
     return wide.join(F.broadcast(small) if fits else small, list(on), how)
+
+
+def null_safe_join(
+    wide: DataFrame, small: DataFrame, on: Sequence[str], how: str, *, broadcast: bool = False
+) -> DataFrame:
+    """Join by equal names in which null equals null; columns as in a join by names."""
+    right = small.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on]
+    joined = wide.join(
+        F.broadcast(right) if broadcast else right, reduce(lambda a, b: a & b, same), how
+    )
+    return joined.drop(*[f"_right_{c}" for c in on])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.config import JobConfig
 from millrace.operators import chunking, commands, filters, metadata, stats
 from millrace.operators.dedup import (
-    find_repeats, keep_first, semi_join_survivors, survivors,
+    distinct_first, find_repeats, keep_first, semi_join_survivors,
 )
 from millrace.operators.split import hash_split, sequence_split
 from millrace.sinks import writers
@@ -80,6 +80,7 @@ def build_chunks(records: DataFrame, config: JobConfig, *, limit: int | None = N
     outcome = stage(chunk_outcome(records, config), "chunks", partition_by=["split"])
     is_chunk = F.col("start_line").isNotNull()
     unique, emitted = outcome, outcome.filter(is_chunk)
+    _require_identified(stats.file_rows(outcome))
     moved = False
     if quality.deduplicate_files:
         files = stats.file_rows(outcome)
@@ -89,9 +90,12 @@ def build_chunks(records: DataFrame, config: JobConfig, *, limit: int | None = N
         moved = not repeats.fit_broadcast
     if quality.deduplicate_chunks and moved:
         # The surviving chunks, found on narrow columns, also leave out the copies of
-        # files: one shuffle of the text instead of two.
-        first = survivors(emitted, ["chunk_hash"], CHUNK_ORDER)
-        emitted = semi_join_survivors(outcome.filter(is_chunk), first, CHUNK_ORDER)
+        # files: one shuffle of the text instead of two. They are written once, for both
+        # splits and all statistics.
+        first = stage(distinct_first(emitted, ["chunk_hash"], CHUNK_ORDER), "surviving-chunks")
+        emitted = semi_join_survivors(
+            outcome.filter(is_chunk), first, ["chunk_hash", *CHUNK_ORDER]
+        )
     elif quality.deduplicate_chunks:
         emitted = keep_first(emitted, ["chunk_hash"], CHUNK_ORDER, limit=limit)
     if config.dataset.split_method == "sequence":
@@ -99,10 +103,17 @@ def build_chunks(records: DataFrame, config: JobConfig, *, limit: int | None = N
     return Built(outcome, unique, emitted)
 
 
+def _require_identified(files: DataFrame) -> None:
+    """Source and path must identify a file: the first of two equal ones is not defined."""
+    twice = files.groupBy(*FILE_ORDER).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    for row in twice.limit(1).collect():
+        raise ValueError(f"source {row.source_ord} has {row.relative_path!r} more than once")
+
+
 def _with_sequence_split(emitted: DataFrame, config: JobConfig) -> DataFrame:
     """Replace the hash split by the draw per position, and write the result by split."""
     splits = sequence_split(emitted.select(*CHUNK_ORDER), CHUNK_ORDER, config.dataset)
-    joined = emitted.drop("split").join(splits.hint("shuffle_hash"), list(CHUNK_ORDER))
+    joined = emitted.drop("split").join(splits, list(CHUNK_ORDER))
     return stage(joined, "emitted", partition_by=["split"])
 
 

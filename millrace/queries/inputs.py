@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.sources.tables import spread_small
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,7 +49,7 @@ def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     for old, new in ((", ", ",\t"), (".\n", ".\r\n\n\n\n"), (" the ", "  the ")):
         text = F.replace(text, F.lit(old), F.lit(new))
-    documents = spread_small(table(spark, sf_dir, "documents"), ["doc_id"])
+    documents = table(spark, sf_dir, "documents")
     return documents.select("doc_id", text.alias("content"))
 
 

@@ -27,7 +27,7 @@ SMALL_FILE = 2048
 
 def file_records(spark, sf_dir):
     raw = tables.raw_records(
-        tables.spread_small(inputs.files(spark, sf_dir), FILE_ORDER),
+        inputs.files(spark, sf_dir),
         source_ord=F.col("source_ord"), source_name=F.col("source_name"),
         relative_path=F.col("relative_path"), text=F.col("text"),
     )
@@ -184,7 +184,7 @@ def chunks_sql(source: str, size: int, overlap: int, content: str = "content", k
 
 
 def _chunked(spark, sf_dir, size, overlap):
-    documents = tables.spread_small(inputs.table(spark, sf_dir, "documents"), ["doc_id"])
+    documents = inputs.table(spark, sf_dir, "documents")
     return chunking.chunk_lines(
         documents.select("doc_id", F.col("text").alias("content")), ChunkOptions(size, overlap)
     )
@@ -265,7 +265,27 @@ TEXTS_SQL = f"""{CORPUS_SQL}, texts AS (SELECT source_ord,
   SELECT source_ord, CAST(strlen(text) AS BIGINT) AS size, text FROM texts
   WHERE strlen(text) <= {IngestionOptions().max_bytes}""")
 def collect_command_corpus(spark, sf_dir):
-    return commands.corpus_records(_corpus(spark, sf_dir), IngestionOptions().max_bytes)
+    return commands.corpus_records(_corpus(spark, sf_dir), IngestionOptions().max_bytes).drop("part")
+
+
+@query("oversize_command_corpus", f"""WITH {CORPUS_SQL},
+  placed AS (SELECT source_ord, path, line_no, command,
+    coalesce(sum(strlen(command) + 1) OVER (PARTITION BY source_ord ORDER BY path, line_no
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    sum(strlen(command) + 1) OVER (PARTITION BY source_ord) - 1 AS whole FROM corpus)
+  SELECT source_ord, CAST(CASE WHEN whole <= 2000 THEN 0 ELSE before // 1000 END AS BIGINT) AS part,
+    CAST(sum(strlen(command) + 1) - 1 AS BIGINT) AS size,
+    string_agg(command, chr(10) ORDER BY path, line_no) AS text FROM placed GROUP BY 1, 2""")
+def oversize_command_corpus(spark, sf_dir):
+    """Corpora above a cap of 2,000 bytes come as parts; no command is lost."""
+    return commands.corpus_records(_corpus(spark, sf_dir), 2000)
+
+
+@query("command_cap_per_source", f"""WITH {CORPUS_SQL} SELECT source_ord, path, line_no, command
+  FROM corpus QUALIFY source_ord = 2 OR row_number() OVER (PARTITION BY source_ord
+  ORDER BY path, line_no) <= CASE source_ord WHEN 0 THEN 50 ELSE 120 END""")
+def command_cap_per_source(spark, sf_dir):
+    return commands.command_cap(_corpus(spark, sf_dir), {0: 50, 1: 120, 2: None})
 
 
 @query("command_source_record", f"""WITH {TEXTS_SQL}

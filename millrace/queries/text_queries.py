@@ -154,10 +154,10 @@ def collapse_command(spark, sf_dir):
 
 
 @query("slugify", f"""SELECT doc_id, coalesce(nullif(trim(regexp_replace(lower(
-  {STRIP_SQL % "' !' || substr(text, 1, 40)"}), '[^\\p{{L}}\\p{{N}}_-]', '-', 'g'), '-'), ''),
+  {STRIP_SQL % "' !' || text"}), '[^\\p{{L}}\\p{{N}}_-]', '-', 'g'), '-'), ''),
   'commands') AS slug FROM documents""")
 def slugify(spark, sf_dir):
-    name = F.concat(F.lit(" !"), F.substring("text", 1, 40))
+    name = F.concat(F.lit(" !"), "text")
     documents = inputs.table(spark, sf_dir, "documents")
     return documents.select("doc_id", text.slugify(name).alias("slug"))
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions import paths, text
@@ -30,18 +28,6 @@ def raw_records(
     )
 
 
-def spread_small(table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Spread the scan of a small table over all cores.
-
-    A small file often is a single row group, which one task reads and then would also
-    process alone. A table with enough splits for all cores is left as it is.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return table.repartition(cores, *keys)
-
-
 def to_records(raw: DataFrame) -> DataFrame:
     """File records from raw ones: binary files go, text is decoded, hashed and tagged.
 

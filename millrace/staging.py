@@ -27,9 +27,9 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _LOCAL_DIRS.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="millrace-stage-")
-    )
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="millrace-stage-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

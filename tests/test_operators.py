@@ -120,10 +120,45 @@ def command_table(spark):
     return spark.createDataFrame(rows, "source_ord int, path string, line_no bigint, line string")
 
 
-def test_corpus_record_within_the_cap_only(spark):
+def test_corpus_above_the_cap_comes_in_parts(spark):
     corpus = commands.command_corpus(command_table(spark), ("bash",))
-    assert [tuple(r) for r in commands.corpus_records(corpus, 60).collect()] == [(0, 11, "ls\ncd x\ntop")]
-    assert commands.corpus_records(corpus, 61).count() == 2
+    assert sorted(map(tuple, commands.corpus_records(corpus, 60).collect())) == [
+        (0, 0, 11, "ls\ncd x\ntop"), (1, 0, 30, "x" * 30), (1, 1, 30, "y" * 30)]
+    assert sorted(map(tuple, commands.corpus_records(corpus, 61).collect())) == [
+        (0, 0, 11, "ls\ncd x\ntop"), (1, 0, 61, "x" * 30 + "\n" + "y" * 30)]
+    names = spark.createDataFrame([(0, "A b"), (1, "C")], "source_ord int, name string")
+    records = commands.command_source_records(
+        commands.corpus_records(corpus, 60), names, IngestionOptions())
+    assert sorted(r.relative_path for r in records.collect()) == [
+        "a-b.terminal", "c-2.terminal", "c.terminal"]
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_null_keys_and_orders_follow_one_rule(spark, limit):
+    schema = "key string, a int, b int"
+    rows = [(None, 1, 1), (None, 2, 1), ("k", 3, None), ("k", 3, 2), ("m", None, None), ("n", 4, 1)]
+    frame = spark.createDataFrame(rows, schema)
+    kept = keep_first(frame, ["key"], ["a", "b"], limit=limit).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [
+        (None, 1, 1), ("k", 3, None), ("m", None, None), ("n", 4, 1)]))
+    kept = keep_first(frame.select("key", "b"), ["key"], ["b"], limit=limit).collect()
+    assert ("k", 2) in map(tuple, kept) and ("k", None) not in map(tuple, kept)
+
+
+@pytest.mark.parametrize("n", [2, 2000])
+def test_null_groups_are_groups(spark, n):
+    frame = spark.range(10).selectExpr("if(id < 6, null, 'g') AS g", "id")
+    assert positions.first_n(frame, ["g"], ["id"], n).count() == min(n, 6) + min(n, 4)
+    placed = positions.with_positions(frame, ["g"], ["id"])
+    assert sorted(r.position for r in placed.filter("g IS NULL").collect()) == list(range(6))
+
+
+def test_totals_before(spark):
+    frame = spark.range(500).selectExpr("id % 3 AS g", "id", "id % 7 AS v").repartition(5)
+    sums = {0: 0, 1: 0, 2: 0}
+    for row in positions.with_totals_before(frame, ["g"], ["id"], "v").orderBy("id").collect():
+        assert row.before == sums[row.g]
+        sums[row.g] += row.v
 
 
 def test_caps_per_source(spark):
@@ -147,7 +182,7 @@ def test_shells_differ_by_source(spark):
 
 
 def test_command_records_follow_the_ingestion_rules(spark):
-    texts = spark.createDataFrame([(3, 2, "ls")], "source_ord int, size bigint, text string")
+    texts = spark.createDataFrame([(3, 0, 2, "ls")], "source_ord int, part bigint, size bigint, text string")
     names = spark.createDataFrame([(3, " My Hist! ")], "source_ord int, name string")
     row = commands.command_source_records(texts, names, IngestionOptions()).first()
     assert (row.source_name, row.relative_path, bytes(row.raw)) == (

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.config import ChunkOptions, PreprocessOptions
-from millrace.operators import chunking, filters, positions
+from millrace.operators import chunking, commands, filters, positions
 from millrace.operators.dedup import keep_first
 from millrace.plans.build import build_chunks
 from millrace.queries import build_queries, inputs, table_queries
@@ -60,12 +60,23 @@ def test_few_repeats_leave_the_wide_side_in_place(spark, plan_of):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
-def test_many_repeats_hash_the_narrow_side_on_the_unique_key(spark, plan_of):
+def test_many_repeats_join_the_written_survivors_once(spark, plan_of):
     wide = records(spark)
     plan = plan_of(keep_first(wide, ["file_hash"], table_queries.FILE_ORDER, limit=0))
-    assert "ShuffledHashJoin [source_ord" in plan and "BuildRight" in plan
-    # The aggregate of the narrow side has a partial step below its shuffle.
-    assert "partial_min" in plan
+    assert "survivors-" in plan and "Aggregate" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_many_repeats_decide_survivors_once(spark, plan_of):
+    built = build_chunks(records(spark), build_queries.CONFIG, limit=0)
+    plan = plan_of(built.emitted)
+    assert "surviving-chunks-" in plan and "Aggregate" not in plan
+    assert sum("FileScan" in line for line in plan.splitlines()) == 2
+
+
+def test_three_caps_read_the_lines_once(spark, plan_of):
+    corpus = inputs.transcripts(spark, SF_DIR).withColumnRenamed("line", "command")
+    plan = plan_of(commands.command_cap(corpus, {0: 5, 1: 7, 2: 9}))
+    assert "events.parquet" not in plan and "uncapped-corpus-" in plan
 
 
 def test_many_repeats_move_the_text_once(spark, plan_of):
