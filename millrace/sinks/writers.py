@@ -14,9 +14,10 @@ METADATA_FILE = "repository_metadata.json"
 CONFIG_FILE = "pipeline_config.json"
 
 
-def dataset_item(chunks: DataFrame) -> DataFrame:
+def dataset_item(chunks: DataFrame, *others: str) -> DataFrame:
     """Chunks in the form that is written: content, language and nested metadata."""
     return chunks.select(
+        *others,
         "content",
         "language",
         F.struct(
@@ -79,3 +80,22 @@ def write_text(spark: SparkSession, path: str, content: str) -> str:
     with open(local, "w", encoding="utf-8") as handle:
         handle.write(content)
     return path
+
+
+def write_parquet(chunks: DataFrame, output_dir: str, *, shard_records: int | None = None) -> str:
+    """Write dataset items as Parquet, one folder per split, with at most so many rows in a file."""
+    path = f"{output_dir}/dataset.parquet"
+    out = dataset_item(chunks, "split").write.mode("overwrite").partitionBy("split")
+    if shard_records is not None:
+        out = out.option("maxRecordsPerFile", shard_records)
+    out.parquet(path)
+    return path
+
+
+def shard_index(items: DataFrame) -> DataFrame:
+    """Per written file: rows and the range of start lines. One row per file."""
+    return items.groupBy(F.input_file_name().alias("shard")).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.min("metadata.start_line").alias("first_line"),
+        F.max("metadata.end_line").alias("last_line"),
+    )
