@@ -142,9 +142,8 @@ class JobConfig:
 
     @property
     def output_uri(self) -> str:
-        """Output folder for Spark: a plain path names a file system that all nodes see,
-        whatever the default file system of the cluster is."""
-        return self.output_dir if "://" in self.output_dir else f"file://{self.output_dir}"
+        """Output folder for Spark: a plain path is one of the session's default file system."""
+        return self.output_dir
 
     # --- loading -------------------------------------------------------------------
     @classmethod

@@ -17,6 +17,8 @@ from millrace.operators.positions import with_positions
 TRAIN, EVAL = "train", "eval"
 _DRAW_BITS = 52
 _SKIP_BLOCK = 1 << 20
+# The driver keeps the generator's state at so many places at most (2.5 KB each).
+_STATES = 4096
 
 
 def hash_split(options: DatasetOptions, chunk_hash: str = "chunk_hash") -> Column:
@@ -35,11 +37,16 @@ def sequence_split(
 ) -> DataFrame:
     """Split by the n-th Mersenne Twister draw for the n-th row in ``order``.
 
-    ``keys`` should be narrow. Each task starts its generator from the seed and skips to
-    the position of its first row; it draws once per row after that.
+    ``keys`` should be narrow. The driver runs the generator once over all positions and keeps
+    its state at even distances. A task starts from the last state before its first row and
+    skips less than one distance; it draws once per row after that. So all draws together are
+    linear in the rows.
     """
     placed = with_positions(keys, [], order).drop("group_size")
     seed, ratio = options.seed, options.train_ratio
+    size = placed.agg(F.count(F.lit(1))).first()[0]
+    distance = max(_SKIP_BLOCK, -(-size // _STATES))
+    states = keys.sparkSession.sparkContext.broadcast(_states(seed, size, distance))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         twister, reached = _twister(seed), 0
@@ -50,6 +57,10 @@ def sequence_split(
             for begin, end in zip(bounds[:-1], bounds[1:]):
                 if begin == end:
                     continue
+                nearest = int(at[begin]) // distance
+                if reached < nearest * distance or reached > at[begin]:
+                    twister.set_state(states.value[nearest])
+                    reached = nearest * distance
                 while reached < at[begin]:
                     skipped = min(_SKIP_BLOCK, int(at[begin]) - reached)
                     twister.random_sample(skipped)
@@ -64,6 +75,16 @@ def sequence_split(
     )
 
 
+def _states(seed: int, size: int, distance: int) -> list[tuple]:
+    """States of the generator after 0, ``distance``, 2 * ``distance`` ... draws."""
+    twister, found = _twister(seed), []
+    for begin in range(0, max(1, size), distance):
+        found.append(twister.get_state())
+        for skipped in range(0, min(distance, size - begin), _SKIP_BLOCK):
+            twister.random_sample(min(_SKIP_BLOCK, min(distance, size - begin) - skipped))
+    return found
+
+
 def _twister(seed: int) -> np.random.RandomState:
     """NumPy generator that continues the stream of ``random.Random(seed)``."""
     state = random.Random(seed).getstate()[1]

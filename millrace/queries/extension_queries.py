@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
+import pandas as pd
 from pyspark.sql import functions as F
 
-from millrace.config import ChunkOptions
+from millrace.config import ChunkOptions, CommandSource, IngestionOptions
+from millrace.functions import fixed
 from millrace.operators import extensions
 from millrace.queries import inputs
 from millrace.queries.build_queries import BUILD_SQL, CONFIG, COUNTERS_SQL, _built
@@ -13,7 +17,9 @@ from millrace.queries.registry import query
 from millrace.queries.table_queries import RECORDS_SQL, file_records
 from millrace.queries.text_queries import EXT_SQL, PROMPT_SQL, STRIP_SQL, WORDS_SQL
 from millrace.sinks import writers
-from millrace.staging import new_path
+from millrace.sources import scan
+from millrace.sources.resolve import ResolvedSource
+from millrace.staging import new_path, stage
 
 
 def _documents(spark, sf_dir):
@@ -131,3 +137,62 @@ def shard_index(spark, sf_dir):
     return writers.shard_index(spark.read.parquet(path)).agg(
         F.sum("records").alias("records"), F.min("first_line").alias("first_line"),
         F.max("last_line").alias("last_line"), (F.max("records") <= 100).alias("within"))
+
+
+# --- source trees: the tables written as files, then scanned ---------------------------------------
+def _write_tree(files, folder):
+    """Write rows (``place``, ``raw``) as files below a mounted folder, on the executors."""
+
+    def write(batches):
+        for batch in batches:
+            for place, raw in batch.itertuples(index=False):
+                path = f"{folder}/{place}"
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                with open(path, "wb") as handle:
+                    handle.write(raw)
+            yield pd.DataFrame({"written": [len(batch)]})
+
+    stage(files.select("place", "raw").mapInPandas(write, "written bigint"), "written-files")
+
+
+def _mounted(spark, name):
+    return new_path(spark, name).removeprefix("file:").replace("//", "/")
+
+
+_EXTENSIONS_SQL = ", ".join(f"'{e}'" for e in fixed.DEFAULT_INCLUDE_EXTENSIONS)
+
+
+@query("scan_source_tree", f"""WITH {FILES_SQL}, tagged AS (SELECT *, {EXT_SQL} AS ext FROM files)
+  SELECT source_ord, source_name, relative_path, size, sha1(text) AS file_hash FROM tagged
+  WHERE (ext = '' OR ext IN ({_EXTENSIONS_SQL})) AND relative_path NOT LIKE '%/vendor/%'
+    AND relative_path NOT LIKE '%/build/%'""")
+def scan_source_tree(spark, sf_dir):
+    folder = _mounted(spark, "tree")
+    _write_tree(inputs.files(spark, sf_dir).select(
+        F.concat_ws("/", "source_name", "relative_path").alias("place"),
+        F.col("text").cast("binary").alias("raw")), folder)
+    sources = [
+        ResolvedSource(n, f"src{n}", "code", "local", f"{folder}/src{n}") for n in range(20)
+    ]
+    raw = scan.scan_source_tree(spark, sources, IngestionOptions())
+    return raw.select(
+        "source_ord", "source_name", "relative_path", "size", F.sha1("raw").alias("file_hash"))
+
+
+@query("scan_command_files", f"""WITH {TRANSCRIPTS_SQL} SELECT source_ord, path || '.history' AS path,
+  row_number() OVER (PARTITION BY source_ord, path ORDER BY line_no) - 1 AS line_no, line
+  FROM transcripts""")
+def scan_command_files(spark, sf_dir):
+    folder = _mounted(spark, "histories")
+    lines = F.sort_array(F.collect_list(F.struct("line_no", "line")))
+    texts = inputs.transcripts(spark, sf_dir).groupBy("source_ord", "path").agg(lines.alias("_held"))
+    _write_tree(texts.select(
+        F.concat(F.lit("hist"), "source_ord", F.lit("/"), "path", F.lit(".history")).alias("place"),
+        F.array_join("_held.line", "\n").cast("binary").alias("raw")), folder)
+    sources = [
+        ResolvedSource(n, f"hist{n}-commands", "commands", "local", f"{folder}/hist{n}",
+                       commands=CommandSource(f"hist{n}", "local", f"{folder}/hist{n}"))
+        for n in range(3)
+    ]
+    return scan.scan_command_files(spark, sources).withColumn(
+        "path", F.substring_index("path", "/", -1))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -70,15 +69,15 @@ def write_metadata(metadata: DataFrame, output_dir: str) -> str:
 
 
 def write_text(spark: SparkSession, path: str, content: str) -> str:
-    """Write one small driver-side document: a file under ``file://``, else a part file."""
-    local = path.removeprefix("file://")
-    if "://" in local:
-        document = spark.createDataFrame([(content,)], "value string")
-        document.coalesce(1).write.mode("overwrite").text(path)
-        return path
-    os.makedirs(os.path.dirname(local), exist_ok=True)
-    with open(local, "w", encoding="utf-8") as handle:
-        handle.write(content)
+    """Write one small driver-side document as a file, on the file system the path belongs to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(place.getParent())
+    stream = system.create(place, True)
+    try:
+        stream.write(bytearray(content.encode("utf-8")))
+    finally:
+        stream.close()
     return path
 
 

@@ -68,7 +68,9 @@ def scan_command_files(
 
 
 def list_metadata_paths(spark: SparkSession, sources: Sequence[ResolvedSource]) -> DataFrame:
-    """Top-level entries and CI folders of each source, without any ingestion rule."""
+    """Top-level entries and CI folders of each source, without any ingestion rule. A linked
+    CI folder counts."""
     return tree.list_tree(
-        spark, [(s.source_ord, s.path) for s in sources], only_below=fixed.CI_LOCATIONS
+        spark, [(s.source_ord, s.path) for s in sources], only_below=fixed.CI_LOCATIONS,
+        follow_symlinks=True,
     ).select("source_ord", "relative_path", "is_dir")
