@@ -1,9 +1,9 @@
 """Token ids of whole texts by the tokenizers library, with a memo of word-sized chunks.
 
-The byte-level pre-tokenizer never lets a token run from a non-space into white space, so a text
-may be cut in front of each run of white space and every piece encoded by itself. The memo keeps
-the library's ids of such pieces; only pieces that it does not hold reach the library. Any other
-kind of tokenizer file gets whole texts.
+The byte-level pre-tokenizer never lets a token run from a non-space into white space, nor from a
+letter into a mark or digit, so a text may be cut there and every piece encoded by itself. The memo
+keeps the library's ids of such pieces; only pieces that it does not hold reach the library. Any
+other kind of tokenizer file gets whole texts.
 """
 
 from __future__ import annotations
@@ -17,7 +17,12 @@ import numpy as np
 
 # Unicode's White_Space, which the byte-level pattern means by \s.
 _SPACE = "\t-\r \x85\xa0  -     　"
-_CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+# Letters in every version of Unicode, and the marks and digits of ASCII.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_MARKS = r"!-@\[-`{-~"
+_CHUNK = re.compile(
+    f"[{_SPACE}]*(?:[{_LETTERS}]+(?=[{_MARKS}])|[^{_SPACE}]+)|[{_SPACE}]+"
+)
 _CUT = re.compile(f"(?<=[^{_SPACE}])[{_SPACE}]")
 _BLOCK = 1 << 16
 _LONGEST = 64
@@ -26,9 +31,10 @@ _JOINABLE = re.compile(f"[{_SPACE}]")
 
 class Encoder:
     """Encodes texts without added special tokens; special strings in texts are handled as the
-    library does by default. ``memo_chunks`` bounds the memo, which starts anew when full."""
+    library does by default. Two generations of at most ``memo_chunks`` pieces form the memo: a full
+    one becomes the older, whose pieces move up when they are met again."""
 
-    def __init__(self, path: str, memo_chunks: int = 250_000):
+    def __init__(self, path: str, memo_chunks: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -36,6 +42,7 @@ class Encoder:
         self.library.no_padding()
         self.library.no_truncation()
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.memo_chunks = memo_chunks
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -97,10 +104,12 @@ class Encoder:
         for block in self._blocks(text):
             chunks = _CHUNK.findall(block)
             if len(self.memo) > self.memo_chunks:
-                self.memo.clear()
+                self.memo, self.older = {}, self.memo
             got = list(map(self.memo.get, chunks))
             if None in got:
-                new = self._learn({c for c, ids in zip(chunks, got) if ids is None})
+                missing = {c for c, ids in zip(chunks, got) if ids is None}
+                new = {c: ids for c, ids in zip(missing, map(self.older.get, missing)) if ids}
+                new |= self._learn(missing.difference(new))
                 self.memo.update((c, ids) for c, ids in new.items() if len(c) <= _LONGEST)
                 got = [new[c] if ids is None else ids for c, ids in zip(chunks, got)]
             parts.append(b"".join(got))

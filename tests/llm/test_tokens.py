@@ -18,7 +18,7 @@ from millrace.llm.tokens import Encoder
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
 ALPHABET = list("ab é's'll 12\t\n\r\x0b\x0c\x1c\x1f\x85\xa0   　​﻿😀.,!") + [
-    "  ", " the", "<|endoftext|>", "<|end", "oftext|>", "\n\n", " 's", " ",
+    "  ", " the", "the,", "don't", "x'll've", "ÀÉ×÷ª", "abc123", "q!?", "<|endoftext|>", "<|end", "oftext|>", "\n\n", " 's", " ",
 ]
 TEXTS = [None, "", " ", "a", "the same", "the same", "x" * 30_000, "word " * 20_000,
          "<|endoftext|>", "a<|endoftext|> b", "\n \n", "naïve café　漢字"]
