@@ -129,12 +129,13 @@ def _packer(tokenizer: str, end_id: int, limits: Limits):
             rows, held = [], 0
             return pa.RecordBatch.from_arrays(columns, schema=schema)
 
-        encode, end = encoder(tokenizer).encode, np.array([end_id], dtype="<u4").tobytes()
+        encode, end = encoder(tokenizer).encode_many, np.array([end_id], dtype="<u4").tobytes()
         packer = Packer(limits, emit, TaskContext.get().partitionId() << 36)
         for batch in batches:
-            for key, text, prompt in zip(*(batch.column(c) for c in ("doc_id", "text", "prompt"))):
-                ids = np.frombuffer(encode(text.as_py()) + end, dtype="<u4")
-                packer.add(key.as_py(), ids, prompt.as_py())
+            encoded = encode(t.as_py() for t in batch.column("text"))
+            keys, prompts = (batch.column(c).to_pylist() for c in ("doc_id", "prompt"))
+            for key, raw, prompt in zip(keys, encoded, prompts):
+                packer.add(key, np.frombuffer(raw + end, dtype="<u4"), prompt)
                 if held > 4 << 20:
                     yield flush()
         packer.finish()

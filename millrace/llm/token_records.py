@@ -82,9 +82,9 @@ def _writer(folder: str, tokenizer: str, end_id: int, file_bytes: int):
                 out = None
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                doc_id = doc_id.as_py()
-                ids = np.frombuffer(encode.encode(text.as_py()) + end, dtype="<u4")
+            encoded = encode.encode_many(t.as_py() for t in batch.column("text"))
+            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), encoded):
+                ids = np.frombuffer(raw + end, dtype="<u4")
                 if out is None or out["at"] >= file_bytes:
                     close()
                     path = attempt_name(folder, "records", part, len(rows), ".bin")

@@ -25,6 +25,7 @@ _CHUNK = re.compile(
 )
 _CUT = re.compile(f"(?<=[^{_SPACE}])[{_SPACE}]")
 _BLOCK = 1 << 16
+_PIECES = 1 << 12
 _LONGEST = 64
 _JOINABLE = re.compile(f"[{_SPACE}]")
 
@@ -99,34 +100,59 @@ class Encoder:
             begin = cut.start()
         yield text[begin:]
 
-    def _plain(self, text: str) -> list[bytes]:
-        parts = []
-        for block in self._blocks(text):
-            chunks = _CHUNK.findall(block)
-            if len(self.memo) > self.memo_chunks:
-                self.memo, self.older = {}, self.memo
-            got = list(map(self.memo.get, chunks))
-            if None in got:
-                missing = {c for c, ids in zip(chunks, got) if ids is None}
-                new = {c: ids for c, ids in zip(missing, map(self.older.get, missing)) if ids}
-                new |= self._learn(missing.difference(new))
-                self.memo.update((c, ids) for c, ids in new.items() if len(c) <= _LONGEST)
-                got = [new[c] if ids is None else ids for c, ids in zip(chunks, got)]
-            parts.append(b"".join(got))
-        return parts
+    def _ids(self, lists: list[list[str]]) -> list[bytes]:
+        """Ids of lists of pieces; what the memo lacks of all of them is learned in one call."""
+        if len(self.memo) > self.memo_chunks:
+            self.memo, self.older = {}, self.memo
+        memo, extra = self.memo, {}
+        missing = set().union(*lists).difference(memo)
+        if missing:
+            new = {c: ids for c, ids in zip(missing, map(self.older.get, missing)) if ids}
+            new |= self._learn(missing.difference(new))
+            extra = {c: ids for c, ids in new.items() if len(c) > _LONGEST}
+            memo.update(new)
+        found = [b"".join(map(memo.__getitem__, pieces)) for pieces in lists]
+        for long in extra:
+            del memo[long]
+        return found
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers. Null counts as the empty text."""
-        if not text:
-            return b""
+    def _parts(self, text: str):
+        """Pieces of a text in blocks of bounded size; a special string is a block by itself."""
+        pieces = [text]
+        if self.special is not None and any(name in text for name in self.names):
+            pieces = self.special.split(text)
+        for k, piece in enumerate(pieces):
+            if k % 2:
+                yield [piece]
+            else:
+                yield from map(_CHUNK.findall, self._blocks(piece))
+
+    def encode_many(self, texts) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers. Null counts as empty."""
         if not self.chunked:
-            return self._library(text)
-        if self.special is None or not any(name in text for name in self.names):
-            return b"".join(self._plain(text))
-        parts = []
-        for k, piece in enumerate(self.special.split(text)):
-            parts += [self._library(piece)] if k % 2 else self._plain(piece)
-        return b"".join(parts)
+            return [self._library(text) if text else b"" for text in texts]
+        found: list[list[bytes]] = []
+        lists, owners, held = [], [], 0
+
+        def settle():
+            nonlocal lists, owners, held
+            for owner, ids in zip(owners, self._ids(lists)):
+                found[owner].append(ids)
+            lists, owners, held = [], [], 0
+
+        for text in texts:
+            found.append([])
+            for pieces in self._parts(text) if text else ():
+                lists.append(pieces)
+                owners.append(len(found) - 1)
+                held += len(pieces)
+                if held > _PIECES:
+                    settle()
+        settle()
+        return [ids[0] if len(ids) == 1 else b"".join(ids) for ids in found]
+
+    def encode(self, text: str | None) -> bytes:
+        return self.encode_many([text])[0]
 
 
 @lru_cache(maxsize=2)
