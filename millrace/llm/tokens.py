@@ -35,7 +35,7 @@ class Encoder:
     library does by default. Two generations of at most ``memo_chunks`` pieces form the memo: a full
     one becomes the older, whose pieces move up when they are met again."""
 
-    def __init__(self, path: str, memo_chunks: int = 300_000):
+    def __init__(self, path: str, memo_chunks: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
