@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm.language_cnn import UNDETERMINED, identify_language, train_language_network
+from millrace.llm.language_cnn import LEAST_SCORE, identify_language, train_language_network
 from millrace.llm.mixing import Mix, mix_documents
 from millrace.llm.packing import pack_texts
 from millrace.llm.quality_neighbours import fit_neighbours, score_quality
@@ -32,9 +32,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in none of the learned languages: those without a letter."""
+    """Drops documents in none of the learned languages: those that the network scores too low, and
+    those without a letter, whose score is 0."""
     found = identify_language(docs, train_language_network(docs))
-    return kept_by(docs, stage(found.filter(F.col("lang_pred") == UNDETERMINED), "rejected"))
+    return kept_by(docs, stage(found.filter(F.col("score") < LEAST_SCORE), "rejected"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,8 +2,12 @@
 
 A text is lower-cased (A-Z), cut into windows of a fixed number of bytes and fed in batches: byte
 embeddings, convolutions of several widths, maximum over the window, a rectifier and a softmax over
-the learned languages. The probabilities of a text are those of its windows, weighted by letters.
-All windows of a text are read.
+the learned languages and noise. The probabilities of a text are those of its windows, weighted by
+letters. All windows of a text are read.
+
+Noise is made, not labelled: hexadecimal, base64, words of random letters, random characters of
+other scripts and learned windows in shuffled order. A text is given its likeliest language; what noise takes from the
+score of that language tells texts in no learned language apart.
 """
 
 from __future__ import annotations
@@ -17,6 +21,8 @@ from millrace.llm.common import held_out, stratified_keys
 from millrace.llm.files import prepare_tasks
 
 UNDETERMINED = "und"
+# Texts that score less are in no learned language; README has the held-out rows below it.
+LEAST_SCORE = 0.2
 
 
 @dataclass(frozen=True)
@@ -56,13 +62,39 @@ def spread_windows(data: np.ndarray, size: int, most: int) -> np.ndarray:
     return rows
 
 
+def noise_windows(rows: np.ndarray, count: int, seed: int) -> np.ndarray:
+    """``count`` windows of noise, of 32 bytes to the whole width; a fifth are shuffled ``rows``."""
+    draw, width = np.random.default_rng(seed), rows.shape[1]
+    hexadecimal, letters = (np.frombuffer(a, dtype=np.uint8) for a in (
+        b"0123456789abcdef", b"abcdefghijklmnopqrstuvwxyz"))
+    base64 = np.concatenate([letters, letters, hexadecimal[:10], np.frombuffer(b"+/", dtype=np.uint8)])
+    out = np.zeros((count, width), dtype=np.uint8)
+    for k in range(count):
+        size = int(draw.integers(32, width + 1))
+        kind = k % 5
+        if kind == 4:
+            source = rows[draw.integers(len(rows))]
+            line = draw.permutation(source[source > 0])[:size]
+        elif kind == 3:
+            line = draw.integers(128, 192, size).astype(np.uint8)
+            first = int(draw.integers(198, 223))
+            line[::2] = draw.integers(first, first + 2, len(line[::2]))
+        else:
+            line = draw.choice((hexadecimal, base64, letters)[kind], size)
+        if kind in (0, 2, 3) and draw.random() < 0.7:
+            line[np.cumsum(draw.integers(2, 12, size)).clip(max=size - 1)] = 32
+        out[k, :len(line)] = line
+    return out
+
+
 _LETTER = np.zeros(256, dtype=np.float32)
 _LETTER[ord("a"):ord("z") + 1] = 1
 _LETTER[128:] = 1
 
 
 class ByteNetwork:
-    """The network. ``weights`` are embeddings, one filter bank per width, its offsets, the output."""
+    """The network. ``weights`` are embeddings, one filter bank per width, its offsets, the output; the
+    last class of the output, after those of ``labels``, is noise."""
 
     def __init__(self, labels: list[str], settings: Training, weights: list[np.ndarray] | None = None):
         self.labels, self.settings = labels, settings
@@ -72,7 +104,7 @@ class ByteNetwork:
             for width in settings.widths:
                 weights += [draw.normal(0, (1 / (width * d)) ** 0.5, (width, d, f)), np.zeros(f)]
             total = f * len(settings.widths)
-            weights += [draw.normal(0, 0.1, (total, len(labels))), np.zeros(len(labels))]
+            weights += [draw.normal(0, 0.1, (total, len(labels) + 1)), np.zeros(len(labels) + 1)]
         self.weights = [w.astype(np.float32) for w in weights]
 
     def tables(self) -> list[list[np.ndarray]]:
@@ -122,7 +154,7 @@ class ByteNetwork:
         a gradient, so a step touches one patch per window and filter."""
         s = self.settings
         draw = np.random.default_rng(s.seed)
-        share = np.bincount(target, minlength=len(self.labels)).astype(np.float64)
+        share = np.bincount(target, minlength=len(self.labels) + 1).astype(np.float64)
         weight = (len(target) / np.maximum(share, 1) / max(1, (share > 0).sum())).astype(np.float32)
         first = [np.zeros_like(w) for w in self.weights]
         second = [np.zeros_like(w) for w in self.weights]
@@ -219,8 +251,10 @@ def train_language_network(docs: DataFrame, settings: Training = Training()) ->
     labels = sorted({row.lang for row in found})
     network = ByteNetwork(labels, settings)
     data = np.frombuffer(b"".join(bytes(row["row"]) for row in found), dtype=np.uint8)
+    data = data.reshape(-1, settings.window)
     target = np.array([labels.index(row.lang) for row in found])
-    network.train(data.reshape(-1, settings.window), target)
+    noise = noise_windows(data, -(-len(data) // len(labels)), settings.seed)
+    network.train(np.concatenate([data, noise]), np.r_[target, np.full(len(noise), len(labels))])
     return network
 
 
@@ -242,7 +276,7 @@ def classify(network: ByteNetwork, tables, texts: list[str | None]) -> list[tupl
     sums = np.add.reduceat(votes, starts, axis=0)
     sums /= np.add.reduceat(weight, starts)[:, None]
     for k, p in zip(owner[starts].tolist(), sums):
-        best = int(p.argmax())
+        best = int(p[:len(network.labels)].argmax())
         out[k] = (network.labels[best], float(min(1.0, p[best])))
     return out
 

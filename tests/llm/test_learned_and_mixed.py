@@ -1,5 +1,6 @@
 """Classifiers by held-out accuracy, mixing by its weights, the pipeline by brute force."""
 
+import base64
 import math
 import random
 import zlib
@@ -200,6 +201,22 @@ def test_pipeline_stages_take_effect(spark):
     assert {r.doc_id for r in pieces.select("doc_id").collect()} == after_ids
 
 
+def test_language_stage_rejects_noise_with_letters(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    draw = random.Random(8)
+    noise = [
+        "".join(draw.choices("0123456789abcdef", k=900)),
+        "\n".join(base64.b64encode(draw.randbytes(57)).decode() for _ in range(12)),
+        " ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(2, 9))) for _ in range(150)),
+        "".join(draw.choices("абвгдежзийклмнопрстуфхцчшщъыьэюя ", k=600)),
+    ]
+    planted = spark.createDataFrame(
+        [(200_000 + k, t, None, "src0", len(t)) for k, t in enumerate(noise)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs.union(planted), SF).select("doc_id").collect()}
+    assert not {k for k in kept if k >= 200_000}
+    assert docs.count() - len(kept) <= 0.002 * docs.count()
+
+
 def test_queries_are_registered():
     names = set(entry.queries())
     assert "pipeline" in names
