@@ -8,39 +8,31 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm.language_cnn import LEAST_SCORE, identify_language, train_language_network
+from millrace.llm.language_cnn import keep_languages, train_language_network
 from millrace.llm.mixing import Mix, mix_documents
 from millrace.llm.packing import pack_texts
-from millrace.llm.quality_neighbours import fit_neighbours, score_quality
+from millrace.llm.quality_neighbours import fit_neighbours, keep_quality
 from millrace.llm.simhash import keep_one_of_each
 from millrace.staging import stage
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def kept_by(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Rows of ``docs`` without those whose id is among the rejected. Only ids move to the texts; the
-    rejected ids are shuffled with them, or broadcast by Spark where its own size check allows."""
-    rejected = verdicts.select("doc_id").filter("doc_id IS NOT NULL").distinct()
-    return docs.join(rejected, "doc_id", "left_anti")
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the nearest-neighbour classifier rejects."""
     model = fit_neighbours(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return kept_by(docs, stage(score_quality(docs, model).filter("predicted = 0"), "rejected"))
+    return keep_quality(docs, model)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in none of the learned languages: those that the network scores too low, and
     those without a letter, whose score is 0."""
-    found = identify_language(docs, train_language_network(docs))
-    return kept_by(docs, stage(found.filter(F.col("score") < LEAST_SCORE), "rejected"))
+    return keep_languages(docs, train_language_network(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves one document of each group of SimHash near-duplicates."""
-    return keep_one_of_each(docs)
+    return keep_one_of_each(docs, null_ids_stay=False)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

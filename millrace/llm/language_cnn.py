@@ -317,3 +317,26 @@ def identify_language(docs: DataFrame, network: ByteNetwork | None) -> DataFrame
         _classifier(network.labels, network.settings, network.weights),
         "doc_id bigint, lang_pred string, score double",
     )
+
+
+def keep_languages(docs: DataFrame, network: ByteNetwork | None, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` that score at least ``least``. Each row is judged by itself where it is read,
+    whatever its id; without a network none stays."""
+    prepare_tasks(docs.sparkSession)
+    if network is None:
+        return docs.limit(0)
+
+    labels, settings, weights = network.labels, network.settings, network.weights
+
+    def run(batches):
+        import pyarrow as pa
+
+        own = ByteNetwork(labels, settings, weights)
+        tables = own.tables()
+        for batch in batches:
+            scores, texts = [], batch.column("text")
+            for k in range(0, len(texts), 32):
+                scores += [f[1] for f in classify(own, tables, texts.slice(k, 32).to_pylist())]
+            yield batch.filter(pa.array([score >= least for score in scores], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

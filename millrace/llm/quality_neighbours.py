@@ -205,3 +205,26 @@ def score_quality(docs: DataFrame, model: NeighbourModel | None) -> DataFrame:
             "doc_id bigint, score double",
         )
     return scored.withColumn("predicted", (F.col("score") >= accept).cast("int"))
+
+
+def keep_quality(docs: DataFrame, model: NeighbourModel | None) -> DataFrame:
+    """The rows of ``docs`` that the model accepts. Each row is judged by itself where it is read,
+    whatever its id; without a model none stays, as every score is 0.5."""
+    prepare_tasks(docs.sparkSession)
+    if model is None:
+        return docs.limit(0)
+
+    settings, learned = model.settings, (model.projection, model.vectors, model.labels)
+
+    def run(batches):
+        import pyarrow as pa
+
+        own = NeighbourModel(settings, *learned)
+        for batch in batches:
+            texts, scores = batch.column("text"), []
+            for k in range(0, len(texts), 64):
+                counts = np.stack([term_counts(t.as_py(), settings) for t in texts.slice(k, 64)])
+                scores += own.score(counts).tolist()
+            yield batch.filter(pa.array([score >= settings.accept for score in scores], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

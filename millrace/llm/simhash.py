@@ -69,8 +69,9 @@ def _fingerprints(shingle: int):
         for batch in batches:
             values = [fingerprint(text.as_py(), shingle) for text in batch.column("text")]
             signed = np.array(values, dtype=np.uint64).view(np.int64)
+            names = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(signed)], ["doc_id", "fp"]
+                [*map(batch.column, names), pa.array(signed)], [*names, "fp"]
             )
 
     return compute
@@ -189,16 +190,39 @@ def simhash_components(
     )
 
 
-def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; of rows that repeat such an id
-    one stays. Rows without an id cannot be told apart and stay."""
-    from pyspark.sql import Window
+def row_key(docs: DataFrame) -> Column:
+    """Digest of a whole row: equal for rows that agree in every column, nulls included."""
+    others = [F.col(c) for c in docs.columns if c != "text"]
+    return F.unhex(F.md5(F.concat(
+        F.to_json(F.struct(*others, F.col("text").isNull().alias("_no_text"))), F.lit("\n"),
+        F.coalesce("text", F.lit("")),
+    )))
 
-    kept = simhash_components(docs, shingle, max_bits).filter("doc_id = component_id").select(
-        "doc_id").distinct()
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    return (
-        docs.join(kept.hint("merge"), "doc_id").withColumn("_simhash_place", place)
-        .filter("_simhash_place = 1").select(*docs.columns)
-        .unionByName(docs.filter("doc_id IS NULL"))
-    )
+
+def keep_one_of_each(
+    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, *, null_ids_stay: bool = True
+) -> DataFrame:
+    """One row of each component: the one with the smallest id, and of rows that share that id the
+    one with the smallest digest of the row.
+
+    Verdicts belong to rows: rows of one id with different texts are judged apart. Copies of a whole row
+    are made one with a partial step before the shuffle, so a row that a third of the table
+    repeats is one row per task. Rows without an id come after all others in their component; with
+    ``null_ids_stay`` they link others but all stay.
+    """
+    keyed = docs.withColumn("_row_key", row_key(docs))
+    prepare_tasks(docs.sparkSession)
+    marked = stage(keyed.select("doc_id", "_row_key", "text").mapInArrow(
+        _fingerprints(shingle), "doc_id bigint, _row_key binary, fp bigint"), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row_key")).alias("first")
+    nodes = marked.groupBy("fp").agg(first)
+    roots = component_roots(fingerprint_links(nodes.select("fp"), max_bits))
+    rooted = nodes.join(
+        roots.select(F.col("a").alias("fp"), F.col("b").alias("_root")), "fp", "left"
+    ).select("first", F.coalesce("_root", "fp").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    if null_ids_stay:
+        keyed, kept = keyed.filter("doc_id IS NOT NULL"), kept.filter("NOT n")
+    kept = kept.select("_row_key")
+    rows = keyed.dropDuplicates(["_row_key"]).join(kept.hint("merge"), "_row_key").select(*docs.columns)
+    return rows.unionByName(docs.filter("doc_id IS NULL")) if null_ids_stay else rows

@@ -201,6 +201,19 @@ def test_pipeline_stages_take_effect(spark):
     assert {r.doc_id for r in pieces.select("doc_id").collect()} == after_ids
 
 
+def test_stages_reject_rows_and_not_ids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    twin, good = docs.orderBy("doc_id").first(), docs.filter("lang = 'en' AND n_chars > 3000").first()
+    noise = "".join(random.Random(3).choices("0123456789abcdef", k=2000))
+    for function, junk in ((corpus_pipeline.quality, "AB!! CD!! " * 200), (corpus_pipeline.language, noise)):
+        planted = spark.createDataFrame(
+            [(twin.doc_id, junk, None, "src0", -1), (None, junk, None, "src0", -1),
+             (None, good.text, "en", "src0", -2)], docs.schema)
+        after = function(spark, docs.union(planted), SF)
+        assert [r.n_chars for r in after.filter("n_chars < 0").collect()] == [-2]
+        assert after.filter(F.col("doc_id") == twin.doc_id).count() == 1
+
+
 def test_language_stage_rejects_noise_with_letters(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     draw = random.Random(8)

@@ -109,6 +109,17 @@ def test_components_of_documents(spark):
     assert keep_one_of_each(docs).columns == docs.columns
 
 
+def test_rows_of_one_id_are_judged_apart(spark):
+    draw = random.Random(4)
+    a, b, c, d = (" ".join(draw.choices([f"w{i}" for i in range(400)], k=80)) for _ in range(4))
+    rows = [(1, a), (1, b), (1, b), (2, b), (3, c), (None, c), (None, d), (None, d)] + [(7, a)] * 40
+    docs = spark.createDataFrame([(k, t, "x", 0, 0) for k, t in rows], SCHEMA).repartition(4)
+    got = keep_one_of_each(docs, null_ids_stay=False).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, a), (1, b), (3, c), (None, d)], key=str)
+    stay = keep_one_of_each(docs).collect()
+    assert len(stay) == 6 and sum(r.doc_id is None for r in stay) == 3
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert simhash_components(docs).count() == 0
