@@ -38,8 +38,12 @@ def word_lines(text: Column) -> Column:
     return F.filter(F.transform(lines, split_words), lambda words: F.size(words) > 0)
 
 
+def line_hash(words: Column) -> Column:
+    return F.xxhash64(F.lower(F.array_join(words, " ")))
+
+
 def line_hashes(lines: Column) -> Column:
-    return F.transform(lines, lambda words: F.xxhash64(F.lower(F.array_join(words, " "))))
+    return F.transform(lines, line_hash)
 
 
 def symbol_count(text: Column) -> Column:
@@ -94,22 +98,23 @@ def with_repeat_words(df: DataFrame, words: str, name: str) -> DataFrame:
 
 
 def base_metrics(docs: DataFrame, text: str, keep: list[Column]) -> DataFrame:
-    """Counts of each whole text, beside its lines as (hash, words) structs in ``_lines``."""
+    """Counts of each whole text, beside its lines as (raw line, hash) structs in ``_lines``; lines
+    without a word have no hash, and a null text has no lines."""
     whole = F.coalesce(F.col(text), F.lit(""))
     df = docs.select(
-        *keep, word_lines(F.col(text)).alias("_word_lines"),
+        *keep, F.split(F.col(text), "\n", -1).alias("_raw_lines"),
+        F.transform(F.split(whole, "\n", -1), split_words).alias("_word_lines"),
         symbol_count(whole).alias("n_symbols"), duplicate_lines(whole).alias("n_dup_lines"),
     )
     df = df.withColumn("_words", F.flatten("_word_lines"))
     df = with_repeat_words(df, "_words", "n_repeat_words")
     return df.select(
-        *[c for c in df.columns if c not in ("_words", "_word_lines")],
+        *[c for c in df.columns if c not in ("_words", "_word_lines", "_raw_lines")],
         F.size("_words").cast("bigint").alias("n_words"),
         F.char_length(F.array_join("_words", "")).cast("bigint").alias("word_chars"),
-        F.arrays_zip(
-            line_hashes(F.col("_word_lines")).alias("h"),
-            F.transform("_word_lines", lambda x: F.size(x)).alias("n"),
-        ).alias("_lines"),
+        F.zip_with("_raw_lines", "_word_lines", lambda raw, words: F.struct(
+            raw.alias("raw"), F.when(F.size(words) > 0, line_hash(words)).alias("h"),
+        )).alias("_lines"),
     )
 
 
@@ -142,16 +147,16 @@ def frequent_lines(
     )
 
 
-def line_frequency_rules(
+def remove_frequent_lines(
     docs: DataFrame, rules: LineRules = LineRules(), *, text: str = "text",
     doc_id: str = "doc_id", host: str = "source", limit: int | None = None,
 ) -> DataFrame:
-    """One row per row of ``docs``: its id, the counts, ``removed_words`` and the verdicts.
+    """One row per row of ``docs``: its id, ``text`` without the frequent lines, and the counts of the
+    whole text.
 
-    Null or blank texts have no words and fail the base rules. Rows without a host form a host of
-    their own. Rows with the same id are judged one by one, and count as one document in the
-    line counts. An empty table gives an empty one; other columns are not read. ``limit``
-    is the row bound for a broadcast of the frequent lines, whose size is measured.
+    Lines go through the join with their number and are put together in order; the others, blank
+    ones too, stay as they are. A null text stays null. ``limit`` is the row bound for a
+    broadcast of the frequent lines, whose size is measured.
     """
     frequent = frequent_lines(docs, rules, text=text, doc_id=doc_id, host=host)
     base = base_metrics(docs, text, [
@@ -160,22 +165,45 @@ def line_frequency_rules(
     ])
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     lines = base.select(
-        "_row", "doc_id", "_host", "_no_host", *counts, F.explode_outer("_lines").alias("_line")
-    ).select("*", F.col("_line.h").alias("_hash"), F.col("_line.n").alias("_n")).drop("_line")
+        "_row", "doc_id", "_host", "_no_host", *counts, F.posexplode_outer("_lines").alias("_at", "_line")
+    ).select(
+        "*", F.col("_line.h").alias("_hash"), F.col("_line.raw").alias("_raw")
+    ).drop("_line")
     flagged = sized_join(
         lines, frequent.withColumn("_gone", F.lit(True)), ["_host", "_no_host", "_hash"], "left",
         limit=limit,
     )
-    judged = flagged.groupBy("_row").agg(
+    left = F.when(F.col("_gone").isNull() & F.col("_raw").isNotNull(), F.struct("_at", "_raw"))
+    held = flagged.groupBy("_row").agg(
         *[F.first(c).alias(c) for c in ("doc_id", *counts)],
-        F.sum(F.when(F.col("_gone"), F.col("_n")).otherwise(0)).cast("bigint").alias("removed_words"),
+        F.count("_raw").alias("_all"), F.collect_list(left).alias("_left"),
     )
-    n, left = F.col("n_words"), F.col("n_words") - F.col("removed_words")
+    whole = F.array_join(F.sort_array("_left")["_raw"], "\n")
+    return held.select("doc_id", F.when(F.col("_all") > 0, whole).alias("text"), *counts)
+
+
+def line_frequency_rules(
+    docs: DataFrame, rules: LineRules = LineRules(), *, text: str = "text",
+    doc_id: str = "doc_id", host: str = "source", limit: int | None = None,
+) -> DataFrame:
+    """One row per row of ``docs``: its id, the counts, ``removed_words`` and the verdicts, from the
+    texts that ``remove_frequent_lines`` leaves.
+
+    Null or blank texts have no words and fail the base rules. Rows without a host form a host of
+    their own. Rows with the same id are judged one by one, and count as one document in the
+    line counts. An empty table gives an empty one; other columns are not read.
+    """
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    words_left = F.coalesce(F.size(split_words(F.col("text"))), F.lit(0)).cast("bigint")
+    judged = remove_frequent_lines(
+        docs, rules, text=text, doc_id=doc_id, host=host, limit=limit
+    ).select("doc_id", *counts, F.when(F.col("text").isNull(), 0).otherwise(words_left).alias("_words_left"))
+    n, left = F.col("n_words"), F.col("_words_left")
     failed = (n < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * n
     )
     depleted = (left < rules.min_left_words) | (left < n * rules.min_left_share)
     return judged.select(
-        "doc_id", *counts, "removed_words", failed.alias("base_failed"),
+        "doc_id", *counts, (n - left).alias("removed_words"), failed.alias("base_failed"),
         (~failed & ~depleted).alias("kept"),
     )

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from millrace.llm.line_frequency import LineRules, line_frequency_rules
+from millrace.llm.line_frequency import LineRules, line_frequency_rules, remove_frequent_lines
 from millrace.llm.weighted_sampling import weighted_fingerprints
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -80,6 +80,31 @@ def test_line_rules_equal_brute_force(spark, limit):
     assert sum(w[-1] for w in want) > 20 and any(w[6] for w in want)
 
 
+@pytest.mark.parametrize("limit", [None, 0])
+def test_texts_come_without_their_frequent_lines(spark, limit):
+    rows = random_docs(120)
+    holders, hosts = defaultdict(set), defaultdict(set)
+
+    def norm(line):
+        return " ".join(WORD.findall(line)).lower()
+
+    for k, text, host in rows:
+        hosts[host].add(k)
+        for line in (text or "").split("\n"):
+            if norm(line):
+                holders[host, norm(line)].add(k)
+    want = Counter()
+    for k, text, host in rows:
+        left = None if text is None else "\n".join(
+            line for line in text.split("\n") if not norm(line) or not (
+                len(holders[host, norm(line)]) > max(
+                    RULES.min_documents, RULES.host_share * len(hosts[host]))))
+        want[k, left] += 1
+    got = remove_frequent_lines(frame(spark, rows), RULES, limit=limit).select("doc_id", "text").collect()
+    assert Counter(map(tuple, got)) == want
+    assert sum(left != text for (_, left), (_, text, _) in zip(want, rows)) > 10
+
+
 def test_line_rules_of_an_empty_table(spark):
     assert line_frequency_rules(frame(spark, []), RULES).count() == 0
 
