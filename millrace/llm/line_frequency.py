@@ -21,8 +21,8 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class LineRules:
-    """Limits. A line goes if over ``max(min_documents, host_share * documents of the host)``
-    documents of its host hold it."""
+    """Limits. A line goes if over ``max(min_documents, min(max_documents, host_share * documents of the
+    host))`` documents of its host hold it: in a large host the count decides, not the share."""
 
     min_documents: int = 5
     host_share: float = 0.01
@@ -30,6 +30,7 @@ class LineRules:
     max_repeat_percent: int = 20
     min_left_words: int = 10
     min_left_share: float = 0.5
+    max_documents: int = 100
 
 
 def word_lines(text: Column) -> Column:
@@ -141,7 +142,8 @@ def frequent_lines(
     )
     return (
         counts.join(hosts, F.col("_host").eqNullSafe(F.col("_of")))
-        .filter(F.col("_documents") > F.col("_host_documents") * rules.host_share)
+        .filter(F.col("_documents") > F.least(
+            F.col("_host_documents") * rules.host_share, F.lit(float(rules.max_documents))))
         .select(F.coalesce("_host", F.lit("")).alias("_host"),
                 F.col("_host").isNull().alias("_no_host"), "_hash")
     )

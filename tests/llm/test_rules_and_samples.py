@@ -105,6 +105,14 @@ def test_texts_come_without_their_frequent_lines(spark, limit):
     assert sum(left != text for (_, left), (_, text, _) in zip(want, rows)) > 10
 
 
+def test_a_repeated_line_goes_in_small_and_hot_hosts(spark):
+    line, own = "read more in our newsletter", "word {} stands here alone with ten other words of its own"
+    rows = [(k, f"{line}\n{own.format(k)}" if k < 110 else own.format(k), "hot") for k in range(12_000)]
+    rows += [(20_000 + k, f"{line}\n{own.format(k)}", "small") for k in range(110)]
+    got = remove_frequent_lines(frame(spark, rows)).filter("doc_id < 110 OR doc_id >= 20000")
+    assert {r.text for r in got.collect()} == {own.format(k) for k in range(110)}
+
+
 def test_line_rules_of_an_empty_table(spark):
     assert line_frequency_rules(frame(spark, []), RULES).count() == 0
 
