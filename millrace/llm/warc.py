@@ -27,7 +27,7 @@ MEMBER = b"\x1f\x8b\x08"
 _STEP = 1 << 16
 _FILES = "partition int, number int, path string, records bigint, bytes bigint"
 _READ = (
-    "path string, offset bigint, length bigint, reason string, record_type string, record_id string, "
+    "path string, offset bigint, length bigint, inner_offset bigint, inner_length bigint, reason string, record_type string, record_id string, "
     "target_uri string, refers_to string, payload_digest string, payload_bytes bigint, payload binary"
 )
 
@@ -117,11 +117,13 @@ def write_warc(
 
 @dataclass
 class Gap:
-    """Bytes that belong to no valid record."""
+    """Bytes that belong to no valid record. ``inner`` is the offset and length of a bad stretch in the
+    inflated bytes of its member, which then is at ``begin``."""
 
     begin: int
     end: int
     reason: str
+    inner: tuple[int, int] | None = None
 
 
 @dataclass
@@ -138,9 +140,9 @@ class Damaged(ValueError):
     pass
 
 
-def parse(data: bytes) -> tuple[dict[str, str], bytes, int]:
-    """Fields, block and length of the record at the start of ``data``; all checks must hold."""
-    version = VERSION.match(data)
+def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
+    """Fields, block and length of the record at ``at`` in ``data``; all checks must hold."""
+    version = VERSION.match(data, at)
     if version is None:
         raise Damaged("no version line")
     end = data.find(b"\r\n\r\n", version.end() - 2)
@@ -165,23 +167,82 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes, int]:
     kind, _, digest = fields.get("warc-block-digest", "").partition(":")
     if kind == "sha256" and hashlib.sha256(block).hexdigest() != digest:
         raise Damaged("block digest fails")
-    return fields, block, begin + length + 4
+    return fields, block, begin + length + 4 - at
 
 
-def _inflate(file, at: int, size: int) -> tuple[bytes, int]:
-    """The gzip member at a place, and where it ends. Length and checksum are tested."""
+def _inflate(file, at: int, size: int) -> tuple[bytes, int, str | None]:
+    """The gzip member at a place, where it ends, and what is wrong with it. Length and checksum are
+    tested; of a damaged member all that can be inflated is returned."""
     unpack, parts, place = zlib.decompressobj(31), [], at
     while not unpack.eof:
         file.seek(place)
         step = file.read(min(_STEP, size - place))
         if not step:
-            raise Damaged("member is cut off")
-        place += len(step)
+            return b"".join(parts), place, "member is cut off"
+        before = unpack.copy()
         try:
             parts.append(unpack.decompress(step))
         except zlib.error as error:
-            raise Damaged(f"member fails: {error}") from None
-    return b"".join(parts), place - len(unpack.unused_data)
+            try:
+                for k in range(len(step)):
+                    parts.append(before.decompress(step[k:k + 1]))
+            except zlib.error:
+                pass
+            return b"".join(parts), place + k, f"member fails: {error}"
+        place += len(step)
+    return b"".join(parts), place - len(unpack.unused_data), None
+
+
+def _inflated_to(file, at: int, size: int, length: int) -> int:
+    """Place in the file up to which a member must be read for its first ``length`` bytes."""
+    unpack, place = zlib.decompressobj(31), at
+    while length > 0:
+        file.seek(place)
+        step = file.read(min(_STEP, size - place))
+        place += len(step)
+        while step and length > 0:
+            before = unpack.copy()
+            try:
+                length -= len(unpack.decompress(step, length))
+                step = unpack.unconsumed_tail
+            except zlib.error:
+                for k in range(len(step)):
+                    length -= len(before.decompress(step[k:k + 1]))
+                    if length <= 0:
+                        return place - len(step) + k + 1
+    return place - len(step)
+
+
+def _inside(data: bytes, at: int, end: int, error: str | None) -> tuple[list, int]:
+    """Records and bad stretches in the inflated bytes of a member, and where its last record ends.
+
+    Where a record fails, the search goes on at the next version line. In a member whose bytes are known
+    to be wrong somewhere, only records count whose block digest is stated and holds; a record that
+    is all of such a member does not, as the wrong bytes may be in its fields.
+    """
+    parts, inner, gap, last = [], 0, None, 0
+    while inner < len(data):
+        try:
+            fields, block, length = parse(data, inner)
+            if error and error.startswith("member fails") and not fields.get(
+                    "warc-block-digest", "").startswith("sha256:"):
+                raise Damaged("no digest in a member that fails")
+        except Damaged as reason:
+            gap = gap or (inner, str(reason))
+            inner = data.find(b"WARC/", inner + 1)
+            if inner < 0:
+                break
+            continue
+        if gap:
+            parts.append(Gap(at, end, gap[1], (gap[0], inner - gap[0])))
+            gap = None
+        parts.append(Found(at, end, fields, block))
+        inner = last = inner + length
+    if error and error.startswith("member fails") and len(parts) == 1 and last == len(data):
+        return [], 0
+    if gap or error:
+        parts.append(Gap(at, end, error or gap[1], (last, len(data) - last)))
+    return parts, last
 
 
 def _find(file, marks: tuple[bytes, ...], at: int, size: int) -> int:
@@ -220,22 +281,23 @@ def salvage(file, size: int):
     """Records and gaps of an archive, in order; together they cover all its bytes.
 
     A member or plain record that fails a check begins a gap. The search goes on for the next member
-    or version line at which a valid record begins, and the gap ends there.
+    or version line at which a valid record begins, and the gap ends there. A member that holds a
+    valid record is searched inside: its records and bad stretches all have the place of the member,
+    which ends where the next valid record begins if it is itself damaged.
     """
-    at, gap = 0, None
+    at, gap, held = 0, None, []
     while at < size:
         file.seek(at)
         lead = file.read(5)
+        resume = None
         try:
             if lead[:3] == MEMBER:
-                data, end = _inflate(file, at, size)
-                found, inner = [], 0
-                while inner < len(data):
-                    fields, block, length = parse(data[inner:] if inner else data)
-                    found.append(Found(at, end, fields, block))
-                    inner += length
-                if not found:
-                    raise Damaged("empty member")
+                data, end, error = _inflate(file, at, size)
+                found, last = _inside(data, at, end, error)
+                if not last:
+                    raise Damaged(error or (found[0].reason if found else "empty member"))
+                if error:
+                    resume = max(at + 1, _inflated_to(file, at, size, last))
             elif lead == b"WARC/":
                 fields, block, length = _plain(file, at, size)
                 end = at + length
@@ -243,18 +305,23 @@ def salvage(file, size: int):
             else:
                 raise Damaged("neither a member nor a version line")
         except Damaged as error:
-            gap = gap or Gap(at, at, str(error))
+            if not held:
+                gap = gap or Gap(at, at, str(error))
             at = _find(file, (MEMBER, b"WARC/"), at + 1, size)
             continue
-        if gap:
-            gap.end = at
-            yield gap
-            gap = None
-        yield from found
-        at = end
-    if gap:
-        gap.end = size
-        yield gap
+        for part in [gap] if gap else held:
+            part.end = at
+            yield part
+        gap, held = None, []
+        if resume is None:
+            yield from found
+            at = end
+        else:
+            held = found
+            at = _find(file, (MEMBER, b"WARC/"), resume, size)
+    for part in [gap] if gap else held:
+        part.end = size
+        yield part
 
 
 def _payload(found: Found) -> tuple[bytes, int | None]:
@@ -268,7 +335,8 @@ def _reader(batches):
     import pyarrow as pa
 
     schema = pa.schema([
-        ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("reason", pa.string()),
+        ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64()),
+        ("inner_offset", pa.int64()), ("inner_length", pa.int64()), ("reason", pa.string()),
         ("record_type", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string()),
         ("refers_to", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()),
         ("payload", pa.binary()),
@@ -280,7 +348,9 @@ def _reader(batches):
                 for found in salvage(file, file.size()):
                     row = {"path": path, "offset": found.begin, "length": found.end - found.begin}
                     if isinstance(found, Gap):
-                        rows.append(row | {"reason": found.reason})
+                        inner = found.inner or (None, None)
+                        rows.append(row | {
+                            "reason": found.reason, "inner_offset": inner[0], "inner_length": inner[1]})
                         continue
                     fields, (payload, stated) = found.fields, _payload(found)
                     revisit = fields.get("warc-type") == "revisit"
@@ -305,7 +375,8 @@ def _reader(batches):
 def read_warc(files: DataFrame) -> DataFrame:
     """Records and quarantined gaps of the archives named in ``path``.
 
-    A row with a ``reason`` is a gap, from ``offset`` over ``length`` bytes; the others are records.
+    A row with a ``reason`` is a gap, from ``offset`` over ``length`` bytes; the others are records. A
+    gap inside a member that holds valid records has its place in the inflated bytes, too.
     Digest and length are those of the full payload: computed from responses, stated by revisits.
     One task reads an archive record by record.
     """

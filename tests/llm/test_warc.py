@@ -78,6 +78,33 @@ def test_member_with_two_records():
     assert [warc._payload(p)[0] for p in scan(data)] == [b"a", b"b"]
 
 
+def found_ids(parts):
+    return [int(p.fields["warc-record-id"].strip("<>").rpartition(":")[2]) for p in parts if isinstance(p, Found)]
+
+
+def test_damage_inside_a_member_with_several_records():
+    records = [make(k, p) for k, p in enumerate(payloads())]
+    hurt = bytearray(records[5])
+    hurt[-6] ^= 0xFF
+    data = member(b"".join([*records[:5], bytes(hurt), *records[6:]])) + member(make(99, b"next"))
+    parts = scan(data)
+    assert found_ids(parts) == [k for k in range(len(records)) if k != 5] + [99]
+    gap, = [p for p in parts if isinstance(p, Gap)]
+    assert gap.inner == (sum(map(len, records[:5])), len(hurt)) and gap.begin == 0
+
+
+def test_records_of_a_member_that_is_cut_off_or_fails():
+    records = [make(k, p) for k, p in enumerate(payloads())]
+    whole, after = member(b"".join(records)), member(make(99, b"next"))
+    for broken in (whole[:-20], whole[:len(whole) * 2 // 3], whole[:-6] + b"\0\0" + whole[-4:]):
+        for tail in (b"", after):
+            ids = found_ids(parts := scan(broken + tail))
+            first = [k for k in ids if k != 99]
+            assert len(first) >= 4 and first == list(range(len(first)))
+            assert (99 in ids) == bool(tail) and any(isinstance(p, Gap) for p in parts)
+            assert parts[-1].end == len(broken + tail)
+
+
 def test_pages_round_trip_with_revisits(spark, tmp_path):
     big, small = "x" * 100, "y" * 99
     rows = [(5, "u 5", big), (2, None, big), (9, "u9", big), (1, "u1", small), (3, "u3", small),
