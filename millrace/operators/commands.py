@@ -127,7 +127,8 @@ def command_source_records(
     so on, under the ingestion rules.
 
     ``sources`` has ``source_ord`` and ``name``. The record belongs to the source
-    ``<name>-commands``.
+    ``<name>-commands``. The size cap has cut the corpora already; a part that a long command makes
+    larger than the cap stays, so no command is lost.
     """
     named = sized_join(corpora, sources.select("source_ord", "name"), ["source_ord"], rows=rows)
     return named.select(
@@ -143,7 +144,6 @@ def command_source_records(
         F.col("text").cast("binary").alias("raw"),
     ).filter(
         paths.allowed_extension("relative_path", options.include_extensions)
-        & (F.col("size") <= F.lit(options.max_bytes))
     )
 
 

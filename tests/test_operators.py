@@ -133,6 +133,15 @@ def test_corpus_above_the_cap_comes_in_parts(spark):
         "a-b.terminal", "c-2.terminal", "c.terminal"]
 
 
+def test_a_part_above_the_cap_is_kept(spark):
+    lines = [(0, "h", k, c) for k, c in enumerate(["ls", "cd x", "z" * 70, "top"])]
+    table = spark.createDataFrame(lines, "source_ord int, path string, line_no bigint, line string")
+    corpus = commands.corpus_records(commands.command_corpus(table, ()), 60)
+    names = spark.createDataFrame([(0, "a")], "source_ord int, name string")
+    records = commands.command_source_records(corpus, names, IngestionOptions(max_file_size_mb=60 / (1 << 20))).collect()
+    assert sorted(c for r in records for c in bytes(r.raw).decode().split("\n")) == sorted(x[3] for x in lines)
+
+
 @pytest.mark.parametrize("limit", [None, 0])
 def test_null_keys_and_orders_follow_one_rule(spark, limit):
     schema = "key string, a int, b int"
