@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from millrace.llm.common import held_out
+from millrace.llm.fill_middle import fill_in_middle, restore
 from millrace.llm.language_cnn import identify_language, train_language_network
 from millrace.llm.line_frequency import line_frequency_rules
 from millrace.llm.mixing import Mix, mixing_plan
@@ -143,3 +144,32 @@ def op8_quality(spark, sf_dir):
     docs = documents(spark, sf_dir)
     model = fit_neighbours(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score_quality(docs, model).withColumn("held_out", held_out(F.col("doc_id")))
+
+
+FILL_MIDDLE_SQL = """
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+units AS (SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS u,
+    [CAST('0x' || substr(digest, k, 8) AS BIGINT) for k in [1, 9, 17, 25]] AS h FROM docs),
+cuts AS (SELECT doc_id, text, u, h, CAST(len(u) AS BIGINT) AS n,
+    least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a,
+    greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM units),
+parts AS (SELECT doc_id, text, n, form, array_to_string(u[1:a], '') AS prefix,
+    array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM cuts)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM parts"""
+
+
+@query("op11_fill_middle", FILL_MIDDLE_SQL)
+def op11_fill_middle(spark, sf_dir):
+    made = fill_in_middle(documents(spark, sf_dir))
+    restored = restore(F.col("output"), F.col("form"))
+    return made.withColumn("output_sha256", F.sha2("output", 256)).withColumn(
+        "restored_sha256", F.sha2(restored, 256)).drop("output")
