@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from millrace.llm.byte_bpe import Vocabulary, decode_texts, encode_texts
 from millrace.llm.common import held_out
 from millrace.llm.fill_middle import fill_in_middle, restore
 from millrace.llm.language_cnn import identify_language, train_language_network
@@ -20,6 +21,7 @@ from millrace.llm.weighted_sampling import weighted_fingerprints
 from millrace.staging import new_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 OVER_TOKENS = 512
 
 QUERIES: dict = {}
@@ -173,3 +175,12 @@ def op11_fill_middle(spark, sf_dir):
     restored = restore(F.col("output"), F.col("form"))
     return made.withColumn("output_sha256", F.sha2("output", 256)).withColumn(
         "restored_sha256", F.sha2(restored, 256)).drop("output")
+
+
+@query("op12_byte_bpe")
+def op12_byte_bpe(spark, sf_dir):
+    coded = decode_texts(encode_texts(documents(spark, sf_dir), RANKS), RANKS)
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
