@@ -11,6 +11,7 @@ from millrace.llm.fill_middle import fill_in_middle, restore
 from millrace.llm.language_cnn import identify_language, train_language_network
 from millrace.llm.line_frequency import line_frequency_rules
 from millrace.llm.mixing import Mix, mixing_plan
+from millrace.llm.norm_search import ranked_search
 from millrace.llm.packing import pack_texts
 from millrace.llm.quality_neighbours import fit_neighbours, score_quality
 from millrace.llm.simhash import simhash_components
@@ -184,3 +185,30 @@ def op12_byte_bpe(spark, sf_dir):
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+NORM_SEARCH_SQL = rf"""
+WITH docs AS (SELECT doc_id, {TERMS} AS t FROM documents),
+sums AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms
+  FROM docs WHERE len(t) > 0),
+wanted AS (SELECT item_id, unnest(list_distinct({TERMS})) AS term FROM benchmark),
+counts AS (SELECT doc_id, n, term, count(*) AS tf FROM (
+    SELECT doc_id, len(t) AS n, unnest(t) AS term FROM docs)
+  SEMI JOIN wanted USING (term) GROUP BY doc_id, n, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts, sums GROUP BY term, n_docs),
+impacts AS (SELECT doc_id, term, CAST(w AS BIGINT) * ((1000000000 * tf) //
+    (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))) AS impact
+  FROM counts JOIN weights USING (term), sums),
+scores AS (SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score
+  FROM wanted JOIN impacts USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scores WHERE score > 0) WHERE rank <= 50"""
+
+
+@query("op13_norm_search", NORM_SEARCH_SQL)
+def op13_norm_search(spark, sf_dir):
+    return ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
