@@ -36,8 +36,8 @@ def sized_join(
 
     The narrow table is written and measured; a caller that made it from a list on the
     driver passes its ``rows`` instead. Within the bounds it is broadcast and the wide side
-    stays where it is; beyond them Spark shuffles both sides, and adaptive execution splits
-    skewed partitions of the wide side.
+    stays where it is; beyond them both sides are shuffled, whatever Spark estimates of their
+    sizes, and adaptive execution splits skewed partitions of the wide side.
     """
     if rows is None:
         small = stage(small, "join-side")
@@ -46,7 +46,7 @@ def sized_join(
         fits = rows <= (BROADCAST_ROWS if limit is None else limit)
     if null_safe:
         return null_safe_join(wide, small, on, how, broadcast=fits)
-    return wide.join(F.broadcast(small) if fits else small, list(on), how)
+    return wide.join(F.broadcast(small) if fits else small.hint("merge"), list(on), how)
 
 
 def null_safe_join(
