@@ -29,7 +29,7 @@ def _links(pairs: DataFrame) -> DataFrame:
 
 def _large_star(links: DataFrame) -> DataFrame:
     pairs = _both_ways(links)
-    return _links(pairs.join(_smallest(pairs), "u").filter("v > u").select(
+    return _links(pairs.join(_smallest(pairs).hint("merge"), "u").filter("v > u").select(
         F.col("v").alias("x"), F.col("m").alias("y")
     ))
 
@@ -38,7 +38,7 @@ def _small_star(links: DataFrame) -> DataFrame:
     pairs = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     least = _smallest(pairs)
     return _links(
-        pairs.join(least, "u").select(F.col("v").alias("x"), F.col("m").alias("y"))
+        pairs.join(least.hint("merge"), "u").select(F.col("v").alias("x"), F.col("m").alias("y"))
         .union(least.select(F.col("u").alias("x"), F.col("m").alias("y")))
     )
 
@@ -56,8 +56,8 @@ def component_roots(links: DataFrame) -> DataFrame:
 
     ``links`` has two columns ``a`` and ``b`` of one orderable type, in any order and number. Each
     round writes its links, one per node at the end; a node with very many neighbours is one row
-    per task in the search for the smallest, and its links are split by adaptive execution. Rounds
-    grow with the logarithm of the longest path.
+    per task in the search for the smallest, and its links are split by adaptive execution; no
+    side is broadcast. Rounds grow with the logarithm of the longest path. No links give no rows.
     """
     links = stage(_links(links.select(F.col("a").alias("x"), F.col("b").alias("y"))), "links")
     before = _mark(links)

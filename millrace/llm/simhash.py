@@ -1,20 +1,21 @@
 """Near-duplicates by SimHash, through an index of byte positions with count filtering.
 
 A fingerprint has 64 bits, thus a byte at each of eight positions. Two fingerprints that differ in
-``d`` bits differ in at most ``d`` bytes, so they share at least ``8 - d`` positional bytes: the
-guaranteed minimum of matches. Postings of a single positional byte would hold a 256th of all
-fingerprints each, and pairs within them grow with the square of the input. The index is therefore
-keyed by as many positions and bytes at once as the guarantee covers (five for three bits, in each of
-the 56 choices of positions), which is the intersection of those postings: every pair that reaches
-the minimum meets in it. Of a pair that meets, the shared positional bytes are tallied, pairs below
+``d`` bits differ in at most ``d`` bytes, so they share at least ``8 - d`` positional bytes. Postings of a
+single positional byte would hold a 256th of all fingerprints each, and pairs within them grow with the
+square of the input. The index is therefore keyed by ``7 - d`` positions and their bytes at once, that is
+by intersections of such postings (four positions for three bits, 70 choices). Two fingerprints that
+share ``s`` positional bytes meet in as many postings as there are choices among those ``s``: the
+guaranteed minimum for ``s = 8 - d`` is ``8 - d`` meetings. Meetings are tallied per pair, pairs below
 the minimum go, and the others are verified by their differing bits.
 
 Equal fingerprints are one entry of the index. A posting of more than ``dense`` fingerprints, where
 pairs would become many, is linked through its neighbourhoods instead: every fingerprint is entered
 under all values within one bit and within ``d - 1`` bits in the free positions; whoever lies within
-``d - 1`` bits of a value links to the smallest fingerprint within one bit of it. Each such link is
-verified by construction, and two fingerprints within ``d`` bits always meet at a value between
-them. So components are exact, and links are as many as entries.
+``d - 1`` bits of a value links to the smallest fingerprint within one bit of it (for one bit: within
+one bit, and the fingerprint itself). So a link has at most ``d`` bits, and two fingerprints within
+``d`` bits always meet at a value between them. A pair of which a shared posting is dense is connected
+there, so the tally may miss it; the meetings of all others are counted in full. Components are exact.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.llm.common import text_blocks
 from millrace.llm.components import component_roots
 from millrace.llm.files import prepare_tasks
+from millrace.operators.joins import sized_join
 from millrace.staging import stage
 
 SHINGLE = 3
@@ -83,12 +85,10 @@ def simhash_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_fingerprints(shingle), "doc_id bigint, fp bigint")
 
 
-def _byte(fp: Column, position: int) -> Column:
-    return F.shiftrightunsigned(fp, 8 * position).bitwiseAND(F.lit(255).cast("bigint"))
-
-
 def _postings(max_bits: int) -> list[tuple[int, ...]]:
-    return list(combinations(range(8), 8 - max_bits))
+    if not 0 <= max_bits <= 6:
+        raise ValueError("fingerprints can be linked at 0 to 6 differing bits")
+    return list(combinations(range(8), 7 - max_bits))
 
 
 def index(fps: DataFrame, max_bits: int) -> DataFrame:
@@ -104,30 +104,22 @@ def index(fps: DataFrame, max_bits: int) -> DataFrame:
     return fps.select("fp", F.explode(F.array(*entries)).alias("_e")).select("fp", "_e.*")
 
 
-def _shared(a: Column, b: Column) -> Column:
-    """Which positional bytes two fingerprints share, as a number of eight bits."""
-    differ = a.bitwiseXOR(b)
-    parts = [F.when(_byte(differ, p) == 0, 1 << p).otherwise(0) for p in range(8)]
-    total = parts[0]
-    for part in parts[1:]:
-        total = total + part
-    return total
-
-
-def _pairs(entries: DataFrame, max_bits: int) -> DataFrame:
-    """Verified links within postings; each is made in the first posting that its bytes share."""
-    choices = [sum(1 << p for p in positions) for positions in _postings(max_bits)]
-    first = [next((n for n, c in enumerate(choices) if c & shared == c), -1) for shared in range(256)]
-    a, b = entries.alias("a"), entries.alias("b")
-    shared = _shared(F.col("a.fp"), F.col("b.fp"))
+def meetings(entries: DataFrame) -> DataFrame:
+    """Per pair ``a < b`` the number of postings in which both are: ``tally``."""
+    a, b = entries.alias("a"), entries.hint("merge").alias("b")
     return a.join(
         b,
         (F.col("a.posting") == F.col("b.posting")) & (F.col("a.bytes") == F.col("b.bytes"))
-        & (F.col("a.fp") < F.col("b.fp"))
-        & (F.bit_count(shared) >= 8 - max_bits)
-        & (F.get(F.lit(first), shared) == F.col("a.posting"))
-        & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_bits),
-    ).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
+        & (F.col("a.fp") < F.col("b.fp")),
+    ).groupBy(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).agg(F.count(F.lit(1)).alias("tally"))
+
+
+def _pairs(entries: DataFrame, max_bits: int) -> DataFrame:
+    """Verified links: pairs that meet often enough to share ``8 - max_bits`` positional bytes."""
+    return meetings(entries).filter(
+        (F.col("tally") >= 8 - max_bits)
+        & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
+    ).select("a", "b")
 
 
 def _neighbourhood_links(entries: DataFrame, max_bits: int) -> DataFrame:
@@ -139,28 +131,32 @@ def _neighbourhood_links(entries: DataFrame, max_bits: int) -> DataFrame:
 
     if max_bits == 0:
         return entries.limit(0).select(F.col("fp").alias("a"), F.col("fp").alias("b"))
+    to_centre = 1 if max_bits > 1 else 0
     rows = [
-        (number, mask, bin(mask & (1 << 64) - 1).count("1") <= 1)
+        (number, mask, bin(mask & (1 << 64) - 1).count("1") <= to_centre)
         for number, positions in enumerate(_postings(max_bits))
         for mask in flips(positions, max(1, max_bits - 1))
     ]
     table = entries.sparkSession.createDataFrame(rows, "posting int, mask bigint, close boolean")
+    # a table of fixed size: choices of positions times flips of the free bits
     near = entries.join(F.broadcast(table), "posting").select(
         "posting", "fp", "close", F.col("fp").bitwiseXOR(F.col("mask")).alias("value")
     )
     centres = near.filter("close").groupBy("posting", "value").agg(F.min("fp").alias("centre"))
-    return near.join(centres, ["posting", "value"]).filter("fp != centre").select(
+    return near.join(centres.hint("merge"), ["posting", "value"]).filter("fp != centre").select(
         F.col("fp").alias("a"), F.col("centre").alias("b")
     )
 
 
 def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, dense: int = DENSE) -> DataFrame:
-    """Links between distinct fingerprints of at most ``max_bits`` differing bits; enough of them in
-    dense postings to connect all that are linked, all of them elsewhere."""
-    sizes = index(fps, max_bits).groupBy("posting", "bytes").agg(F.count(F.lit(1)).alias("_n"))
-    shared = stage(
-        index(fps, max_bits).join(sizes.filter("_n > 1"), ["posting", "bytes"]), "postings"
-    )
+    """Links ``a``, ``b`` between distinct fingerprints (column ``fp``, each once and not null) of at most
+    ``max_bits`` differing bits; enough of them in dense postings to connect all that are linked, all of
+    them elsewhere. Postings are counted with a partial step, so that a hot one is a row per task;
+    those of one fingerprint go before anything is joined. An empty table gives no links."""
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = index(fps.select("fp").repartition(parts, "fp"), max_bits)
+    sizes = entries.groupBy("posting", "bytes").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    shared = stage(sized_join(entries, sizes, ["posting", "bytes"]), "postings")
     few = _pairs(shared.filter(F.col("_n") <= dense).drop("_n"), max_bits)
     many = shared.filter(F.col("_n") > dense).drop("_n")
     if not many.isEmpty():
@@ -168,6 +164,14 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, dense: int = DEN
     return few
 
 
+def _rooted(nodes: DataFrame, max_bits: int, dense: int) -> DataFrame:
+    """``nodes`` (one row per fingerprint ``fp``) with ``root``, the smallest linked fingerprint."""
+    roots = component_roots(fingerprint_links(nodes, max_bits, dense))
+    named = roots.select(F.col("a").alias("fp"), F.col("b").alias("_root"))
+    return sized_join(nodes, named, ["fp"], "left").withColumn(
+        "root", F.coalesce("_root", "fp")).drop("_root")
+
+
 def simhash_components(
     docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, dense: int = DENSE
 ) -> DataFrame:
@@ -175,17 +179,16 @@ def simhash_components(
 
     The component is the smallest id among all documents that links reach. Null, empty and blank
     texts have the fingerprint zero, which links like any other; a null id is never the smallest
-    of a component that has another. Copies are one entry of the index however many they are.
+    of a component that has another. Copies are one entry of the index however many they are; each
+    row of a repeated id has its own fingerprint. Other columns are not read; an empty table gives none.
     """
     marked = stage(simhash_fingerprints(docs, shingle), "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = component_roots(fingerprint_links(nodes.select("fp"), max_bits, dense))
-    rooted = nodes.join(
-        roots.select(F.col("a").alias("fp"), F.col("b").alias("_root")), "fp", "left"
-    ).select("fp", "first", F.coalesce("_root", "fp").alias("root"))
+    nodes = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    rooted = stage(_rooted(nodes, max_bits, dense), "rooted")
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select(
+    named = rooted.select("fp", "root").join(ids.hint("merge"), "root").select("fp", "component_id")
+    # adaptive execution splits the rows of a hot fingerprint; they are three numbers wide
+    return marked.join(named.hint("merge"), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
@@ -208,21 +211,22 @@ def keep_one_of_each(
     Verdicts belong to rows: rows of one id with different texts are judged apart. Copies of a whole row
     are made one with a partial step before the shuffle, so a row that a third of the table
     repeats is one row per task. Rows without an id come after all others in their component; with
-    ``null_ids_stay`` they link others but all stay.
+    ``null_ids_stay`` they link others but all stay. Null, empty and blank texts are near-duplicates of
+    each other. All columns come back as they are, whatever their names; an empty table stays empty.
     """
-    keyed = docs.withColumn("_row_key", row_key(docs))
+    key = "_row_key"
+    while key in docs.columns:
+        key = f"_{key}"
+    keyed = docs.withColumn(key, row_key(docs))
     prepare_tasks(docs.sparkSession)
-    marked = stage(keyed.select("doc_id", "_row_key", "text").mapInArrow(
-        _fingerprints(shingle), "doc_id bigint, _row_key binary, fp bigint"), "fingerprints")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row_key")).alias("first")
-    nodes = marked.groupBy("fp").agg(first)
-    roots = component_roots(fingerprint_links(nodes.select("fp"), max_bits))
-    rooted = nodes.join(
-        roots.select(F.col("a").alias("fp"), F.col("b").alias("_root")), "fp", "left"
-    ).select("first", F.coalesce("_root", "fp").alias("root"))
-    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    marked = stage(keyed.select("doc_id", F.col(key).alias("key"), "text").mapInArrow(
+        _fingerprints(shingle), "doc_id bigint, key binary, fp bigint"), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("first")
+    nodes = stage(marked.groupBy("fp").agg(first), "nodes")
+    kept = _rooted(nodes, max_bits, DENSE).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
     if null_ids_stay:
         keyed, kept = keyed.filter("doc_id IS NOT NULL"), kept.filter("NOT n")
-    kept = kept.select("_row_key")
-    rows = keyed.dropDuplicates(["_row_key"]).join(kept.hint("merge"), "_row_key").select(*docs.columns)
+    kept = kept.select(F.col("key").alias(key))
+    # one exchange of the texts: copies of a row are made one before it, and it serves the join too
+    rows = keyed.dropDuplicates([key]).join(kept.hint("merge"), key).select(*docs.columns)
     return rows.unionByName(docs.filter("doc_id IS NULL")) if null_ids_stay else rows

@@ -7,7 +7,7 @@ import xxhash
 
 from millrace.llm.components import component_roots
 from millrace.llm.simhash import (
-    fingerprint, fingerprint_links, keep_one_of_each, simhash_components,
+    fingerprint, fingerprint_links, index, keep_one_of_each, meetings, simhash_components,
 )
 
 SCHEMA = "doc_id bigint, text string, fp string, component_id int, posting int"
@@ -65,23 +65,64 @@ def dense_values(seed, n):
     return sorted({base | draw.getrandbits(24) & draw.getrandbits(24) for _ in range(n)})
 
 
-@pytest.mark.parametrize("values, dense", [
-    (near_values(1, 300, 4), 256), (near_values(2, 150, 4), 1), (dense_values(3, 200), 20),
+@pytest.mark.parametrize("values, dense, bits", [
+    (near_values(1, 300, 4), 256, 3), (near_values(2, 150, 4), 1, 3), (dense_values(3, 200), 20, 3),
+    *[(sorted({1, 2, 4, 8, *near_values(5, 120, 3)}), dense, bits)
+      for bits in (0, 1, 2, 3) for dense in (1, 256)],
 ])
-def test_links_connect_what_brute_force_connects(spark, values, dense):
+def test_links_connect_what_brute_force_connects(spark, values, dense, bits):
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     fps = spark.createDataFrame([(v,) for v in signed], "fp bigint")
-    links = fingerprint_links(fps, 3, dense)
+    links = fingerprint_links(fps, bits, dense)
     for a, b in links.distinct().collect():
-        assert ((a ^ b) & (1 << 64) - 1).bit_count() <= 3
+        assert ((a ^ b) & (1 << 64) - 1).bit_count() <= bits
     roots = {row.a: row.b for row in component_roots(links).collect()}
-    want = groups(values)
+    want = groups(values, bits)
     named = {}
     for value, label in zip(signed, want):
         named.setdefault(label, set()).add(roots.get(value, value))
     assert all(len(found) == 1 for found in named.values())
     assert len({next(iter(f)) for f in named.values()}) == len(named)
-    assert len(named) < len(values)
+    assert len(named) < len(values) or not bits
+
+
+def test_the_count_filter_rejects_pairs_that_meet_too_seldom(spark):
+    draw = random.Random(6)
+    base = draw.getrandbits(64)
+    # one differing bit in each of k positions: k = 3 shares five bytes, k = 4 shares four
+    values = [base, base ^ 0x010101, base ^ 0x01010101 << 24, base ^ 0xFF00, base ^ 0x0101010101]
+    fps = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "fp bigint")
+    met = {frozenset((r.a, r.b)): r.tally for r in meetings(index(fps, 3)).collect()}
+    def shared(a, b):
+        return sum(((a ^ b) >> 8 * p) & 255 == 0 for p in range(8))
+    from math import comb
+    want = {}
+    for i, a in enumerate(values):
+        for b in values[:i]:
+            if shared(a, b) >= 4:
+                key = frozenset(v - (1 << 64) if v >> 63 else v for v in (a, b))
+                want[key] = comb(shared(a, b), 4)
+    assert met == want
+    kept = [t for t in met.values() if t >= 5]
+    assert 1 in met.values() and 0 < len(kept) < len(met)  # pairs before and after the tally
+    assert fingerprint_links(fps, 3).count() < len(kept)  # eight bits within one byte fail the check
+
+
+def test_nothing_exploded_is_broadcast(spark):
+    """The index grows 70-fold from its fingerprints, which Spark's estimates do not see."""
+    fps = spark.range(30_000).selectExpr("xxhash64(id DIV 2) & ~CAST(id % 2 AS bigint) AS fp").distinct()
+    links = fingerprint_links(fps)
+    for frame in (links, meetings(index(fps, 3)), component_roots(links)):
+        lines = frame._jdf.queryExecution().executedPlan().toString().split("\n")
+        for at, line in enumerate(lines):
+            if "BroadcastExchange" in line:
+                depth = len(line) - len(line.lstrip(" :+-*"))
+                below = []
+                for other in lines[at + 1:]:
+                    if len(other) - len(other.lstrip(" :+-*")) <= depth:
+                        break
+                    below.append(other)
+                assert not any("Generate" in other or "Exchange" in other for other in below)
 
 
 def test_components_of_documents(spark):
@@ -120,6 +161,14 @@ def test_rows_of_one_id_are_judged_apart(spark):
     assert len(stay) == 6 and sum(r.doc_id is None for r in stay) == 3
 
 
+def test_columns_with_clashing_names_come_back(spark):
+    rows = [(1, "a b c d", b"x", "f"), (2, "a b c d", b"y", None), (3, None, None, "g")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _row_key binary, key string")
+    got = keep_one_of_each(docs)
+    assert got.columns == docs.columns
+    assert sorted(tuple(r) for r in got.collect()) == [rows[0], rows[2]]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert simhash_components(docs).count() == 0
