@@ -232,7 +232,10 @@ def train_language_network(docs: DataFrame, settings: Training = Training()) ->
     """Learn from (``doc_id``, ``text``, ``lang``) of rows that are not held out.
 
     The sample is bounded by ``documents``, ``windows_per_document`` and ``window``, however long the
-    texts are. None if there is nothing to learn from.
+    texts are. An id with several languages counts with the first of them by name, one with several
+    texts in it with the text of the smallest digest; these are made one with a partial step, so that
+    at most ``documents`` texts are cut into windows for the driver. Null ids, languages and texts and
+    empty texts are passed over. None if there is nothing to learn from, as with an empty table.
     """
     prepare_tasks(docs.sparkSession)
     rows = docs.select("doc_id", "text", "lang").filter(
@@ -243,7 +246,9 @@ def train_language_network(docs: DataFrame, settings: Training = Training()) ->
         settings.documents_per_language, settings.documents,
     )
     keys = docs.sparkSession.createDataFrame(keys.collect(), keys.schema)  # at most ``documents`` rows
-    chosen = rows.join(F.broadcast(keys.select("doc_id")), "doc_id").select("lang", "text")
+    # a text for each id: of several the one with the smallest digest, whatever the order of arrival
+    chosen = rows.join(F.broadcast(keys), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(
+        F.min_by("text", F.sha2("text", 256)).alias("text")).select("lang", "text")
     found = chosen.mapInArrow(_sampled_windows(settings), "lang string, row binary").collect()
     if not found:
         return None
@@ -319,12 +324,18 @@ def identify_language(docs: DataFrame, network: ByteNetwork | None) -> DataFrame
     )
 
 
-def keep_languages(docs: DataFrame, network: ByteNetwork | None, least: float = LEAST_SCORE) -> DataFrame:
+def keep_languages(
+    docs: DataFrame, network: ByteNetwork | None, least: float = LEAST_SCORE, *,
+    keep_unjudged: bool = False,
+) -> DataFrame:
     """The rows of ``docs`` that score at least ``least``. Each row is judged by itself where it is read,
-    whatever its id; without a network none stays."""
+    whatever its id. Without a network nothing can be judged: an error, unless ``keep_unjudged`` lets
+    all rows through. An empty table stays empty; other columns come back as they are."""
     prepare_tasks(docs.sparkSession)
     if network is None:
-        return docs.limit(0)
+        if keep_unjudged or docs.isEmpty():
+            return docs
+        raise ValueError("no text with a language to learn from")
 
     labels, settings, weights = network.labels, network.settings, network.weights
 

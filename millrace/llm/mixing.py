@@ -14,12 +14,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.common import WHITESPACE_RUN, hash_order
+from millrace.llm.common import WHITESPACE_RUN, hash_order, row_key
 from millrace.operators.joins import sized_join
+from millrace.operators.positions import with_positions, with_totals_before
 from millrace.staging import stage
 
-_ROW_MASK = (1 << 33) - 1
-
 
 @dataclass(frozen=True)
 class Mix:
@@ -107,51 +106,35 @@ def source_weights(docs: DataFrame, mix: Mix, *, source: str, tokens: str) -> Da
     ).withColumn("repetition", F.when(F.col("tokens") > 0, F.col("budget") / F.col("tokens")).otherwise(0.0))
 
 
-def with_tokens_before(df: DataFrame, group: list[str], order: list[str], value: str) -> DataFrame:
-    """Add ``before``: the sum of ``value`` over the rows of the group that come earlier.
-
-    Rows are ranged by group and order and written, so that a group which owns a third of them is
-    spread over a third of the partitions; sums per partition and group give the offsets.
-    """
-    keys = [*group, *order]
-    ranged = stage(
-        df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK))),
-        "ranged",
-    )
-    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranged.groupBy("_part", *group).agg(F.sum(value).alias("_sum")).select(
-        "_part", *[F.col(c).alias(f"_of_{c}") for c in group],
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"),
-    ) if group else None
-    within = Window.partitionBy("_part", *group).orderBy("_row").rowsBetween(
-        Window.unboundedPreceding, -1)
-    running = ranged.withColumn("_within", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    return sized_join(
-        running, offsets.withColumnsRenamed({f"_of_{c}": c for c in group}), ["_part", *group]
-    ).select(*df.columns, (F.col("_offset") + F.col("_within")).alias("before"))
-
-
 def mixing_plan(
     docs: DataFrame, mix: Mix = Mix(), *, source: str = "source", doc_id: str = "doc_id",
     tokens: Column | None = None,
 ) -> DataFrame:
     """Where each document goes: ``doc_id``, ``source``, ``pass``, ``block``, ``position`` in the block,
-    ``tokens``, and the ``weight`` and ``repetition`` of its source. Narrow rows, no text.
+    ``tokens``, the ``weight`` and ``repetition`` of its source, and ``row_key``. Narrow rows, no text.
 
-    Documents without a source form one. Rows that share id and source travel together as one
-    document with their summed tokens. ``tokens`` measures a row (at least 1 is taken; words by
-    default). An empty table gives an empty plan.
+    ``row_key`` is the digest of the row. Documents without a source form one. Every row is a document of
+    its own, also rows that share an id, have none, or repeat another: they take places of their own
+    in the permutation, so that a hot id is spread like any others. ``tokens`` measures a row (at least 1
+    is taken; words by default, one for a null or empty text). An empty table gives an empty plan.
     """
     measure = tokens if tokens is not None else word_tokens(F.col("text"))
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(source), F.lit("")).alias("source"),
         F.col(source).isNull().alias("no_source"),
         F.greatest(F.coalesce(measure, F.lit(1)), F.lit(1)).cast("bigint").alias("tokens"),
-    ).groupBy("doc_id", "source", "no_source").agg(F.sum("tokens").alias("tokens"))
+        row_key(docs).alias("row_key"),
+    )
+    # repeated rows are told apart by a number that is written once, then never made again
     rows = stage(rows.withColumn("_source", F.concat(
-        F.when(F.col("no_source"), "-").otherwise("+"), "source")), "mixed")
+        F.when(F.col("no_source"), "-").otherwise("+"), "source"
+    )).withColumn("_place", F.monotonically_increasing_id()), "mixed")
+    copies = rows.groupBy("row_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    marked = stage(sized_join(
+        rows, copies.withColumn("_again", F.lit(True)), ["row_key"], "left"), "marked")
+    again = with_positions(marked.filter("_again"), ["row_key"], ["_place"], name="_copy")
+    rows = marked.filter("_again IS NULL").withColumn("_copy", F.lit(0).cast("bigint")).unionByName(
+        again.drop("group_size")).drop("_again", "_place")
     weights = source_weights(rows, mix, source="_source", tokens="tokens")
     blocks = weights.agg(F.sum("budget")).first()[0] or 0
     blocks = max(1, -(-blocks // mix.block_tokens))
@@ -162,29 +145,37 @@ def mixing_plan(
     passes = F.ceil(F.col("repetition") - F.lit(1e-9)).cast("int")
     repeated = sized_join(rows, named, ["_source"]).filter("budget > 0").withColumn(
         "pass", F.explode(F.sequence(F.lit(0), F.greatest(passes, F.lit(1)) - 1))
-    ).withColumn("_order", hash_order(F.col("pass"), F.col("doc_id"), F.col("_source")))
-    placed = with_tokens_before(repeated, ["_source"], ["pass", "_order", "doc_id"], "tokens")
+    ).withColumn("_order", hash_order(F.col("pass"), F.col("row_key"), F.col("_copy")))
+    placed = with_totals_before(
+        repeated, ["_source"], ["pass", "_order", "row_key", "_copy"], "tokens")
     placed = placed.filter(F.col("before") < F.col("budget"))
     block = F.least(
         F.lit(blocks - 1), F.floor(F.col("before").cast("double") * blocks / F.col("budget"))
     ).cast("bigint")
-    mixed = Window.partitionBy("block").orderBy("_shuffle", "doc_id", "_source", "pass")
+    mixed = Window.partitionBy("block").orderBy("_shuffle", "row_key", "_copy", "pass")
     return placed.withColumn("block", block).withColumn(
-        "_shuffle", hash_order(F.lit("block"), F.col("pass"), F.col("doc_id"), F.col("_source"))
+        "_shuffle", hash_order(F.lit("block"), F.col("pass"), F.col("row_key"), F.col("_copy"))
     ).select(
         "doc_id", F.when(~F.col("no_source"), F.col("source")).alias("source"), "pass", "block",
         (F.row_number().over(mixed) - 1).cast("bigint").alias("position"), "tokens", "weight", "repetition",
+        "row_key",
     )
 
 
 def mix_documents(docs: DataFrame, mix: Mix = Mix(), **columns) -> DataFrame:
-    """The rows of ``docs`` as often and in the order that the plan says, dealt over partitions by block."""
+    """The rows of ``docs`` as often and in the order that the plan says, dealt over partitions by block.
+
+    The plan has a place for every row, so copies of a row are made one (with a partial step before
+    the shuffle) and joined to the places of all of them; adaptive execution splits those of a hot row.
+    Columns come back as they are, whatever their names; an empty table stays empty.
+    """
     plan = stage(mixing_plan(docs, mix, **columns), "plan").select(
-        *[F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "source", "block", "position")]
-    )
-    own, of = columns.get("doc_id", "doc_id"), columns.get("source", "source")
-    met = docs.join(
-        plan, docs[own].eqNullSafe(plan["_mix_doc_id"]) & docs[of].eqNullSafe(plan["_mix_source"])
+        F.col("row_key").alias("_mix_key"), F.col("block").alias("_mix_block"),
+        F.col("position").alias("_mix_position"),
     )
+    names = [f"_mix_{k}" for k in range(len(docs.columns))]
+    renamed = [docs[c].alias(n) for c, n in zip(docs.columns, names)]
+    rows = docs.select(*renamed, row_key(docs).alias("_mix_key")).dropDuplicates(["_mix_key"])
+    met = rows.join(plan.hint("merge"), "_mix_key")
     order = ["_mix_block", "_mix_position"]
-    return met.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
+    return met.repartitionByRange(*order).sortWithinPartitions(*order).select(*names).toDF(*docs.columns)

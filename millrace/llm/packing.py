@@ -27,13 +27,20 @@ PIECES = (
 @dataclass(frozen=True)
 class Limits:
     """Limits of a sequence; ``spare`` is the room that may stay empty without a cut, ``waiting``
-    the number of examples among which the heuristic chooses."""
+    the number of examples among which the heuristic chooses. Examples without a known prompt bear no
+    loss on the leading ``prompt_share`` of their ids."""
 
     tokens: int = 2048
     segments: int = 256
     loss_tokens: int = 2048
     spare: int = 16
     waiting: int = 512
+    prompt_share: float = 0.0
+
+
+# Documents have no marked prompt: the leading eighth of each is taken as context. The limit on loss
+# lies so little below the tokens that a sequence of loss alone still has at most 32 ids of padding.
+DOCUMENTS = Limits(loss_tokens=2016, prompt_share=1 / 8)
 
 
 class Packer:
@@ -135,7 +142,8 @@ def _packer(tokenizer: str, end_id: int, limits: Limits):
             encoded = encode(t.as_py() for t in batch.column("text"))
             keys, prompts = (batch.column(c).to_pylist() for c in ("doc_id", "prompt"))
             for key, raw, prompt in zip(keys, encoded, prompts):
-                packer.add(key, np.frombuffer(raw + end, dtype="<u4"), prompt)
+                ids = np.frombuffer(raw + end, dtype="<u4")
+                packer.add(key, ids, int(limits.prompt_share * len(ids)) if prompt is None else prompt)
                 if held > 4 << 20:
                     yield flush()
         packer.finish()
@@ -153,12 +161,12 @@ def pack_texts(
 
     Every task packs the rows it reads; nothing is shuffled, and a task holds one batch of rows and
     ``limits.waiting`` examples. ``prompt`` names a column with the number of leading ids of an example
-    that bear no loss (instructions); without it all ids do. Null texts count as empty: their one
+    that bear no loss (instructions); where it is null or not given, ``limits.prompt_share`` says so. Null texts count as empty: their one
     id is the end id. Repeated rows are packed one by one; other columns are not read.
     """
     prepare_tasks(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
-        (F.coalesce(F.col(prompt), F.lit(0)) if prompt else F.lit(0)).cast("bigint").alias("prompt"),
+        (F.col(prompt) if prompt else F.lit(None)).cast("bigint").alias("prompt"),
     )
     return rows.mapInArrow(_packer(tokenizer, end_id, limits), PIECES)

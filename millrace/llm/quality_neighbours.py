@@ -145,8 +145,10 @@ def fit_neighbours(
     """Learn from rows of ``labels`` (``doc_id``, ``quality``) whose document is not held out.
 
     At most ``documents`` texts are taken, ``documents_per_label`` of each label. A document with
-    contradicting labels counts with the lowest, one without a text is passed over. None if no
-    labelled text is there.
+    contradicting labels counts with the lowest, one without a text is passed over, and of several
+    texts with one id the one with the smallest digest counts (they are made one with a partial step,
+    so that no more than ``documents`` rows reach the driver). None if no labelled text is there, as
+    with an empty table. Other columns are not read.
     """
     prepare_tasks(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality").filter(
@@ -157,7 +159,12 @@ def fit_neighbours(
     ).collect()  # at most ``documents`` rows
     quality = {row.doc_id: row.quality for row in sample}
     keys = docs.sparkSession.createDataFrame([(k,) for k in quality], "doc_id bigint")
-    chosen = docs.select("doc_id", "text").filter(F.col("text") != "").join(F.broadcast(keys), "doc_id")
+    # a text for each id: of several the one with the smallest digest, whatever the order of arrival
+    chosen = (
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter(F.col("text") != "")
+        .join(F.broadcast(keys), "doc_id")
+        .groupBy("doc_id").agg(F.min_by("text", F.sha2("text", 256)).alias("text"))
+    )
     found = {
         row.doc_id: row.counts
         for row in chosen.mapInArrow(_counted(settings), "doc_id bigint, counts binary").collect()
@@ -207,12 +214,17 @@ def score_quality(docs: DataFrame, model: NeighbourModel | None) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= accept).cast("int"))
 
 
-def keep_quality(docs: DataFrame, model: NeighbourModel | None) -> DataFrame:
+def keep_quality(
+    docs: DataFrame, model: NeighbourModel | None, *, keep_unjudged: bool = False
+) -> DataFrame:
     """The rows of ``docs`` that the model accepts. Each row is judged by itself where it is read,
-    whatever its id; without a model none stays, as every score is 0.5."""
+    whatever its id. Without a model nothing can be judged: an error, unless ``keep_unjudged`` lets
+    all rows through. An empty table stays empty; other columns come back as they are."""
     prepare_tasks(docs.sparkSession)
     if model is None:
-        return docs.limit(0)
+        if keep_unjudged or docs.isEmpty():
+            return docs
+        raise ValueError("no labelled text to learn quality from")
 
     settings, learned = model.settings, (model.projection, model.vectors, model.labels)
 

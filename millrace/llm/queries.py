@@ -12,12 +12,12 @@ from millrace.llm.language_cnn import identify_language, train_language_network
 from millrace.llm.line_frequency import line_frequency_rules
 from millrace.llm.mixing import Mix, mixing_plan
 from millrace.llm.norm_search import ranked_search
-from millrace.llm.packing import pack_texts
+from millrace.llm.packing import DOCUMENTS, pack_texts
 from millrace.llm.quality_neighbours import fit_neighbours, score_quality
 from millrace.llm.simhash import simhash_components
 from millrace.llm.token_cache import cached_token_counts
 from millrace.llm.token_records import read_records, write_records
-from millrace.llm.warc import URN, read_warc, write_warc
+from millrace.llm.warc import URN, read_warc, whole_records, write_warc
 from millrace.llm.weighted_sampling import weighted_fingerprints
 from millrace.staging import new_path
 
@@ -54,7 +54,7 @@ named AS (SELECT doc_id, source, line, len(lw) AS n, lower(array_to_string(lw, '
 hosts AS (SELECT source, count(DISTINCT doc_id) AS total FROM docs GROUP BY source),
 frequent AS (SELECT source, norm FROM (
     SELECT source, norm, count(DISTINCT doc_id) AS c FROM named GROUP BY source, norm)
-  JOIN hosts USING (source) WHERE c > 5 AND c > total * 0.01),
+  JOIN hosts USING (source) WHERE c > 5 AND c > least(total * 0.01, 100)),
 gone AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS removed FROM named
   SEMI JOIN frequent USING (source, norm) GROUP BY doc_id),
 dups AS (SELECT doc_id, CAST(count(*) - count(DISTINCT line) AS BIGINT) AS d FROM named GROUP BY doc_id),
@@ -105,23 +105,33 @@ def op5_token_records(spark, sf_dir):
 
 @query("op10_packing")
 def op10_packing(spark, sf_dir):
-    return pack_texts(documents(spark, sf_dir), TOKENIZER).withColumn(
+    return pack_texts(documents(spark, sf_dir), TOKENIZER, DOCUMENTS).withColumn(
         "ids_crc32", F.crc32("ids")
     ).drop("ids")
 
 
 @query("op2_mixing")
 def op2_mixing(spark, sf_dir):
-    return mixing_plan(documents(spark, sf_dir), Mix(repetition=2.0))
+    return mixing_plan(documents(spark, sf_dir), Mix(repetition=2.0)).drop("row_key")
 
 
-@query("op4_warc")
+WARC_SQL = """
+WITH whole AS (SELECT page_id, sha256(coalesce(html, '')) AS digest,
+    CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages),
+firsts AS (SELECT digest, min(page_id) AS first FROM whole WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to FROM whole LEFT JOIN firsts USING (digest)"""
+
+
+@query("op4_warc", WARC_SQL)
 def op4_warc(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    records = read_warc(write_warc(pages, new_path(spark, "warc"))).filter("reason IS NULL")
+    records = whole_records(read_warc(write_warc(pages, new_path(spark, "warc"))))
 
-    def page(column):
-        return F.regexp_extract(column, f"^{URN}(-?[0-9]+)$", 1).cast("bigint")
+    def page(column):  # a page without an id is written as the smallest integer
+        number = F.regexp_extract(column, f"^{URN}(-?[0-9]+)$", 1).cast("bigint")
+        return F.nullif(number, F.lit(-(1 << 63)).cast("bigint"))
 
     return records.select(
         page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",

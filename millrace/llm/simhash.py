@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.common import text_blocks
+from millrace.llm.common import row_key, text_blocks
 from millrace.llm.components import component_roots
 from millrace.llm.files import prepare_tasks
 from millrace.operators.joins import sized_join
@@ -193,15 +193,6 @@ def simhash_components(
     )
 
 
-def row_key(docs: DataFrame) -> Column:
-    """Digest of a whole row: equal for rows that agree in every column, nulls included."""
-    others = [F.col(c) for c in docs.columns if c != "text"]
-    return F.unhex(F.md5(F.concat(
-        F.to_json(F.struct(*others, F.col("text").isNull().alias("_no_text"))), F.lit("\n"),
-        F.coalesce("text", F.lit("")),
-    )))
-
-
 def keep_one_of_each(
     docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, *, null_ids_stay: bool = True
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm import token_records
-from millrace.llm.packing import Limits, Packer, pack_texts
+from millrace.llm.packing import DOCUMENTS, Limits, Packer, pack_texts
 from millrace.llm.token_cache import cached_token_counts
 from millrace.llm.tokens import Encoder
 
@@ -143,6 +143,87 @@ def test_prompts_bear_no_loss(spark, docs):
     assert loss == {k: max(0, len(ids(t)) + 1 - 5) for k, t in enumerate(TEXTS)}
 
 
+def plain_packing(examples, limits):
+    """The dot-product rule on plain numbers: (key, start, length, sequence, offset, loss) in order."""
+    caps = (limits.tokens, limits.segments, limits.loss_tokens)
+    slots, free, placed = {}, list(range(limits.waiting))[::-1], []
+    left, sequence, offset = list(caps), 0, 0
+
+    def place():
+        nonlocal left, sequence, offset
+        def product(at):
+            return sum((v / c) * (r / c) for v, c, r in zip(size(at), caps, left))
+        def size(at):
+            _, _, length, silent = slots[at]
+            return length, 1, length - silent
+        fits = [at for at in sorted(slots) if all(v <= r for v, r in zip(size(at), left))]
+        if fits:
+            at, room = max(fits, key=lambda a: (round(product(a), 12), -a)), None
+        elif left[1] >= 1 and min(left[0], left[2]) > limits.spare:
+            at, room = max(sorted(slots), key=lambda a: (round(product(a), 12), -a)), left[0]
+        else:
+            left, sequence, offset = list(caps), sequence + 1, 0
+            return
+        key, start, length, silent = slots[at]
+        take = length if room is None else min(length, room, silent + left[2])
+        loss = max(0, take - silent)
+        placed.append((key, start, take, sequence, offset, loss))
+        offset += take
+        left = [left[0] - take, left[1] - 1, left[2] - loss]
+        if take == length:
+            del slots[at]
+            free.append(at)
+        else:
+            slots[at] = (key, start + take, length - take, max(0, silent - take))
+        if left[0] <= 0 or left[1] <= 0:
+            left, sequence, offset = list(caps), sequence + 1, 0
+
+    for key, length, prompt in examples:
+        start = 0
+        while start < length:
+            if not free:
+                place()
+                continue
+            take = min(length - start, limits.tokens)
+            silent = max(0, min(prompt, start + take) - start)
+            if take - silent > limits.loss_tokens:
+                take = silent + limits.loss_tokens
+            slots[free.pop()] = (key, start, take, silent)
+            start += take
+    while slots:
+        place()
+    return placed
+
+
+@pytest.mark.parametrize("limits", [
+    Limits(tokens=100, segments=5, loss_tokens=70, spare=4, waiting=8), DOCUMENTS,
+    Limits(tokens=64, segments=3, loss_tokens=64, spare=0, waiting=4),
+])
+def test_packer_equals_a_plain_one(limits):
+    draw, got = random.Random(12), []
+    examples = [(k, draw.choice([1, 3, 17, 60, 90, 400, 2500]), draw.choice([0, 2, 15, 80])) for k in range(200)]
+
+    def emit(key, start, length, total, loss, sequence, offset, ids):
+        got.append((key, start, length, sequence, offset, loss))
+
+    packer = Packer(limits, emit)
+    for key, length, prompt in examples:
+        packer.add(key, np.zeros(length, dtype="<u4"), prompt)
+    packer.finish()
+    assert got == plain_packing(examples, limits)
+
+
+def test_the_limit_on_loss_binds_for_documents(spark):
+    rows = [(k, "some words of text " * (40 * (k % 30) + 3)) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    sums, loss = defaultdict(int), defaultdict(int)
+    for p in pack_texts(docs, PATH, DOCUMENTS).collect():
+        sums[p.sequence_id] += p.length
+        loss[p.sequence_id] += p.loss_tokens
+    assert max(loss.values()) == 2016
+    assert sum(sums.values()) > 0.96 * 2048 * len(sums)
+
+
 def test_little_padding():
     draw, sequences = random.Random(3), defaultdict(int)
 

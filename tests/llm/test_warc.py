@@ -4,10 +4,12 @@ import hashlib
 import io
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import warc
-from millrace.llm.warc import Found, Gap, member, read_warc, record, salvage, write_warc
+from millrace.llm.queries import CHECKS, QUERIES
+from millrace.llm.warc import Found, Gap, member, read_warc, record, salvage, whole_records, write_warc
 
 SCHEMA = "page_id bigint, url string, html string, digest string, first int"
 
@@ -141,3 +143,30 @@ def test_damaged_file_reports_its_gap(spark, tmp_path):
     got = read_warc(files).collect()
     gap, = [r for r in got if r.reason]
     assert len(got) in (19, 20) and 0 < gap.length < len(data) / 10 and gap.record_id is None
+    with pytest.raises(Exception, match="quarantined bytes"):
+        whole_records(read_warc(files)).collect()
+
+
+def test_query_fails_on_a_damaged_archive_and_keeps_null_ids(spark, tmp_path, monkeypatch):
+    from millrace.llm import queries
+
+    rows = [(1, "u", "x" * 300), (2, None, "x" * 300), (None, "u", None), (4, "u", "")]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1).write.parquet(
+        f"{tmp_path}/pages.parquet")
+    got = sorted(map(tuple, QUERIES["op4_warc"](spark, str(tmp_path)).collect()), key=str)
+    digest = [hashlib.sha256(b).hexdigest() for b in (b"x" * 300, b"")]
+    assert got == sorted([
+        (1, 300, digest[0], "response", None), (2, 300, digest[0], "revisit", 1),
+        (None, 0, digest[1], "response", None), (4, 0, digest[1], "response", None)], key=str)
+
+    def damaged(pages, folder):
+        files = write_warc(pages, folder)
+        path = files.first().path.removeprefix("file://")
+        data = open(path, "rb").read()
+        open(path, "wb").write(data[:40] + bytes(30) + data[70:])
+        return files
+
+    monkeypatch.setattr(queries, "write_warc", damaged)
+    with pytest.raises(Exception, match="quarantined bytes"):
+        QUERIES["op4_warc"](spark, str(tmp_path)).collect()
+    assert "op4_warc" in CHECKS
