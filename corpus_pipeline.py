@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.language_cnn import keep_languages, train_language_network
 from millrace.llm.mixing import Mix, mix_documents
-from millrace.llm.packing import pack_texts
+from millrace.llm.packing import DOCUMENTS, pack_texts
 from millrace.llm.quality_neighbours import fit_neighbours, keep_quality
 from millrace.llm.simhash import keep_one_of_each
 from millrace.staging import stage
@@ -21,13 +21,13 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the nearest-neighbour classifier rejects."""
     model = fit_neighbours(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return keep_quality(docs, model)
+    return keep_quality(docs, model, keep_unjudged=True)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in none of the learned languages: those that the network scores too low, and
     those without a letter, whose score is 0."""
-    return keep_languages(docs, train_language_network(docs))
+    return keep_languages(docs, train_language_network(docs), keep_unjudged=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the mixture into sequences of at most 2048 tokens."""
-    pieces = pack_texts(docs, TOKENIZER)
+    pieces = pack_texts(docs, TOKENIZER, DOCUMENTS)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
