@@ -26,6 +26,8 @@ class IngestionOptions:
     exclude_dirs: tuple[str, ...] = fixed.DEFAULT_EXCLUDE_DIRS
     max_file_size_mb: int | float = 5
     follow_symlinks: bool = False
+    exclude_extensions: tuple[str, ...] = ()
+    exclude_globs: tuple[str, ...] = ()
 
     @property
     def max_bytes(self) -> int:
@@ -34,19 +36,25 @@ class IngestionOptions:
 
 @dataclass(frozen=True)
 class PreprocessOptions:
-    """How text is normalised; ``max_line_length`` of None or 0 keeps long lines."""
+    """How text is normalised; ``max_line_length`` of None or 0 keeps long lines. With ``soft_wrap``
+    longer lines are broken there instead of cut; ``canonicalize_shell`` tidies shell and terminal text."""
 
     normalize_whitespace: bool = True
     strip_empty_lines: bool = True
     max_line_length: int | None = 2000
+    soft_wrap: bool = False
+    canonicalize_shell: bool = False
 
 
 @dataclass(frozen=True)
 class ChunkOptions:
-    """Window length and overlap, both in lines."""
+    """Window length and overlap, both in ``unit``: lines, characters or tokens (words). Start and end of
+    a chunk count the same unit. ``max_chunks_per_file`` keeps the first windows of a file only."""
 
     target_chunk_size: int = 2048
     overlap: int = 200
+    unit: str = "lines"
+    max_chunks_per_file: int | None = None
 
     @property
     def step(self) -> int:
@@ -59,17 +67,22 @@ class DatasetOptions:
 
     ``split_method`` is ``hash`` (a function of seed and chunk, the same under any
     partitioning) or ``sequence`` (the seeded Mersenne Twister draw per emitted chunk).
+    ``output_format`` is ``jsonl`` or ``parquet``; a file holds at most ``max_records_per_shard`` records.
     """
 
     train_ratio: float = 0.9
     seed: int = 13
     compress: bool = False
     split_method: str = "hash"
+    output_format: str = "jsonl"
+    max_records_per_shard: int | None = None
 
 
 @dataclass(frozen=True)
 class QualityOptions:
-    """Inclusive size gates on normalised text, and the two deduplication switches."""
+    """Inclusive size gates on normalised text, and the two deduplication switches. A text in which one of
+    the ``forbidden_patterns`` is found counts as filtered. With ``near_similarity`` (0.8, say) only the first
+    of near-duplicate files enters the build, before anything is counted."""
 
     min_characters: int = 0
     max_characters: int | None = None
@@ -77,6 +90,8 @@ class QualityOptions:
     max_lines: int | None = None
     deduplicate_files: bool = True
     deduplicate_chunks: bool = True
+    forbidden_patterns: tuple[str, ...] = ()
+    near_similarity: float | None = None
 
 
 @dataclass(frozen=True)
@@ -193,6 +208,14 @@ class JobConfig:
             (chunk.target_chunk_size >= 1, "target_chunk_size must be at least 1"),
             (chunk.overlap >= 0, "overlap must not be negative"),
             (chunk.overlap < chunk.target_chunk_size, "overlap must be below target_chunk_size"),
+            (chunk.unit in ("lines", "characters", "tokens"), "unknown unit of chunks"),
+            (chunk.max_chunks_per_file is None or chunk.max_chunks_per_file > 0,
+             "max_chunks_per_file must be positive"),
+            (self.dataset.output_format in ("jsonl", "parquet"), "unknown output_format"),
+            (self.dataset.max_records_per_shard is None or self.dataset.max_records_per_shard > 0,
+             "max_records_per_shard must be positive"),
+            (quality.near_similarity is None or 0 < quality.near_similarity <= 1,
+             "near_similarity must lie between 0 and 1"),
             (self.ingestion.max_file_size_mb > 0, "max_file_size_mb must be positive"),
             (self.workspace != self.output_dir, "workspace and output_dir must differ"),
         ]

@@ -23,7 +23,7 @@ def exclude_extensions(files: DataFrame, excluded: Sequence[str]) -> DataFrame:
 
 def exclude_globs(files: DataFrame, patterns: Sequence[str]) -> DataFrame:
     """Drop files whose path or name matches a pattern; needs no content."""
-    return files.filter(~paths.matches_globs("relative_path", patterns))
+    return files.filter(~paths.matches_globs("relative_path", patterns)) if patterns else files
 
 
 def holds_forbidden(content: Column, patterns: Sequence[str]) -> Column:
@@ -57,19 +57,28 @@ def canonicalize_shell(records: DataFrame) -> DataFrame:
 
 
 # --- chunks --------------------------------------------------------------------------------------
-def _windows(records: DataFrame, units: Column, count: Column, options: ChunkOptions) -> DataFrame:
-    """One row per window with ``_units``, its 0-based ``_start`` and the ``_count`` of units."""
+def _windows(
+    records: DataFrame, units: Column, count: Column, options: ChunkOptions, keep_empty: bool
+) -> DataFrame:
+    """One row per window with ``_units``, its 0-based ``_start`` and the ``_count`` of units; with
+    ``keep_empty`` also one without a start for a record without units."""
     others = [c for c in records.columns if c != "content"]
     step = F.lit(options.step).cast("bigint")
     starts = F.when(F.col("_count") > 0, F.sequence(
         F.lit(0).cast("bigint"), last_start(F.col("_count"), options), step))
     return (
         records.withColumn("_units", units).withColumn("_count", count.cast("bigint"))
-        .select(*others, "_units", "_count", F.explode(starts).alias("_start"))
+        .select(*others, "_units", "_count",
+                (F.explode_outer if keep_empty else F.explode)(starts).alias("_start"))
     )
 
 
-def chunk_characters(records: DataFrame, options: ChunkOptions) -> DataFrame:
+def _end(options: ChunkOptions) -> Column:
+    last = F.least("_count", F.col("_start") + options.target_chunk_size)
+    return F.when(F.col("_start").isNotNull(), last)
+
+
+def chunk_characters(records: DataFrame, options: ChunkOptions, *, keep_empty: bool = False) -> DataFrame:
     """Windows of ``target_chunk_size`` code points that overlap; ``start`` and ``end`` are 1-based.
 
     A text is cut once into blocks of one step, of which each window takes as many as it covers,
@@ -77,32 +86,33 @@ def chunk_characters(records: DataFrame, options: ChunkOptions) -> DataFrame:
     """
     step, size = options.step, options.target_chunk_size
     blocks = F.regexp_extract_all("content", F.lit(rf"(?s).{{1,{step}}}"), F.lit(0))
-    cut = _windows(records, blocks, F.char_length("content"), options)
+    cut = _windows(records, blocks, F.char_length("content"), options, keep_empty)
     held = F.slice("_units", (F.col("_start") / step + 1).cast("int"), F.lit(-(-size // step)))
     return cut.select(
         *[c for c in records.columns if c != "content"],
-        (F.col("_start") + 1).alias("start"), F.least("_count", F.col("_start") + size).alias("end"),
+        (F.col("_start") + 1).alias("start"), _end(options).alias("end"),
         F.substring(F.array_join(held, ""), 1, size).alias("content"),
     )
 
 
-def chunk_tokens(records: DataFrame, options: ChunkOptions) -> DataFrame:
+def chunk_tokens(records: DataFrame, options: ChunkOptions, *, keep_empty: bool = False) -> DataFrame:
     """Windows of words between white space, joined by single spaces."""
     stripped, size = text.strip_text("content"), options.target_chunk_size
     words = F.when(stripped == "", F.array().cast("array<string>")).otherwise(
         F.split(stripped, f"{fixed.WHITESPACE_CLASS}+"))
-    cut = _windows(records, words, F.size("_units"), options)
+    cut = _windows(records, words, F.size("_units"), options, keep_empty)
     return cut.select(
         *[c for c in records.columns if c != "content"],
-        (F.col("_start") + 1).alias("start"), F.least("_count", F.col("_start") + size).alias("end"),
+        (F.col("_start") + 1).alias("start"), _end(options).alias("end"),
         F.array_join(F.slice("_units", (F.col("_start") + 1).cast("int"), F.lit(size)), " ").alias("content"),
     )
 
 
 def first_chunks(chunks: DataFrame, options: ChunkOptions, most: int) -> DataFrame:
     """Only the first ``most`` windows of each file: an explicit cut, whose losses
-    :func:`chunks_cut` counts."""
-    return chunks.filter(F.col("start_line") <= (most - 1) * options.step + 1)
+    :func:`chunks_cut` counts. Rows of files without a window stay."""
+    start = F.col("start_line")
+    return chunks.filter(start.isNull() | (start <= (most - 1) * options.step + 1))
 
 
 def chunks_cut(chunks: DataFrame, options: ChunkOptions, most: int) -> DataFrame:
@@ -141,8 +151,9 @@ def dedup_ratios(counters: DataFrame) -> DataFrame:
 
 
 def estimate_run(records: DataFrame, options: ChunkOptions, shard_records: int) -> DataFrame:
-    """Files, chunks and shards of a run from line counts alone; nothing is written."""
-    lines = text.line_count("content")
+    """Files, chunks and shards of a run from line counts alone; nothing is written. Lines are those
+    that chunking sees: a final line break ends a line and does not begin another."""
+    lines = text.piece_count(text.line_pieces("content"))
     chunks = F.when(lines > 0, F.floor(last_start(lines, options) / options.step) + 1).otherwise(0)
     total = F.coalesce(F.sum(chunks), F.lit(0)).cast("bigint")
     return records.agg(

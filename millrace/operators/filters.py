@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.config import IngestionOptions, QualityOptions
 from millrace.functions import paths, text
+from millrace.operators import extensions
 from millrace.operators.joins import sized_join
 
 
@@ -32,6 +33,8 @@ def ingestible(files: DataFrame, options: IngestionOptions) -> DataFrame:
     return (
         files.transform(filter_dirs, options.exclude_dirs)
         .transform(filter_extension, options.include_extensions)
+        .transform(extensions.exclude_extensions, options.exclude_extensions)
+        .transform(extensions.exclude_globs, options.exclude_globs)
         .transform(filter_size, options.max_bytes)
     )
 
@@ -61,7 +64,7 @@ def filter_source_language(
 
 
 def passes_gates(content: Column, options: QualityOptions) -> Column:
-    """Inclusive bounds on code points and lines of normalised text."""
+    """Inclusive bounds on code points and lines of normalised text, and no forbidden pattern in it."""
     passed = F.lit(True)
     for value, low, high in (
         (F.length(content), options.min_characters, options.max_characters),
@@ -71,6 +74,8 @@ def passes_gates(content: Column, options: QualityOptions) -> Column:
             passed &= value >= low
         if high is not None:
             passed &= value <= high
+    if options.forbidden_patterns:
+        passed &= ~extensions.holds_forbidden(content, options.forbidden_patterns)
     return passed
 
 

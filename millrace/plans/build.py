@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import dataclasses
 import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.config import JobConfig
-from millrace.operators import chunking, commands, filters, metadata, stats
+from millrace.operators import chunking, commands, extensions, filters, metadata, stats
 from millrace.operators.dedup import (
     distinct_first, find_repeats, keep_first, semi_join_survivors,
 )
+from millrace.operators.near_dedup import NearOptions, near_dedup
 from millrace.operators.split import hash_split, sequence_split
 from millrace.sinks import writers
 from millrace.sources import scan
@@ -50,18 +52,30 @@ class Built:
 def chunk_outcome(records: DataFrame, config: JobConfig) -> DataFrame:
     """Normalise, gate and chunk records. Files that fail the gates keep one row, with
     ``passed`` false, so that the statistics need no second pass over the text."""
-    content = F.col("content")
+    content, options = F.col("content"), config.preprocess
+    if options.canonicalize_shell:
+        records = extensions.canonicalize_shell(records)
+    if options.soft_wrap and options.max_line_length:
+        whole = dataclasses.replace(options, max_line_length=None)
+        text = chunking.preprocess_record(records, whole).withColumn(
+            "content", extensions.soft_wrap("content", options.max_line_length))
+    else:
+        text = chunking.preprocess_record(records, options)
     gated = (
-        records.transform(chunking.preprocess_record, config.preprocess)
+        text
         .withColumn("passed", filters.passes_gates(content, config.quality))
         .withColumn("content", F.when(F.col("passed"), content).otherwise(""))
     )
-    chunks = chunking.chunk_lines(
-        gated,
-        config.chunk,
-        keep_empty=True,
-        unix_only=bool(config.preprocess.max_line_length),
-    )
+    if config.chunk.unit == "lines":
+        chunks = chunking.chunk_lines(
+            gated, config.chunk, keep_empty=True, unix_only=bool(options.max_line_length)
+        )
+    else:
+        cut = extensions.chunk_tokens if config.chunk.unit == "tokens" else extensions.chunk_characters
+        chunks = cut(gated, config.chunk, keep_empty=True).withColumnsRenamed(
+            {"start": "start_line", "end": "end_line"})
+    if config.chunk.max_chunks_per_file is not None:
+        chunks = extensions.first_chunks(chunks, config.chunk, config.chunk.max_chunks_per_file)
     return chunks.transform(chunking.with_chunk_hash).withColumn(
         "split", hash_split(config.dataset)
     )
@@ -153,9 +167,16 @@ def scan_sources(
 def write_dataset(records: DataFrame, config: JobConfig) -> dict:
     """Build chunks of file records and write them with the statistics and the
     configuration; returns the statistics. Call it inside a run folder."""
+    if config.quality.near_similarity is not None:
+        near = NearOptions(similarity=config.quality.near_similarity)
+        records = near_dedup(stage(records, "records"), FILE_ORDER, near)
     built = build_chunks(records, config)
-    target = config.output_uri
-    writers.write_jsonl(built.emitted, target, compress=config.dataset.compress)
+    target, shard = config.output_uri, config.dataset.max_records_per_shard
+    if config.dataset.output_format == "parquet":
+        writers.write_parquet(built.emitted, target, shard_records=shard)
+    else:
+        writers.write_jsonl(
+            built.emitted, target, compress=config.dataset.compress, shard_records=shard)
     statistics = writers.write_stats(built.document(), target)
     writers.write_text(records.sparkSession, f"{target}/{writers.CONFIG_FILE}", config.to_json())
     return statistics

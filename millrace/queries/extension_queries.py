@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from millrace.config import ChunkOptions, CommandSource, IngestionOptions
 from millrace.functions import fixed
 from millrace.operators import extensions
+from millrace.operators.near_dedup import (
+    NearOptions, class_sets, near_groups, similar_pairs, split_words, word_class,
+)
 from millrace.queries import inputs
 from millrace.queries.build_queries import BUILD_SQL, CONFIG, COUNTERS_SQL, _built
 from millrace.queries.inputs import FILES_SQL, SOURCES_SQL, TRANSCRIPTS_SQL
@@ -112,13 +115,18 @@ def dedup_ratios(spark, sf_dir):
     return extensions.dedup_ratios(_built(spark, sf_dir).counters())
 
 
-@query("estimate_run", """WITH counted AS (SELECT len(string_split(text, chr(10)))
-    - CASE WHEN text LIKE '%' || chr(10) THEN 1 ELSE 0 END AS n FROM documents WHERE text <> ''),
+@query("estimate_run", """WITH planted AS (SELECT CASE WHEN doc_id % 3 = 0 THEN text || chr(10)
+      WHEN doc_id % 3 = 1 THEN text || chr(10) || chr(10) ELSE text END AS text FROM documents),
+  counted AS (SELECT len(string_split(text, chr(10)))
+    - CASE WHEN text LIKE '%' || chr(10) THEN 1 ELSE 0 END AS n FROM planted WHERE text <> ''),
   sums AS (SELECT (SELECT count(*) FROM documents) AS files,
     CAST(sum(greatest(0, n - 2) // 3 + 1) AS BIGINT) AS chunks FROM counted)
   SELECT files, chunks, CAST(ceil(chunks / 1000) AS BIGINT) AS shards FROM sums""")
 def estimate_run(spark, sf_dir):
-    return extensions.estimate_run(_documents(spark, sf_dir), ChunkOptions(4, 1), 1000)
+    """Every document; two thirds of them get the line breaks at the end that files have."""
+    ends = F.when(F.col("doc_id") % 3 == 0, "\n").when(F.col("doc_id") % 3 == 1, "\n\n").otherwise("")
+    planted = _documents(spark, sf_dir).withColumn("content", F.concat("content", ends))
+    return extensions.estimate_run(planted, ChunkOptions(4, 1), 1000)
 
 
 @query("write_parquet", f"""WITH {BUILD_SQL} SELECT split, content, language, relative_path AS source_path,
@@ -196,3 +204,44 @@ def scan_command_files(spark, sf_dir):
     ]
     return scan.scan_command_files(spark, sources).withColumn(
         "path", F.substring_index("path", "/", -1))
+
+
+NEAR_SQL = r"""docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  classes AS (SELECT array_to_string(w, ' ') AS words, min(doc_id) AS class_id, any_value(w) AS w
+    FROM docs GROUP BY array_to_string(w, ' ')),
+  sets AS (SELECT class_id, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(
+      [array_to_string(w[k:k + 4], ' ') for k in range(1, len(w) - 3)]) END AS s FROM classes WHERE len(w) > 0),
+  entries AS (SELECT class_id, len(s) AS n, unnest(s) AS g FROM sets),
+  met AS (SELECT x.class_id AS a, y.class_id AS b, x.n + y.n AS total, count(*) AS c
+    FROM entries x JOIN entries y USING (g) WHERE x.class_id < y.class_id GROUP BY ALL),
+  links AS (SELECT a, b FROM met WHERE c / (total - c) >= 0.8),
+  ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links)"""
+DOC_ORDER = ("doc_id",)
+
+
+@query("near_duplicate_links", f"""WITH {NEAR_SQL}, counted AS (SELECT a, count(*) AS n FROM ways GROUP BY a)
+  SELECT doc_id, class_id, CAST(coalesce(n, 0) AS BIGINT) AS links FROM docs
+  JOIN classes ON array_to_string(docs.w, ' ') = words LEFT JOIN counted ON a = class_id""")
+def near_duplicate_links(spark, sf_dir):
+    """Per document the smallest id with the same words, and how many other texts are near it."""
+    classed = _documents(spark, sf_dir).select(
+        "doc_id", "content", word_class(split_words(F.col("content"))).alias("class"))
+    pairs = similar_pairs(class_sets(classed, DOC_ORDER, NearOptions()), 0.8)
+    ways = pairs.select(F.col("a").alias("class")).unionAll(pairs.select("b")).groupBy("class").agg(
+        F.count(F.lit(1)).alias("links"))
+    named = classed.groupBy("class").agg(F.min("doc_id").alias("class_id")).join(ways, "class", "left")
+    return classed.select("doc_id", "class").join(named.hint("merge"), "class").select(
+        "doc_id", "class_id", F.coalesce("links", F.lit(0).cast("bigint")).alias("links"))
+
+
+@query("near_duplicate_groups", f"""WITH RECURSIVE {NEAR_SQL},
+  reach AS (SELECT class_id AS u, class_id AS v FROM classes UNION SELECT u, b FROM reach JOIN ways ON v = a),
+  firsts AS (SELECT u, min(v) AS component_id FROM reach GROUP BY u)
+  SELECT doc_id, component_id FROM docs JOIN classes ON array_to_string(docs.w, ' ') = words
+  JOIN firsts ON u = class_id""")
+def near_duplicate_groups(spark, sf_dir):
+    """Per document the smallest id of its group by bands and stars; the SQL links all similar pairs."""
+    groups = near_groups(_documents(spark, sf_dir), DOC_ORDER)
+    firsts = groups.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    return groups.join(firsts.hint("merge"), "group").select("doc_id", "component_id")

@@ -38,8 +38,11 @@ def dataset_paths(output_dir: str, compress: bool) -> dict[str, str]:
     return {split: f"{output_dir}/{split}{suffix}" for split in (TRAIN, EVAL)}
 
 
-def write_jsonl(chunks: DataFrame, output_dir: str, *, compress: bool = False) -> dict[str, str]:
-    """Write one folder of JSON lines per split; both exist even when one is empty.
+def write_jsonl(
+    chunks: DataFrame, output_dir: str, *, compress: bool = False, shard_records: int | None = None
+) -> dict[str, str]:
+    """Write one folder of JSON lines per split; both exist even when one is empty. A file holds at
+    most ``shard_records`` records.
 
     ``chunks`` should come from a table partitioned by ``split``: each write then reads
     its own part only.
@@ -48,6 +51,8 @@ def write_jsonl(chunks: DataFrame, output_dir: str, *, compress: bool = False) -
     for split, path in targets.items():
         items = dataset_item(chunks.filter(F.col("split") == split))
         writer = items.write.mode("overwrite")
+        if shard_records is not None:
+            writer = writer.option("maxRecordsPerFile", shard_records)
         writer.json(path, compression="gzip" if compress else "none")
     return targets
 

@@ -12,6 +12,9 @@ from pathlib import Path, PurePosixPath
 import pytest
 
 import rules
+from pyspark.sql import functions as F
+
+from millrace.config import ConfigError
 from millrace import (
     ChunkOptions, CodeSource, CommandSource, DatasetOptions, IngestionOptions, JobConfig,
     PreprocessOptions, QualityOptions, build_dataset, build_from_records, raw_records, run_from_paths,
@@ -193,6 +196,84 @@ def check_artefacts(config, stats):
     assert rows[0]["path"] == config.root
 
 
+def _built(spark, tmp_path, texts, **sections):
+    rows = [(0, name, text) for name, text in texts.items()]
+    table = spark.createDataFrame(rows, "source_ord int, relative_path string, text string")
+    raw = raw_records(table, source_ord=F.col("source_ord"), source_name=F.lit("s"),
+                      relative_path=F.col("relative_path"), text=F.col("text"))
+    job = JobConfig(root=str(tmp_path), output_dir=str(tmp_path / "out"), **sections)
+    return build_from_records(raw, job), job
+
+
+def _items(spark, job):
+    out = f"{job.output_dir}/dataset.parquet"
+    frame = (spark.read.parquet(out) if job.dataset.output_format == "parquet"
+             else spark.read.json([f"{job.output_dir}/train.jsonl", f"{job.output_dir}/eval.jsonl"]))
+    return sorted((r.metadata.source_path, r.metadata.start_line, r.metadata.end_line, r.content)
+                  for r in frame.collect())
+
+
+def test_excluded_files_never_enter_a_job(spark, tmp_path):
+    texts = {"a.py": "one\n", "b.md": "two", "lib/c.py": "three", "lib/d.MD": "four"}
+    stats, job = _built(spark, tmp_path, texts, ingestion=IngestionOptions(
+        exclude_extensions=(".md",), exclude_globs=("lib/*",)))
+    assert [i[0] for i in _items(spark, job)] == ["a.py"] and stats["files_scanned"] == 1
+
+
+def test_forbidden_texts_count_as_filtered(spark, tmp_path):
+    texts = {"a.py": "key = 1", "b.py": "password=abc", "c.py": "other text"}
+    stats, job = _built(spark, tmp_path, texts, quality=QualityOptions(forbidden_patterns=(r"password=\w+",)))
+    assert [i[0] for i in _items(spark, job)] == ["a.py", "c.py"]
+    assert (stats["files_scanned"], stats["files_filtered"], stats["files_emitted"]) == (3, 1, 2)
+
+
+def test_wrapped_lines_and_tidied_shell(spark, tmp_path):
+    texts = {"a.md": "abcdefgh\nij", "b.sh": "$ ls   -la\n> cd  /"}
+    _, job = _built(spark, tmp_path, texts, preprocess=PreprocessOptions(
+        max_line_length=5, soft_wrap=True, canonicalize_shell=True))
+    assert [i[3] for i in _items(spark, job)] == ["abcde\nfgh\nij", "ls -l\na\ncd /"]
+
+
+@pytest.mark.parametrize("unit, want", [
+    ("characters", [("a.md", 1, 4, "ab c"), ("a.md", 4, 7, "cd e")]),
+    ("tokens", [("a.md", 1, 4, "ab cd ef gh"), ("a.md", 4, 5, "gh ij")]),
+])
+def test_units_caps_and_empty_files(spark, tmp_path, unit, want):
+    texts = {"a.md": "ab cd ef gh ij", "b.md": ""}
+    stats, job = _built(spark, tmp_path, texts, chunk=ChunkOptions(4, 1, unit=unit, max_chunks_per_file=2))
+    assert _items(spark, job) == want
+    assert stats["files_emitted"] == 2 and stats["chunks_emitted"] == 2
+
+
+@pytest.mark.parametrize("form", ["jsonl", "parquet"])
+def test_shards_hold_so_many_records(spark, tmp_path, form):
+    texts = {f"f{k:03d}.md": f"text {k}" for k in range(40)}
+    _, job = _built(spark, tmp_path, texts, dataset=DatasetOptions(output_format=form, max_records_per_shard=3))
+    assert len(_items(spark, job)) == 40
+    parts = list(Path(job.output_dir).rglob("part-*"))
+    if form == "jsonl":
+        assert len(parts) >= 14 and all(len(p.read_text().splitlines()) <= 3 for p in parts)
+    else:
+        assert len(parts) >= 14
+
+
+def test_only_the_first_of_near_copies_is_built(spark, tmp_path):
+    words = [f"w{k}" for k in range(100)]
+    texts = {"a.md": " ".join(words), "b.md": " ".join([*words[:99], "other"]), "c.md": "something else entirely here now"}
+    stats, job = _built(spark, tmp_path, texts, quality=QualityOptions(near_similarity=0.8))
+    assert [i[0] for i in _items(spark, job)] == ["a.md", "c.md"] and stats["files_scanned"] == 2
+
+
+@pytest.mark.parametrize("sections", [
+    {"chunk": ChunkOptions(unit="pages")}, {"chunk": ChunkOptions(max_chunks_per_file=0)},
+    {"dataset": DatasetOptions(output_format="csv")}, {"dataset": DatasetOptions(max_records_per_shard=0)},
+    {"quality": QualityOptions(near_similarity=1.5)},
+])
+def test_bad_optional_values(tmp_path, sections):
+    with pytest.raises(ConfigError):
+        JobConfig(root=str(tmp_path), output_dir=str(tmp_path / "out"), **sections).validate()
+
+
 def test_second_run_does_not_read_its_own_output(spark, tmp_path):
     (tmp_path / "a.py").write_text("x = 1\n")
     first = run_from_paths(spark, str(tmp_path), str(tmp_path / "out"))

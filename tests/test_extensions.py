@@ -65,6 +65,17 @@ def test_cut_chunks_are_counted(spark):
     assert extensions.chunks_cut(chunks, options, 4).first()[0] == 6
 
 
+def test_estimate_counts_the_lines_that_chunking_sees(spark):
+    from millrace.operators.chunking import chunk_lines
+
+    texts = ["a\nb\nc\nd\n", "a\nb\nc\nd", "\n", "", None, "a\r\nb\r\n", "x\n" * 50, "a\x0bb\x85c\n\n"]
+    files = spark.createDataFrame([(t,) for t in texts], "content string")
+    for size, overlap in ((4, 1), (3, 2), (1, 0)):
+        options = ChunkOptions(size, overlap)
+        row = extensions.estimate_run(files, options, 10).first()
+        assert row.chunks == chunk_lines(files, options).count() and row.files == len(texts)
+
+
 def test_estimate_and_ratios_of_nothing(spark, records):
     row = extensions.estimate_run(records.limit(0), ChunkOptions(4, 1), 10).first()
     assert tuple(row) == (0, 0, 0)
