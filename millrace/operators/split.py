@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import random
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -12,13 +11,13 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.config import DatasetOptions
+from millrace.functions import twister
 from millrace.operators.positions import with_positions
 
 TRAIN, EVAL = "train", "eval"
 _DRAW_BITS = 52
-_SKIP_BLOCK = 1 << 20
-# The driver keeps the generator's state at so many places at most (2.5 KB each).
-_STATES = 4096
+# A gap of so many draws costs less than a jump.
+_DRAWN_THROUGH = 1 << 20
 
 
 def hash_split(options: DatasetOptions, chunk_hash: str = "chunk_hash") -> Column:
@@ -37,19 +36,15 @@ def sequence_split(
 ) -> DataFrame:
     """Split by the n-th Mersenne Twister draw for the n-th row in ``order``.
 
-    ``keys`` should be narrow. The driver runs the generator once over all positions and keeps
-    its state at even distances. A task starts from the last state before its first row and
-    skips less than one distance; it draws once per row after that. So all draws together are
-    linear in the rows.
+    ``keys`` should be narrow. A task jumps to the draw of its first row, and again where its
+    rows leave a gap too wide to draw through; then it draws once per row. The driver does
+    nothing per row.
     """
     placed = with_positions(keys, [], order).drop("group_size")
-    seed, ratio = options.seed, options.train_ratio
-    size = placed.agg(F.count(F.lit(1))).first()[0]
-    distance = max(_SKIP_BLOCK, -(-size // _STATES))
-    states = keys.sparkSession.sparkContext.broadcast(_states(seed, size, distance))
+    seed, ratio, polynomial = options.seed, options.train_ratio, twister.characteristic()
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        twister, reached = _twister(seed), 0
+        generator, reached = twister.seeded(seed), 0
         for batch in batches:
             at = batch.pop("position").to_numpy()
             draws = np.empty(len(at))
@@ -57,16 +52,13 @@ def sequence_split(
             for begin, end in zip(bounds[:-1], bounds[1:]):
                 if begin == end:
                     continue
-                nearest = int(at[begin]) // distance
-                if reached < nearest * distance or reached > at[begin]:
-                    twister.set_state(states.value[nearest])
-                    reached = nearest * distance
-                while reached < at[begin]:
-                    skipped = min(_SKIP_BLOCK, int(at[begin]) - reached)
-                    twister.random_sample(skipped)
-                    reached += skipped
-                draws[begin:end] = twister.random_sample(end - begin)
-                reached += end - begin
+                first = int(at[begin])
+                if 0 <= first - reached <= _DRAWN_THROUGH:
+                    generator.random_sample(first - reached)
+                else:
+                    generator = twister.at_draw(seed, first, polynomial)
+                draws[begin:end] = generator.random_sample(end - begin)
+                reached = first + end - begin
             yield batch.assign(split=np.where(draws < ratio, TRAIN, EVAL))
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields]
@@ -75,23 +67,5 @@ def sequence_split(
     )
 
 
-def _states(seed: int, size: int, distance: int) -> list[tuple]:
-    """States of the generator after 0, ``distance``, 2 * ``distance`` ... draws."""
-    twister, found = _twister(seed), []
-    for begin in range(0, max(1, size), distance):
-        found.append(twister.get_state())
-        for skipped in range(0, min(distance, size - begin), _SKIP_BLOCK):
-            twister.random_sample(min(_SKIP_BLOCK, min(distance, size - begin) - skipped))
-    return found
-
-
-def _twister(seed: int) -> np.random.RandomState:
-    """NumPy generator that continues the stream of ``random.Random(seed)``."""
-    state = random.Random(seed).getstate()[1]
-    twister = np.random.RandomState()
-    twister.set_state(("MT19937", np.array(state[:-1], dtype=np.uint32), state[-1]))
-    return twister
-
-
 # Task functions travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

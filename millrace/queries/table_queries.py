@@ -336,9 +336,44 @@ def train_eval_split(spark, sf_dir):
     )
 
 
-@query("train_eval_split_sequence")
+# The seeded state of the generator word by word, then its stream in blocks of 227 words, the most that
+# depend on earlier blocks alone.
+def _mixed(word, last, factor, added):
+    return (f"((xor({word}, (xor({last}, {last} >> 30) * {factor}) & 4294967295) + {added})"
+            " & 4294967295)")
+
+
+def twister_sql(seed, draws):
+    """CTE ``draws(position, draw)`` of the Mersenne Twister seeded with a number below 2**32."""
+    return f"""plain(i, v) AS (SELECT 0, 19650218::BIGINT UNION ALL SELECT i + 1,
+    (1812433253 * xor(v, v >> 30) + i + 1) & 4294967295 FROM plain WHERE i < 623),
+  keyed(i, v) AS (SELECT 0, v FROM plain WHERE i = 0 UNION ALL SELECT p.i,
+    {_mixed('p.v', 'k.v', 1664525, seed)} FROM keyed k JOIN plain p ON p.i = k.i + 1),
+  turned(i, v) AS (SELECT 1, {_mixed('k.v', 'z.v', 1664525, seed)} FROM keyed k, keyed z
+    WHERE k.i = 1 AND z.i = 623
+    UNION ALL SELECT k.i, {_mixed('k.v', 't.v', 1566083941, '4294967296 - k.i')}
+    FROM turned t JOIN keyed k ON k.i = t.i + 1),
+  state(i, v) AS (SELECT 0, 2147483648::BIGINT
+    UNION ALL SELECT 1, {_mixed('f.v', 'l.v', 1566083941, 4294967295)} FROM turned f, turned l
+    WHERE f.i = 1 AND l.i = 623
+    UNION ALL SELECT i, v FROM turned WHERE i > 1),
+  blocks(n, w) AS (SELECT 0, list(v ORDER BY i) FROM state UNION ALL SELECT n + 1,
+    list_concat(w[228:], list_transform(range(1, 228), lambda i: xor(xor(w[i + 397],
+      ((w[i] & 2147483648) | (w[i + 1] & 2147483647)) >> 1), (w[i + 1] & 1) * 2567483615)))
+    FROM blocks WHERE n * 227 < 2 * {draws}),
+  raw AS (SELECT (n - 1) * 227 + i - 1 AS o, w[397 + i] AS a FROM blocks, range(1, 228) AS r(i) WHERE n > 0),
+  shift1 AS (SELECT o, xor(a, a >> 11) AS a FROM raw),
+  shift2 AS (SELECT o, xor(a, (a << 7) & 2636928640) AS a FROM shift1),
+  shift3 AS (SELECT o, xor(a, (a << 15) & 4022730752) AS a FROM shift2),
+  outputs AS (SELECT o, xor(a, a >> 18) AS a FROM shift3),
+  draws AS (SELECT x.o // 2 AS position, ((x.a >> 5) * 67108864 + (y.a >> 6)) / 9007199254740992.0::DOUBLE
+    AS draw FROM outputs x JOIN outputs y ON y.o = x.o + 1 WHERE x.o % 2 = 0)"""
+
+
+@query("train_eval_split_sequence", f"""WITH RECURSIVE {twister_sql(13, '(SELECT count(*) FROM documents)')},
+  placed AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents)
+  SELECT doc_id, CASE WHEN draw < 0.9 THEN 'train' ELSE 'eval' END AS split FROM placed JOIN draws USING (position)""")
 def train_eval_split_sequence(spark, sf_dir):
-    """Mersenne Twister draws; SQL has none. The tests compare it with Python's generator."""
     keys = inputs.table(spark, sf_dir, "documents").select("doc_id")
     return split.sequence_split(keys, ["doc_id"], DatasetOptions())
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import rules
 from millrace.config import ChunkOptions, CommandSource, DatasetOptions, IngestionOptions
+from millrace.functions import twister
 from millrace.operators import chunking, commands, joins, positions, split
 from millrace.operators.dedup import find_repeats, keep_first
 from millrace.sources import tables
@@ -84,7 +85,9 @@ def test_first_n(hot, n, pruned, monkeypatch):
     assert sorted(map(tuple, got)) == want
 
 
-def test_sequence_split_draws_like_the_generator(spark):
+@pytest.mark.parametrize("drawn_through", [split._DRAWN_THROUGH, 0])
+def test_sequence_split_draws_like_the_generator(spark, drawn_through, monkeypatch):
+    monkeypatch.setattr(split, "_DRAWN_THROUGH", drawn_through)
     options = DatasetOptions(train_ratio=0.7, seed=1337)
     keys = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k")).repartition(17)
     got = split.sequence_split(keys, ["k"], options).orderBy("k").collect()
@@ -92,6 +95,28 @@ def test_sequence_split_draws_like_the_generator(spark):
     assert [r.split for r in got] == ["train" if draw.random() < 0.7 else "eval" for _ in got]
 
 
+def test_characteristic_polynomial():
+    polynomial = twister.characteristic()
+    assert (polynomial.bit_length(), polynomial.bit_count(), polynomial & 1) == (19938, 135, 1)
+
+
+@pytest.mark.parametrize("seed", [0, 13, 2**40 + 1])
+def test_at_draw_continues_the_stream(seed):
+    drawn = random.Random(seed)
+    draws = [drawn.random() for _ in range(200_701)]
+    for position in (0, 1, 2, 311, 312, 313, 9968, 9969, 200_001):
+        got = twister.at_draw(seed, position, twister.characteristic()).random_sample(700)
+        assert got.tolist() == draws[position : position + 700]
+
+
+def test_at_draw_far_away():
+    """Two jumps that end apart meet when the earlier one draws on."""
+    polynomial = twister.characteristic()
+    near, far = (twister.at_draw(13, 10**12 + more, polynomial) for more in (0, 100_003))
+    near.random_sample(100_003)
+    assert near.random_sample(700).tolist() == far.random_sample(700).tolist()
+
+
 def test_hash_split_does_not_depend_on_partitions(spark):
     keys = spark.range(4000).select(F.sha1(F.col("id").cast("string").cast("binary")).alias("chunk_hash"))
     column = split.hash_split(DatasetOptions(train_ratio=0.9, seed=13)).alias("split")
