@@ -187,25 +187,40 @@ def scan_source_tree(spark, sf_dir):
         "source_ord", "source_name", "relative_path", "size", F.sha1("raw").alias("file_hash"))
 
 
-@query("scan_command_files", f"""WITH {TRANSCRIPTS_SQL} SELECT source_ord, path || '.history' AS path,
+_HISTORIES_SQL = f"""WITH {TRANSCRIPTS_SQL} SELECT source_ord, path || '.history' AS path,
   row_number() OVER (PARTITION BY source_ord, path ORDER BY line_no) - 1 AS line_no, line
-  FROM transcripts""")
-def scan_command_files(spark, sf_dir):
+  FROM transcripts"""
+
+
+def _histories(spark, sf_dir, line_end="'\\n'", **options):
+    """Write a file per transcript, its lines joined by an expression, and scan the files."""
     folder = _mounted(spark, "histories")
     lines = F.sort_array(F.collect_list(F.struct("line_no", "line")))
     texts = inputs.transcripts(spark, sf_dir).groupBy("source_ord", "path").agg(lines.alias("_held"))
     _write_tree(texts.select(
         F.concat(F.lit("hist"), "source_ord", F.lit("/"), "path", F.lit(".history")).alias("place"),
-        F.array_join("_held.line", "\n").cast("binary").alias("raw")), folder)
+        F.expr(f"array_join(_held.line, {line_end})").cast("binary").alias("raw")), folder)
     sources = [
         ResolvedSource(n, f"hist{n}-commands", "commands", "local", f"{folder}/hist{n}",
                        commands=CommandSource(f"hist{n}", "local", f"{folder}/hist{n}"))
         for n in range(3)
     ]
-    return scan.scan_command_files(spark, sources).withColumn(
+    return scan.scan_command_files(spark, sources, **options).withColumn(
         "path", F.substring_index("path", "/", -1))
 
 
+@query("scan_command_files", _HISTORIES_SQL)
+def scan_command_files(spark, sf_dir):
+    return _histories(spark, sf_dir)
+
+
+@query("scan_command_file_ranges", _HISTORIES_SQL)
+def scan_command_file_ranges(spark, sf_dir):
+    """Every file is cut into ranges of 256 bytes; lines end in three ways."""
+    line_end = "CASE source_ord WHEN 0 THEN '\\n' WHEN 1 THEN '\\r' ELSE '\\r\\n' END"
+    return _histories(spark, sf_dir, line_end, range_bytes=256)
+
+
 NEAR_SQL = r"""docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
   classes AS (SELECT array_to_string(w, ' ') AS words, min(doc_id) AS class_id, any_value(w) AS w

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.config import IngestionOptions
 from millrace.functions import fixed
 from millrace.operators import commands, filters
-from millrace.sources import tree
+from millrace.sources import lines, tree
 from millrace.sources.resolve import ResolvedSource
 
 _RAW = "source_ord int, source_name string, relative_path string, size bigint, raw binary"
@@ -48,12 +48,13 @@ def scan_source_tree(
 
 
 def scan_command_files(
-    spark: SparkSession, sources: Sequence[ResolvedSource], *, exclude_paths: Sequence[str] = ()
+    spark: SparkSession, sources: Sequence[ResolvedSource], *, exclude_paths: Sequence[str] = (),
+    range_bytes: int = lines.RANGE_BYTES,
 ) -> DataFrame:
     """Lines of the files that match the patterns of their command source.
 
     No directory, suffix, size or binary rule applies. Patterns are matched against the
-    full path and the name.
+    full path and the name. A file over ``range_bytes`` is read by several tasks.
     """
     listing = tree.list_tree(
         spark, [(s.source_ord, s.path) for s in sources], exclude_paths=exclude_paths
@@ -64,7 +65,7 @@ def scan_command_files(
         .withColumn("full_path", F.concat_ws("/", F.rtrim("root", F.lit("/")), "relative_path"))
         .filter(commands.matches_source(by_ord, "full_path"))
     )
-    return tree.read_lines(files)
+    return lines.read_lines(files, range_bytes=range_bytes)
 
 
 def list_metadata_paths(spark: SparkSession, sources: Sequence[ResolvedSource]) -> DataFrame:

@@ -152,15 +152,16 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=names).astype({"size": "Int64"})
 
 
-def _spread(files: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Spread files by a hash of their unique path, over as many tasks as they need."""
+def spread(files: DataFrame, columns: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """Spread files or ranges of files by a hash of their unique key, over as many tasks as
+    their ``size`` needs."""
     load = files.agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("files")).first()
     tasks = max(
         min(files.sparkSession.sparkContext.defaultParallelism, load["files"] or 1),
         -(-(load["bytes"] or 0) // _TASK_BYTES),
         -(-load["files"] // _TASK_FILES),
     )
-    return files.select(*columns).repartition(tasks, "source_ord", "relative_path")
+    return files.select(*columns).repartition(tasks, *key)
 
 
 def read_files(files: DataFrame) -> DataFrame:
@@ -187,54 +188,10 @@ def read_files(files: DataFrame) -> DataFrame:
         if rows:
             yield pd.DataFrame(rows, columns=[*columns[:3], "raw"])
 
-    return _spread(files, columns).mapInPandas(
+    return spread(files, columns, ["source_ord", "relative_path"]).mapInPandas(
         load_bytes, "source_ord int, relative_path string, size bigint, raw binary"
     )
 
 
-def read_lines(files: DataFrame) -> DataFrame:
-    """Lines of listed files as ``source_ord, path, line_no, line``; ``line_no`` from 0.
-
-    A file is streamed, so its size is not bounded. It is read as UTF-8 when all of it
-    is valid UTF-8, else as Latin-1. A file that cannot be read has no lines.
-    """
-    names = ["source_ord", "path", "line_no", "line"]
-
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, held = [], 0
-        for batch in batches:
-            for source_ord, relative_path, file in batch.itertuples(index=False):
-                try:
-                    for number, line in enumerate(_file_lines(bytes(file))):
-                        rows.append((source_ord, relative_path, number, line))
-                        held += len(line) + 32
-                        if held >= _BATCH_BYTES:
-                            yield pd.DataFrame(rows, columns=names)
-                            rows, held = [], 0
-                except OSError:
-                    continue
-        if rows:
-            yield pd.DataFrame(rows, columns=names)
-
-    return _spread(files, ["source_ord", "relative_path", "file"]).mapInPandas(
-        lines, "source_ord int, path string, line_no bigint, line string"
-    )
-
-
-def _file_lines(file: bytes) -> Iterator[str]:
-    """Lines of one file. A line feed always ends a line, so each piece up to one can be
-    split by itself."""
-    try:
-        with open(file, encoding="utf-8", newline="\n") as handle:
-            while handle.read(1 << 20):
-                pass
-        encoding = "utf-8"
-    except UnicodeDecodeError:
-        encoding = "latin-1"
-    with open(file, encoding=encoding, newline="\n") as handle:
-        for piece in handle:
-            yield from piece.splitlines()
-
-
 # Task functions travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
