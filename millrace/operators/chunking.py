@@ -66,6 +66,16 @@ def chunk_lines(
     )
 
 
+def windows_of_line(
+    position: Column, lines: Column, options: ChunkOptions
+) -> tuple[Column, Column]:
+    """First and last window, numbered from 0, that hold the line at a 0-based position."""
+    step, size = F.lit(options.step), options.target_chunk_size
+    lowest = F.greatest(F.lit(0), F.ceil((position - size + 1) / step)).cast("bigint")
+    highest = F.least(F.floor(position / step), F.floor(last_start(lines, options) / step))
+    return lowest, highest.cast("bigint")
+
+
 def long_text_windows(
     lines: DataFrame, group: Sequence[str], order: Sequence[str], options: ChunkOptions
 ) -> DataFrame:
@@ -76,12 +86,7 @@ def long_text_windows(
     """
     placed = with_positions(lines, group, order)
     step, size = options.step, options.target_chunk_size
-    position = F.col("position")
-    lowest = F.greatest(F.lit(0), F.ceil((position - size + 1) / F.lit(step))).cast("bigint")
-    highest = F.least(
-        F.floor(position / F.lit(step)),
-        F.floor(last_start(F.col("group_size"), options) / F.lit(step)),
-    ).cast("bigint")
+    lowest, highest = windows_of_line(F.col("position"), F.col("group_size"), options)
     window = F.sort_array(F.collect_list(F.struct("position", "line")))
     return (
         placed.filter(lowest <= highest)

@@ -11,11 +11,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.config import CommandSource, IngestionOptions
+from millrace.config import ChunkOptions, CommandSource, IngestionOptions
 from millrace.functions import paths, text
+from millrace.operators.chunking import windows_of_line
 from millrace.operators.dedup import distinct_first
 from millrace.operators.joins import sized_join
-from millrace.operators.positions import first_n, with_totals_before
+from millrace.operators.positions import first_n, with_positions, with_totals_before
 from millrace.staging import stage
 
 ORDER = ("path", "line_no")
@@ -88,36 +89,59 @@ def command_cap(corpus: DataFrame, caps: Mapping[int, int | None] | int | None)
     )
 
 
-def corpus_records(corpus: DataFrame, max_bytes: int) -> DataFrame:
+def corpus_records(
+    corpus: DataFrame, max_bytes: int, windows: ChunkOptions | None = None
+) -> DataFrame:
     """Corpus of each source as texts of at most ``max_bytes``, numbered by ``part``.
 
     Sizes are summed first, so that only bounded groups are collected. A corpus within the cap is
     one text, part 0. A larger one is cut, in its order, where half the cap is reached: nothing
     is lost. Only a single command of over half the cap can make a part larger than the cap.
+
+    With ``windows`` a part starts where a window of the whole corpus starts, and the commands
+    that its last window needs follow it. The windows of all parts together are then those of the
+    whole corpus, each once. A part grows by these commands and by those up to the next start.
     """
     corpus = stage(corpus, "command-corpus")
     length = F.octet_length("command").cast("bigint")
-    sizes = corpus.groupBy("source_ord").agg(
-        (F.sum(F.octet_length("command").cast("bigint")) + F.count(F.lit(1)) - 1).alias("size")
-    )
+    sizes = corpus.groupBy("source_ord").agg((F.sum(length) + F.count(F.lit(1)) - 1).alias("size"))
     sizes = stage(sizes, "corpus-sizes")
-    small = sized_join(
-        corpus, sizes.filter(F.col("size") <= F.lit(max_bytes)).select("source_ord"), ["source_ord"]
-    ).withColumn("part", F.lit(0).cast("bigint"))
-    large = sized_join(
-        corpus, sizes.filter(F.col("size") > F.lit(max_bytes)).select("source_ord"), ["source_ord"]
-    ).withColumn("_bytes", length + 1)
-    cut = F.floor(F.col("before") / F.lit(max(1, max_bytes // 2))).cast("bigint")
-    parts = with_totals_before(large, ("source_ord",), ORDER, "_bytes").withColumn("part", cut)
-    ordered = F.sort_array(F.collect_list(F.struct(*ORDER, "command")))
-    return (
-        small.unionByName(parts.select(*small.columns))
-        .groupBy("source_ord", "part")
-        .agg((F.sum(length) + F.count(F.lit(1)) - 1).alias("size"), ordered.alias("_held"))
+    within, beyond = F.col("size") <= F.lit(max_bytes), F.col("size") > F.lit(max_bytes)
+    zero = F.lit(0).cast("bigint")
+    cut = sized_join(corpus, sizes.filter(within).select("source_ord"), ["source_ord"]).select(
+        "source_ord", zero.alias("part"), zero.alias("position"), *ORDER, "command")
+    oversize = sizes.filter(beyond).select("source_ord")
+    if not oversize.isEmpty():
+        large = sized_join(corpus, oversize, ["source_ord"]).withColumn("_bytes", length + 1)
+        cut = cut.unionByName(
+            _parts(large, max(1, max_bytes // 2), windows).select(*cut.columns))
+    held = F.sort_array(F.collect_list(F.struct(*ORDER, "command")))
+    texts = (
+        cut.groupBy("source_ord", "part")
+        .agg((F.sum(length) + F.count(F.lit(1)) - 1).alias("size"),
+             F.min("position").alias("first_line"), held.alias("_held"))
         .select(
-            "source_ord", "part", "size", F.array_join(F.col("_held.command"), "\n").alias("text")
+            "source_ord", "part", "size", F.array_join(F.col("_held.command"), "\n").alias("text"),
+            "first_line",
         )
     )
+    return texts if windows else texts.drop("first_line")
+
+
+def _parts(large: DataFrame, part_bytes: int, windows: ChunkOptions | None) -> DataFrame:
+    """Part of each command; with ``windows`` a row for each part that a command is in."""
+    cut = F.floor(F.col("before") / F.lit(part_bytes)).cast("bigint").alias("part")
+    group = ["source_ord"]
+    if windows is None:
+        placed = with_totals_before(large, group, ORDER, "_bytes")
+        return placed.select("*", F.lit(0).cast("bigint").alias("position"), cut)
+    placed = with_totals_before(with_positions(large, group, ORDER), group, ORDER, "_bytes")
+    lowest, highest = windows_of_line(F.col("position"), F.col("group_size"), windows)
+    placed = stage(placed.withColumns({"_lowest": lowest, "_highest": highest}), "placed-commands")
+    parts = placed.groupBy(*group, F.col("_highest").alias("_window")).agg(
+        F.min("before").alias("before")).select(*group, "_window", cut)
+    held = placed.withColumn("_window", F.explode(F.sequence("_lowest", "_highest")))
+    return sized_join(held, parts, [*group, "_window"]).dropDuplicates([*group, "part", "position"])
 
 
 def command_source_records(

@@ -153,7 +153,10 @@ def scan_sources(
         names = spark.createDataFrame(
             [(s.source_ord, s.commands.name) for s in mined], "source_ord int, name string"
         )
-        texts = commands.corpus_records(corpus, config.ingestion.max_bytes)
+        # Windows of lines go on over the border of two parts, unless lines are wrapped first.
+        by_lines = config.chunk.unit == "lines" and not config.preprocess.soft_wrap
+        texts = commands.corpus_records(
+            corpus, config.ingestion.max_bytes, config.chunk if by_lines else None)
         raw = union_sources(
             raw, commands.command_source_records(texts, names, config.ingestion, len(mined))
         )

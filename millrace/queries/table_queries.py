@@ -281,6 +281,23 @@ def oversize_command_corpus(spark, sf_dir):
     return commands.corpus_records(_corpus(spark, sf_dir), 2000)
 
 
+PART_WINDOWS = ChunkOptions(target_chunk_size=12, overlap=5)
+
+
+@query("command_windows_over_parts", f"""WITH {CORPUS_SQL},
+  held AS (SELECT source_ord, list(command ORDER BY path, line_no) AS w FROM corpus GROUP BY source_ord),
+  starts AS (SELECT source_ord, w, unnest(generate_series(0, greatest(0, len(w) - 6), 7)) AS s FROM held)
+  SELECT source_ord, s + 1 AS start_line, least(len(w), s + 12) AS end_line,
+    array_to_string(w[s + 1:s + 12], chr(10)) AS content FROM starts""")
+def command_windows_over_parts(spark, sf_dir):
+    """Windows of corpora cut at 2,000 bytes are those of the uncut corpora."""
+    texts = commands.corpus_records(_corpus(spark, sf_dir), 2000, PART_WINDOWS)
+    windows = chunking.chunk_lines(texts.withColumnRenamed("text", "content"), PART_WINDOWS)
+    return windows.select(
+        "source_ord", (F.col("start_line") + F.col("first_line")).alias("start_line"),
+        (F.col("end_line") + F.col("first_line")).alias("end_line"), "content")
+
+
 @query("command_cap_per_source", f"""WITH {CORPUS_SQL} SELECT source_ord, path, line_no, command
   FROM corpus QUALIFY source_ord = 2 OR row_number() OVER (PARTITION BY source_ord
   ORDER BY path, line_no) <= CASE source_ord WHEN 0 THEN 50 ELSE 120 END""")

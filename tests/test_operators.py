@@ -85,6 +85,26 @@ def test_first_n(hot, n, pruned, monkeypatch):
     assert sorted(map(tuple, got)) == want
 
 
+@pytest.mark.parametrize("size, overlap", [(4, 1), (3, 0), (7, 6), (50, 7), (2000, 3)])
+@pytest.mark.parametrize("cap", [2, 60, 10_000])
+def test_windows_of_a_cut_corpus(spark, size, overlap, cap):
+    options = ChunkOptions(target_chunk_size=size, overlap=overlap)
+    rng = random.Random(size)
+    corpora = {0: [f"c{i}" + "x" * rng.randint(0, 9) for i in range(101)], 1: ["one"], 2: ["w" * 200, "v"]}
+    rows = [(o, "p", i, command) for o, held in corpora.items() for i, command in enumerate(held)]
+    rng.shuffle(rows)
+    corpus = spark.createDataFrame(rows, "source_ord int, path string, line_no bigint, command string")
+    texts = commands.corpus_records(corpus, cap, options).withColumnRenamed("text", "content")
+    got = sorted(
+        (r.source_ord, r.start_line + r.first_line, r.end_line + r.first_line, r.content)
+        for r in chunking.chunk_lines(texts, options).collect())
+    want = [
+        (o, s + 1, min(len(held), s + size), "\n".join(held[s : s + size]))
+        for o, held in corpora.items() for s in range(0, max(0, len(held) - overlap - 1) + 1, size - overlap)
+    ]
+    assert got == sorted(want)
+
+
 @pytest.mark.parametrize("drawn_through", [split._DRAWN_THROUGH, 0])
 def test_sequence_split_draws_like_the_generator(spark, drawn_through, monkeypatch):
     monkeypatch.setattr(split, "_DRAWN_THROUGH", drawn_through)
