@@ -68,6 +68,7 @@ class DatasetOptions:
     ``split_method`` is ``hash`` (a function of seed and chunk, the same under any
     partitioning) or ``sequence`` (the seeded Mersenne Twister draw per emitted chunk).
     ``output_format`` is ``jsonl`` or ``parquet``; a file holds at most ``max_records_per_shard`` records.
+    ``write_rejections`` lists the rejected files with their reasons and counts them in the statistics.
     """
 
     train_ratio: float = 0.9
@@ -76,6 +77,7 @@ class DatasetOptions:
     split_method: str = "hash"
     output_format: str = "jsonl"
     max_records_per_shard: int | None = None
+    write_rejections: bool = False
 
 
 @dataclass(frozen=True)

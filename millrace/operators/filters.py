@@ -40,10 +40,10 @@ def ingestible(files: DataFrame, options: IngestionOptions) -> DataFrame:
 
 
 def with_source_attributes(
-    records: DataFrame, sources: DataFrame, rows: int | None = None
+    records: DataFrame, sources: DataFrame, rows: int | None = None, *, how: str = "inner"
 ) -> DataFrame:
     """Add the attributes of its source to each record."""
-    return sized_join(records, sources, ["source_ord"], rows=rows)
+    return sized_join(records, sources, ["source_ord"], how, rows=rows)
 
 
 def in_focus(languages: Column, language: Column) -> Column:

@@ -71,14 +71,17 @@ def _sorted_map(counts: DataFrame, key: str, value: str, name: str) -> DataFrame
 
 
 def stats_document(
-    counters: DataFrame, languages: DataFrame, sources: DataFrame
+    counters: DataFrame, languages: DataFrame, sources: DataFrame, reasons: DataFrame | None = None
 ) -> DataFrame:
-    """Counters and both maps, sorted by key, as one row."""
-    return _one_row(
+    """Counters and both maps, sorted by key, as one row. ``reasons`` adds the rejected files per reason."""
+    parts = [
         counters,
         _sorted_map(languages, "language", "chunks", "language_distribution"),
         _sorted_map(sources, "source_name", "files", "source_file_counts"),
-    )
+    ]
+    if reasons is not None:
+        parts.append(_sorted_map(reasons, "reason", "files", "files_rejected"))
+    return _one_row(*parts)
 
 
 def summary_text(sources: Column) -> Column:

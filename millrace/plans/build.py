@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.config import JobConfig
-from millrace.operators import chunking, commands, extensions, filters, metadata, stats
+from millrace.operators import chunking, commands, extensions, filters, ledger, metadata, stats
 from millrace.operators.dedup import (
     distinct_first, find_repeats, keep_first, semi_join_survivors,
 )
@@ -29,11 +29,12 @@ CHUNK_ORDER = (*FILE_ORDER, "start_line")
 class Built:
     """Tables of a build. ``outcome`` has the rows of all files: one per chunk, or one
     without chunk columns for a file that gives no chunk. ``unique`` is the part of it from
-    files that are not duplicates."""
+    files that are not duplicates. ``rejections`` is there when the records carry a ledger."""
 
     outcome: DataFrame
     unique: DataFrame
     emitted: DataFrame
+    rejections: DataFrame | None = None
 
     def scanned(self) -> DataFrame:
         return stats.file_rows(self.outcome)
@@ -46,6 +47,7 @@ class Built:
             self.counters(),
             stats.language_distribution(self.emitted),
             stats.source_file_counts(self.scanned()),
+            None if self.rejections is None else ledger.reason_counts(self.rejections),
         )
 
 
@@ -61,9 +63,15 @@ def chunk_outcome(records: DataFrame, config: JobConfig) -> DataFrame:
             "content", extensions.soft_wrap("content", options.max_line_length))
     else:
         text = chunking.preprocess_record(records, options)
+    if ledger.REJECTED in records.columns:
+        live = F.col(ledger.REJECTED).isNull()
+        text = text.withColumn("gate", F.when(live, ledger.gate_reason(content, config.quality)))
+        passed = live & F.col("gate").isNull()
+    else:
+        passed = filters.passes_gates(content, config.quality)
     gated = (
         text
-        .withColumn("passed", filters.passes_gates(content, config.quality))
+        .withColumn("passed", passed)
         .withColumn("content", F.when(F.col("passed"), content).otherwise(""))
     )
     if config.chunk.unit == "lines":
@@ -91,7 +99,8 @@ def build_chunks(records: DataFrame, config: JobConfig, *, limit: int | None = N
     ``limit`` is the broadcast bound of the deduplications.
     """
     quality = config.quality
-    outcome = stage(chunk_outcome(records, config), "chunks", partition_by=["split"])
+    written = stage(chunk_outcome(records, config), "chunks", partition_by=["split"])
+    outcome = ledger.kept(written)
     is_chunk = F.col("start_line").isNotNull()
     unique, emitted = outcome, outcome.filter(is_chunk)
     _require_identified(stats.file_rows(outcome))
@@ -114,7 +123,8 @@ def build_chunks(records: DataFrame, config: JobConfig, *, limit: int | None = N
         emitted = keep_first(emitted, ["chunk_hash"], CHUNK_ORDER, limit=limit)
     if config.dataset.split_method == "sequence":
         emitted = _with_sequence_split(emitted, config)
-    return Built(outcome, unique, emitted)
+    rejected = ledger.rejections(written, unique) if ledger.REJECTED in written.columns else None
+    return Built(outcome, unique, emitted, rejected)
 
 
 def _require_identified(files: DataFrame) -> None:
@@ -139,7 +149,9 @@ def scan_sources(
     outputs = [config.output_dir, config.workspace_dir]
     code = [s for s in sources if s.commands is None]
     mined = [s for s in sources if s.commands is not None and os.path.isdir(s.path)]
-    raw = scan.scan_source_tree(spark, code, config.ingestion, exclude_paths=outputs)
+    accounted = config.dataset.write_rejections
+    raw = scan.scan_source_tree(
+        spark, code, config.ingestion, exclude_paths=outputs, with_rejected=accounted)
     if mined:
         by_ord = {s.source_ord: s.commands for s in mined}
         lines = scan.scan_command_files(spark, mined, exclude_paths=outputs)
@@ -157,13 +169,13 @@ def scan_sources(
         by_lines = config.chunk.unit == "lines" and not config.preprocess.soft_wrap
         texts = commands.corpus_records(
             corpus, config.ingestion.max_bytes, config.chunk if by_lines else None)
-        raw = union_sources(
-            raw, commands.command_source_records(texts, names, config.ingestion, len(mined))
-        )
+        mined_records = commands.command_source_records(texts, names, config.ingestion, len(mined))
+        if accounted:
+            mined_records = mined_records.withColumn(ledger.REJECTED, F.lit(None).cast("string"))
+        raw = union_sources(raw, mined_records)
     alive_sources = code + mined
-    records = filters.filter_source_language(
-        to_records(raw), sources_frame(spark, alive_sources), len(alive_sources)
-    )
+    focused = ledger.reject_source_language if accounted else filters.filter_source_language
+    records = focused(to_records(raw), sources_frame(spark, alive_sources), len(alive_sources))
     return records, alive_sources
 
 
@@ -172,7 +184,12 @@ def write_dataset(records: DataFrame, config: JobConfig) -> dict:
     configuration; returns the statistics. Call it inside a run folder."""
     if config.quality.near_similarity is not None:
         near = NearOptions(similarity=config.quality.near_similarity)
-        records = near_dedup(stage(records, "records"), FILE_ORDER, near)
+        records = stage(records, "records")
+        firsts = near_dedup(ledger.kept(records), FILE_ORDER, near)
+        if config.dataset.write_rejections:
+            records = ledger.reject_others(records, firsts, FILE_ORDER, "near_duplicate")
+        else:
+            records = firsts
     built = build_chunks(records, config)
     target, shard = config.output_uri, config.dataset.max_records_per_shard
     if config.dataset.output_format == "parquet":
@@ -180,6 +197,8 @@ def write_dataset(records: DataFrame, config: JobConfig) -> dict:
     else:
         writers.write_jsonl(
             built.emitted, target, compress=config.dataset.compress, shard_records=shard)
+    if built.rejections is not None:
+        writers.write_rejections(built.rejections, target)
     statistics = writers.write_stats(built.document(), target)
     writers.write_text(records.sparkSession, f"{target}/{writers.CONFIG_FILE}", config.to_json())
     return statistics
@@ -214,9 +233,14 @@ def build_from_records(
     """
     config.validate()
     with run_folder(raw.sparkSession):
-        records = to_records(filters.ingestible(raw, config.ingestion))
+        focused = filters.filter_source_language
+        if config.dataset.write_rejections:
+            records = to_records(raw.withColumn(ledger.REJECTED, ledger.listing_reason(config.ingestion)))
+            focused = ledger.reject_source_language
+        else:
+            records = to_records(filters.ingestible(raw, config.ingestion))
         if sources is not None:
-            records = filters.filter_source_language(records, sources)
+            records = focused(records, sources)
         return write_dataset(records, config)
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import dataclasses
 import os
 
 import pandas as pd
 from pyspark.sql import functions as F
 
-from millrace.config import ChunkOptions, CommandSource, IngestionOptions
+from millrace.config import ChunkOptions, CommandSource, DatasetOptions, IngestionOptions, QualityOptions
 from millrace.functions import fixed
-from millrace.operators import extensions
+from millrace.operators import extensions, ledger
 from millrace.operators.near_dedup import (
     NearOptions, class_sets, near_groups, similar_pairs, split_words, word_class,
 )
@@ -18,9 +19,10 @@ from millrace.queries.build_queries import BUILD_SQL, CONFIG, COUNTERS_SQL, _bui
 from millrace.queries.inputs import FILES_SQL, SOURCES_SQL, TRANSCRIPTS_SQL
 from millrace.queries.registry import query
 from millrace.queries.table_queries import RECORDS_SQL, file_records
-from millrace.queries.text_queries import EXT_SQL, PROMPT_SQL, STRIP_SQL, WORDS_SQL
+from millrace.plans.build import build_chunks
+from millrace.queries.text_queries import EXT_SQL, LANGUAGE_SQL, PROMPT_SQL, STRIP_SQL, WORDS_SQL, normalise_sql
 from millrace.sinks import writers
-from millrace.sources import scan
+from millrace.sources import scan, tables
 from millrace.sources.resolve import ResolvedSource
 from millrace.staging import new_path, stage
 
@@ -260,3 +262,68 @@ def near_duplicate_groups(spark, sf_dir):
     groups = near_groups(_documents(spark, sf_dir), DOC_ORDER)
     firsts = groups.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     return groups.join(firsts.hint("merge"), "group").select("doc_id", "component_id")
+
+
+# --- accounts of rejected files --------------------------------------------------------------------
+ACCOUNTED = dataclasses.replace(
+    CONFIG,
+    ingestion=IngestionOptions(max_file_size_mb=1024 / (1 << 20), exclude_globs=("*/f1?.*",)),
+    quality=QualityOptions(min_characters=128, min_lines=2, forbidden_patterns=("[ ]be[ ]",)),
+    dataset=DatasetOptions(write_rejections=True),
+)
+LEDGER_SQL = rf"""{FILES_SQL}, {SOURCES_SQL},
+planted AS (SELECT * REPLACE (CASE WHEN doc_id % 13 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN text || chr(1)
+    WHEN doc_id % 17 = 0 THEN 'one' || chr(10) || 'copy' ELSE text END AS text) FROM files),
+listed AS (SELECT *, {EXT_SQL} AS ext, lower(relative_path) AS low FROM planted),
+early AS (SELECT l.* EXCLUDE (size), strlen(text) AS size, sha1(text) AS file_hash, {LANGUAGE_SQL} AS language, CASE
+    WHEN relative_path LIKE '%/vendor/%' OR relative_path LIKE '%/build/%' THEN 'directory'
+    WHEN NOT (ext = '' OR ext IN ({_EXTENSIONS_SQL})) THEN 'extension'
+    WHEN low GLOB '*/f1?.*' THEN 'excluded' WHEN strlen(text) > 1024 THEN 'size'
+    WHEN text IS NULL THEN 'unreadable'
+    WHEN regexp_matches(text, '[\x00-\x06\x0B\x0E-\x1A\x1C-\x1F]') THEN 'binary'
+    WHEN len(s.languages) > 0 AND NOT list_contains(s.languages, {LANGUAGE_SQL}) THEN 'language' END AS reason
+  FROM listed l JOIN sources s USING (source_ord)),
+firsts AS (SELECT * FROM early WHERE reason IS NULL QUALIFY row_number() OVER (
+  PARTITION BY file_hash ORDER BY source_ord, relative_path) = 1),
+gated AS (SELECT *, {normalise_sql('text', 400)} AS content FROM firsts),
+late AS (SELECT *, CASE WHEN length(content) < 128 OR len(string_split(content, chr(10))) < 2 THEN 'gates'
+  WHEN regexp_matches(content, '[ ]be[ ]') THEN 'forbidden' END AS why FROM gated),
+ledger AS (SELECT source_ord, source_name, relative_path, CAST(size AS BIGINT) AS size, reason FROM early
+  WHERE reason IS NOT NULL UNION ALL SELECT source_ord, source_name, relative_path, CAST(size AS BIGINT), why
+  FROM late WHERE why IS NOT NULL)"""
+
+
+def _accounted(spark, sf_dir):
+    """A build with a ledger; some documents have no text, are binary or are copies."""
+    files, key = inputs.files(spark, sf_dir), F.col("doc_id")
+    text = (
+        F.when(key % 13 == 0, F.lit(None).cast("string")).when(key % 11 == 0, F.concat("text", F.lit("\x01")))
+        .when(key % 17 == 0, "one\ncopy").otherwise(F.col("text"))
+    )
+    raw = tables.raw_records(
+        files, source_ord=F.col("source_ord"), source_name=F.col("source_name"),
+        relative_path=F.col("relative_path"), text=text,
+    ).withColumn(ledger.REJECTED, ledger.listing_reason(ACCOUNTED.ingestion))
+    records = ledger.reject_source_language(tables.to_records(raw), inputs.sources(spark, sf_dir))
+    return build_chunks(records, ACCOUNTED)
+
+
+@query("rejection_ledger", f"WITH {LEDGER_SQL} SELECT * FROM ledger")
+def rejection_ledger(spark, sf_dir):
+    return _accounted(spark, sf_dir).rejections
+
+
+@query("rejection_counts", f"""WITH {LEDGER_SQL}
+  SELECT reason, count(*) AS files FROM ledger GROUP BY reason
+  UNION ALL SELECT 'listed', count(*) FROM planted
+  UNION ALL SELECT 'emitted', count(*) FROM late WHERE why IS NULL
+  UNION ALL SELECT 'deduplicated', (SELECT count(*) FROM early WHERE reason IS NULL) - (SELECT count(*) FROM firsts)""")
+def rejection_counts(spark, sf_dir):
+    """Files per reason beside the files emitted and deduplicated; ``listed`` is the sum of all of them."""
+    built = _accounted(spark, sf_dir)
+    counted = built.counters().select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("reason"), F.col(f"files_{name}").alias("files"))
+        for name in ("emitted", "deduplicated")
+    ])))
+    parts = stage(ledger.reason_counts(built.rejections).unionByName(counted), "reason-counts")
+    return parts.unionByName(parts.agg(F.lit("listed").alias("reason"), F.sum("files").alias("files")))

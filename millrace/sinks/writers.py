@@ -11,6 +11,7 @@ from millrace.operators.split import EVAL, TRAIN
 STATS_FILE = "dataset_stats.json"
 METADATA_FILE = "repository_metadata.json"
 CONFIG_FILE = "pipeline_config.json"
+REJECTIONS_FILE = "rejected_files.json"
 
 
 def dataset_item(chunks: DataFrame, *others: str) -> DataFrame:
@@ -73,6 +74,13 @@ def write_metadata(metadata: DataFrame, output_dir: str) -> str:
     return path
 
 
+def write_rejections(rejected: DataFrame, output_dir: str) -> str:
+    """One JSON object per rejected file, written by the executors."""
+    path = f"{output_dir}/{REJECTIONS_FILE}"
+    rejected.write.mode("overwrite").json(path)
+    return path
+
+
 def write_text(spark: SparkSession, path: str, content: str) -> str:
     """Write one small driver-side document as a file, on the file system the path belongs to."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.config import IngestionOptions
 from millrace.functions import fixed
-from millrace.operators import commands, filters
+from millrace.operators import commands, filters, ledger
 from millrace.sources import lines, tree
 from millrace.sources.resolve import ResolvedSource
 
@@ -26,14 +26,16 @@ def scan_source_tree(
     options: IngestionOptions,
     *,
     exclude_paths: Sequence[str] = (),
+    with_rejected: bool = False,
 ) -> DataFrame:
     """Raw records of all files that the ingestion rules keep.
 
     Excluded directories are not walked; suffix and size decide on the listing, before
-    a file is opened.
+    a file is opened. ``with_rejected`` adds the other listed files without bytes, with the reason
+    in a column ``rejected``; files that could not be read are null in both.
     """
     if not sources:
-        return spark.createDataFrame([], _RAW)
+        return spark.createDataFrame([], f"{_RAW}, rejected string" if with_rejected else _RAW)
     listing = tree.list_tree(
         spark,
         [(s.source_ord, s.path) for s in sources],
@@ -41,10 +43,17 @@ def scan_source_tree(
         exclude_paths=exclude_paths,
         follow_symlinks=options.follow_symlinks,
     )
-    files = filters.ingestible(listing.filter(~F.col("is_dir")), options)
-    raw = tree.read_files(files).filter(F.col("raw").isNotNull())
+    listed, extra = listing.filter(~F.col("is_dir")), []
+    if with_rejected:
+        extra = [ledger.REJECTED]
+        marked = listed.withColumn(ledger.REJECTED, ledger.listing_reason(options))
+        raw = tree.read_files(ledger.kept(marked)).unionByName(
+            marked.filter(F.col(ledger.REJECTED).isNotNull()).select(
+                "source_ord", "relative_path", "size", *extra), allowMissingColumns=True)
+    else:
+        raw = tree.read_files(filters.ingestible(listed, options)).filter(F.col("raw").isNotNull())
     named = filters.with_source_attributes(raw, _names(spark, sources), len(sources))
-    return named.select("source_ord", "source_name", "relative_path", "size", "raw")
+    return named.select("source_ord", "source_name", "relative_path", "size", "raw", *extra)
 
 
 def scan_command_files(

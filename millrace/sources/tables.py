@@ -31,8 +31,11 @@ def raw_records(
 def to_records(raw: DataFrame) -> DataFrame:
     """File records from raw ones: binary files go, text is decoded, hashed and tagged.
 
-    The hash is that of the bytes as they were read.
+    The hash is that of the bytes as they were read. Raw records with a ledger (a column
+    ``rejected``) all stay; those that are rejected, binary or without bytes get a reason and no text.
     """
+    if "rejected" in raw.columns:
+        return _ledger_records(raw)
     return raw.filter(~text.is_binary("raw")).select(
         "source_ord",
         "source_name",
@@ -44,6 +47,24 @@ def to_records(raw: DataFrame) -> DataFrame:
     )
 
 
+def _ledger_records(raw: DataFrame) -> DataFrame:
+    reason = (
+        F.when(F.col("rejected").isNotNull(), F.col("rejected"))
+        .when(F.col("raw").isNull(), "unreadable").when(text.is_binary("raw"), "binary")
+    )
+    kept = F.col("rejected").isNull()
+    return raw.withColumn("rejected", reason).select(
+        "source_ord",
+        "source_name",
+        "relative_path",
+        F.when(kept, text.decode_text("raw")).alias("content"),
+        paths.detect_language("relative_path").alias("language"),
+        F.when(kept, text.fingerprint("raw")).alias("file_hash"),
+        "size",
+        "rejected",
+    )
+
+
 def scan_record_table(
     spark: SparkSession, path: str, *, format: str = "parquet", **columns: Column
 ) -> DataFrame:

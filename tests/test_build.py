@@ -264,6 +264,63 @@ def test_only_the_first_of_near_copies_is_built(spark, tmp_path):
     assert [i[0] for i in _items(spark, job)] == ["a.md", "c.md"] and stats["files_scanned"] == 2
 
 
+def _ledger(job):
+    parts = (Path(job.output_dir) / "rejected_files.json").glob("part-*")
+    rows = [json.loads(line) for p in parts for line in p.read_text().splitlines()]
+    return {r["relative_path"]: r["reason"] for r in rows}
+
+
+def test_every_rejected_file_has_a_reason(spark, tmp_path):
+    root, long = tmp_path / "root", "many words " * 200_000
+    files = {"a.py": "kept\nhere", "b.py": "kept\nhere", "c.bin": "x", "d.md": "x" * 9, "e.py": long, "f.py": "a\0b",
+             "g.py": "secret=1\nx", "h.py": "s", "lib/i.py": "p\nq", "empty.py": "", "node_modules/z.js": "not walked"}
+    for name, body in files.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text(body)
+    (root / "broken.py").symlink_to("/proc/self/mem")  # a regular file that fails when it is read
+    job = JobConfig(
+        root=str(root), output_dir=str(tmp_path / "out"), dataset=DatasetOptions(write_rejections=True),
+        ingestion=IngestionOptions(max_file_size_mb=1, exclude_extensions=(".md",), exclude_globs=("lib/*",)),
+        quality=QualityOptions(min_lines=2, forbidden_patterns=("secret=",)))
+    stats = build_dataset(spark, job)
+    assert _ledger(job) == {
+        "c.bin": "extension", "d.md": "excluded", "e.py": "size", "f.py": "binary", "g.py": "forbidden",
+        "h.py": "gates", "empty.py": "gates", "lib/i.py": "excluded", "broken.py": "unreadable"}
+    assert stats["files_rejected"] == Counter(_ledger(job).values())
+    assert (stats["files_scanned"], stats["files_emitted"], stats["files_deduplicated"]) == (5, 1, 1)
+    plain = dataclasses.replace(job, dataset=DatasetOptions(), output_dir=str(tmp_path / "plain"))
+    assert build_dataset(spark, plain) == {k: v for k, v in stats.items() if k != "files_rejected"}
+    assert _items(spark, plain) == _items(spark, job) and _ledger(plain) == {}
+
+
+@pytest.mark.parametrize("variant", ["default", "sequence", "raw text"])
+def test_a_ledger_changes_no_result(spark, config, variant):
+    plain = dataclasses.replace(config, **VARIANTS[variant])
+    options = dataclasses.replace(plain.dataset, write_rejections=True)
+    job = dataclasses.replace(plain, dataset=options)
+    stats = build_dataset(spark, job)
+    items, counts, _, _ = expected(plain)
+    rows = [read_split(job.output_dir, s, False) for s in ("train", "eval")]
+    assert canonical(rows[0] + rows[1]) == canonical(items)
+    assert {k: stats[k] for k in counts} == counts
+    by_rule = Counter(stats["files_rejected"])
+    assert by_rule["gates"] == stats["files_filtered"] and by_rule.total() >= stats["files_filtered"]
+
+
+def test_near_copies_and_texts_without_bytes_are_accounted_for(spark, tmp_path):
+    words = [f"w{k}" for k in range(100)]
+    texts = {"a.md": " ".join(words), "b.md": " ".join([*words[:99], "other"]), "c.md": None, "d.md": "a\0b", "e.md": ""}
+    stats, job = _built(spark, tmp_path, texts, quality=QualityOptions(near_similarity=0.8),
+                        dataset=DatasetOptions(write_rejections=True))
+    assert _ledger(job) == {"b.md": "near_duplicate", "c.md": "unreadable", "d.md": "binary"}
+    assert stats["files_scanned"] == 2
+
+
+def test_a_ledger_of_no_files_is_empty(spark, tmp_path):
+    stats, job = _built(spark, tmp_path, {}, dataset=DatasetOptions(write_rejections=True))
+    assert stats["files_rejected"] == {} and _ledger(job) == {}
+
+
 @pytest.mark.parametrize("sections", [
     {"chunk": ChunkOptions(unit="pages")}, {"chunk": ChunkOptions(max_chunks_per_file=0)},
     {"dataset": DatasetOptions(output_format="csv")}, {"dataset": DatasetOptions(max_records_per_shard=0)},
