@@ -69,6 +69,7 @@ class DatasetOptions:
     partitioning) or ``sequence`` (the seeded Mersenne Twister draw per emitted chunk).
     ``output_format`` is ``jsonl`` or ``parquet``; a file holds at most ``max_records_per_shard`` records.
     ``write_rejections`` lists the rejected files with their reasons and counts them in the statistics.
+    ``shard_manifest`` lists the shards of the output after they are written (``sinks.manifest``).
     """
 
     train_ratio: float = 0.9
@@ -78,6 +79,7 @@ class DatasetOptions:
     output_format: str = "jsonl"
     max_records_per_shard: int | None = None
     write_rejections: bool = False
+    shard_manifest: bool = False
 
 
 @dataclass(frozen=True)

@@ -15,7 +15,7 @@ from millrace.operators.dedup import (
 )
 from millrace.operators.near_dedup import NearOptions, near_dedup
 from millrace.operators.split import hash_split, sequence_split
-from millrace.sinks import writers
+from millrace.sinks import manifest, writers
 from millrace.sources import scan
 from millrace.sources.resolve import ResolvedSource, resolve_sources, sources_frame
 from millrace.sources.tables import to_records, union_sources
@@ -191,6 +191,7 @@ def write_dataset(records: DataFrame, config: JobConfig) -> dict:
         else:
             records = firsts
     built = build_chunks(records, config)
+    manifest.remove_manifest(records.sparkSession, config.output_uri)
     target, shard = config.output_uri, config.dataset.max_records_per_shard
     if config.dataset.output_format == "parquet":
         writers.write_parquet(built.emitted, target, shard_records=shard)
@@ -201,6 +202,8 @@ def write_dataset(records: DataFrame, config: JobConfig) -> dict:
         writers.write_rejections(built.rejections, target)
     statistics = writers.write_stats(built.document(), target)
     writers.write_text(records.sparkSession, f"{target}/{writers.CONFIG_FILE}", config.to_json())
+    if config.dataset.shard_manifest:
+        manifest.write_manifest(records.sparkSession, target, config.dataset)
     return statistics
 
 

@@ -126,10 +126,6 @@ def stats_summary(spark, sf_dir):
 # --- outputs -------------------------------------------------------------------------------
 WRITTEN_SQL = f"""WITH {BUILD_SQL} SELECT split, content, language, relative_path AS source_path,
   start_line, end_line, file_hash AS hash FROM emitted"""
-_ITEM = (
-    "content string, language string, metadata struct<source_path:string, "
-    "start_line:bigint, end_line:bigint, hash:string>"
-)
 
 
 def _written(spark, sf_dir, compress):
@@ -137,7 +133,7 @@ def _written(spark, sf_dir, compress):
     output = new_path(spark, "dataset")
     targets = writers.write_jsonl(_built(spark, sf_dir).emitted, output, compress=compress)
     read = [
-        spark.read.schema(_ITEM).json(path).select(
+        spark.read.schema(writers.ITEM).json(path).select(
             F.lit(name).alias("split"), "content", "language", "metadata.*"
         )
         for name, path in targets.items()

@@ -21,7 +21,7 @@ from millrace.queries.registry import query
 from millrace.queries.table_queries import RECORDS_SQL, file_records
 from millrace.plans.build import build_chunks
 from millrace.queries.text_queries import EXT_SQL, LANGUAGE_SQL, PROMPT_SQL, STRIP_SQL, WORDS_SQL, normalise_sql
-from millrace.sinks import writers
+from millrace.sinks import manifest, writers
 from millrace.sources import scan, tables
 from millrace.sources.resolve import ResolvedSource
 from millrace.staging import new_path, stage
@@ -149,6 +149,47 @@ def shard_index(spark, sf_dir):
         F.max("last_line").alias("last_line"), (F.max("records") <= 100).alias("within"))
 
 
+SHARDS = {"jsonl": DatasetOptions(), "parquet": DatasetOptions(output_format="parquet")}
+
+
+def _with_strays(spark, sf_dir, form):
+    """A dataset with its list of shards, to which another job then adds its train items again."""
+    emitted, path, options = _built(spark, sf_dir).emitted, new_path(spark, "listed"), SHARDS[form]
+    strays = writers.dataset_item(emitted.filter("split = 'train'"))
+    if form == "parquet":
+        folder = f"{writers.write_parquet(emitted, path, shard_records=100)}/split=train"
+    else:
+        folder = writers.write_jsonl(emitted, path, shard_records=100)["train"]
+    manifest.write_manifest(spark, path, options)
+    getattr(strays.write.mode("append"), "parquet" if form == "parquet" else "json")(folder)
+    return path, options
+
+
+_LISTED_SQL = f"""WITH {BUILD_SQL} SELECT split, content, language, relative_path AS source_path,
+  start_line, end_line, file_hash AS hash FROM emitted"""
+
+
+@query("read_listed_shards", _LISTED_SQL)
+def read_listed_shards(spark, sf_dir):
+    """The stray files beside the shards give no rows."""
+    path, options = _with_strays(spark, sf_dir, "jsonl")
+    return manifest.read_dataset(spark, path, options).select("split", "content", "language", "metadata.*")
+
+
+@query("shard_manifest", f"""WITH {BUILD_SQL} SELECT 'listed' AS part, split, count(*) AS records, TRUE AS within
+  FROM emitted GROUP BY split UNION ALL SELECT 'stray', split, count(*), TRUE FROM emitted
+  WHERE split = 'train' GROUP BY split""")
+def shard_manifest(spark, sf_dir):
+    """Records by split in the listed shards and in those that do not belong; names differ from run to run."""
+    path, options = _with_strays(spark, sf_dir, "parquet")
+    listed = manifest.read_manifest(spark, path).select(F.lit("listed").alias("part"), "split", "records")
+    strays = manifest.shard_differences(spark, path, options).select(
+        F.col("difference").alias("part"), "split", "records")
+    within = (F.max("records") <= 100) | (F.col("part") != "listed")
+    return listed.unionByName(strays).groupBy("part", "split").agg(
+        F.sum("records").alias("records"), within.alias("within"))
+
+
 # --- source trees: the tables written as files, then scanned ---------------------------------------
 def _write_tree(files, folder):
     """Write rows (``place``, ``raw``) as files below a mounted folder, on the executors."""

@@ -21,6 +21,7 @@ from millrace import (
 )
 from millrace.functions import fixed
 from millrace.plans.build import build_chunks
+from millrace.sinks import manifest
 from millrace.sources.tables import to_records
 
 WORDS = ["alpha", "beta\t", "gamma", "é", "  ", "\n", "\n\n\n\n", "\r\n", "x" * 70, "# note", "ls -la"]
@@ -264,6 +265,40 @@ def test_only_the_first_of_near_copies_is_built(spark, tmp_path):
     assert [i[0] for i in _items(spark, job)] == ["a.md", "c.md"] and stats["files_scanned"] == 2
 
 
+@pytest.mark.parametrize("options", [
+    {}, {"compress": True}, {"output_format": "parquet"}], ids=["jsonl", "gzip", "parquet"])
+def test_readers_trust_listed_shards_only(spark, tmp_path, options):
+    texts = {f"f{k:03d}.md": f"text {k}\u2028\r\né" for k in range(30)}
+    _, job = _built(spark, tmp_path, texts, dataset=DatasetOptions(max_records_per_shard=4, shard_manifest=True, **options))
+    out, dataset = job.output_dir, job.dataset
+    want = sorted(r.content for r in manifest.read_dataset(spark, out, dataset).collect())
+    assert len(want) == 30 and manifest.shard_differences(spark, out, dataset).isEmpty()
+    train = Path(out) / ("dataset.parquet/split=train" if options.get("output_format") else f"train.jsonl{'.gz' if options else ''}")
+    parts = sorted(p for p in train.glob("part-*") if p.name.endswith(("jsonl", "json", "gz", "parquet")))
+    stray = parts[0].with_name("part-99999-" + parts[0].name.split("-", 2)[2])
+    stray.write_bytes(parts[0].read_bytes())
+    assert sorted(r.content for r in manifest.read_dataset(spark, out, dataset).collect()) == want
+    for crc in train.glob(".*.crc"):
+        crc.unlink()
+    parts[1].write_bytes(parts[2].read_bytes()), parts[3].unlink()
+    found = {r.shard: r.difference for r in manifest.shard_differences(spark, out, dataset).collect()}
+    assert found == {stray.name: "stray", parts[1].name: "changed", parts[3].name: "missing"}
+
+
+def test_a_dataset_without_a_list_is_an_error(spark, tmp_path):
+    _, job = _built(spark, tmp_path, {"a.md": "x"}, dataset=DatasetOptions(shard_manifest=True))
+    assert manifest.read_dataset(spark, job.output_dir, job.dataset).count() == 1
+    _, job = _built(spark, tmp_path, {"a.md": "y"})  # a later run without a list takes the old one away
+    with pytest.raises(FileNotFoundError):
+        manifest.read_dataset(spark, job.output_dir, job.dataset)
+
+
+def test_the_list_of_an_empty_dataset(spark, tmp_path):
+    _, job = _built(spark, tmp_path, {}, dataset=DatasetOptions(shard_manifest=True))
+    assert manifest.read_dataset(spark, job.output_dir, job.dataset).isEmpty()
+    assert manifest.read_manifest(spark, job.output_dir).isEmpty()
+
+
 def _ledger(job):
     parts = (Path(job.output_dir) / "rejected_files.json").glob("part-*")
     rows = [json.loads(line) for p in parts for line in p.read_text().splitlines()]
