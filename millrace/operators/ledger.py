@@ -61,13 +61,11 @@ def gate_reason(content: Column, options: QualityOptions) -> Column:
 def reject_source_language(records: DataFrame, sources: DataFrame, rows: int | None = None) -> DataFrame:
     """:func:`filters.filter_source_language` with a reason in place of the drop. A record whose source
     is not listed is out of focus too."""
-    focus = sources.select("source_ord", F.col("languages").alias("_languages"))
-    inside = F.coalesce(filters.in_focus(F.col("_languages"), F.col("language")), F.lit(False))
-    reason = F.coalesce(F.col(REJECTED), F.when(~inside, F.lit("language")))
-    content = F.when(F.col(REJECTED).isNull(), F.col("content"))
+    reason = F.coalesce(F.col(REJECTED), F.when(~F.col("_in_focus"), F.lit("language")))
     return (
-        filters.with_source_attributes(records, focus, rows, how="left")
-        .withColumn(REJECTED, reason).withColumn("content", content)
+        filters.with_focus(records, sources, rows)
+        .withColumn(REJECTED, reason)
+        .withColumn("content", F.when(F.col(REJECTED).isNull(), F.col("content")))
         .select(*records.columns)
     )
 

@@ -124,6 +124,31 @@ def filter_source_language(spark, sf_dir):
     return filters.filter_source_language(records, inputs.sources(spark, sf_dir))
 
 
+_CUSTOMER_FOCUS = """CASE c_custkey % 4 WHEN 0 THEN {empty} WHEN 1 THEN {array}('python', 'go'{end}
+  WHEN 2 THEN {array}('markdown'{end} ELSE {array}('shell', 'text', 'go'{end} END"""
+
+
+@query("filter_source_language_bits", f"""WITH {RECORDS_SQL}, spread AS (SELECT doc_id, r.relative_path, r.language,
+    CAST(doc_id * 7 % ((SELECT count(*) FROM customer) + 40) AS INTEGER) AS ord FROM records r
+    JOIN files f USING (source_ord, relative_path)),
+  focused AS (SELECT c_custkey, {_CUSTOMER_FOCUS.format(
+      empty="CAST([] AS VARCHAR[])", array="list_value", end=")")} AS languages FROM customer)
+  SELECT doc_id, ord AS source_ord, language FROM spread JOIN focused ON ord = c_custkey
+  WHERE len(languages) = 0 OR list_contains(languages, language)""")
+def filter_source_language_bits(spark, sf_dir):
+    """A source per customer, beyond a bound of no rows; some documents are of unknown sources."""
+    customers = inputs.table(spark, sf_dir, "customer")
+    sources = customers.select(
+        F.col("c_custkey").cast("int").alias("source_ord"),
+        F.expr(_CUSTOMER_FOCUS.format(empty="CAST(array() AS array<string>)", array="array", end=")"))
+        .alias("languages"))
+    spread = F.expr("CAST(doc_id * 7 % (customers + 40) AS INT)").alias("source_ord")
+    files = inputs.files(spark, sf_dir).select(
+        "doc_id", "relative_path", paths.detect_language("relative_path").alias("language"),
+        F.lit(customers.count()).alias("customers")).select("doc_id", spread, "language")
+    return filters.filter_source_language(files, sources, limit=0)
+
+
 @query("source_attributes", f"""WITH {RECORDS_SQL}, {SOURCES_SQL}
   SELECT r.source_ord, r.relative_path, s.name, s.kind, s.origin, s.path,
          array_to_string(s.languages, ',') AS languages

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import rules
 from millrace.config import ChunkOptions, CommandSource, DatasetOptions, IngestionOptions
 from millrace.functions import twister
-from millrace.operators import chunking, commands, joins, positions, split
+from millrace.operators import chunking, commands, filters, joins, positions, split
 from millrace.operators.dedup import find_repeats, keep_first
 from millrace.sources import tables
 
@@ -264,3 +264,16 @@ def test_sized_join_gives_the_same_rows(spark, hot, limit):
     assert joins.sized_join(frame, small, ["source_ord"], limit=limit).count() == sum(
         i % 7 < 5 for i in range(3000)
     )
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_focus_of_odd_sources(spark, limit):
+    """Nulls, negative and distant numbers, empty lists and unknown sources, on both ways."""
+    lists = {-65: ["go"], -1: [], 0: ["go", None], 63: ["c"], 64: None, 65: [None], 2**31 - 1: ["go"]}
+    sources = spark.createDataFrame(list(lists.items()), "source_ord int, languages array<string>")
+    rows = [(o, language) for o in (*lists, 1, None) for language in ("go", "c", None)]
+    records = spark.createDataFrame(rows, "source_ord int, language string").withColumn("word", F.lit("w"))
+    got = filters.filter_source_language(records, sources, limit=limit).collect()
+    want = [(o, x) for o, x in rows if lists.get(o) == [] or (x and x in (lists.get(o) or []))]
+    assert sorted(map(str, ((r.source_ord, r.language) for r in got))) == sorted(map(str, want))
+    assert filters.filter_source_language(records, sources.limit(0), limit=limit).isEmpty()

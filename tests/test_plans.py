@@ -99,3 +99,9 @@ def test_small_cap_is_pruned_before_the_shuffle(spark, plan_of):
     plan = plan_of(positions.first_n(corpus, ["source_ord"], ["path", "line_no"], 50))
     partial = plan.index("Partial")
     assert plan.index("Exchange hashpartitioning") < partial
+
+
+def test_sources_beyond_the_bound_do_not_move_the_text(spark, plan_of):
+    focused = filters.filter_source_language(records(spark), inputs.sources(spark, SF_DIR), limit=0)
+    plan = plan_of(focused)
+    assert plan.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in plan
