@@ -24,7 +24,7 @@ from millrace.queries.text_queries import EXT_SQL, LANGUAGE_SQL, PROMPT_SQL, STR
 from millrace.sinks import manifest, writers
 from millrace.sources import scan, tables
 from millrace.sources.resolve import ResolvedSource
-from millrace.staging import new_path, stage
+from millrace.staging import new_path, qualified, stage
 
 
 def _documents(spark, sf_dir):
@@ -207,7 +207,11 @@ def _write_tree(files, folder):
 
 
 def _mounted(spark, name):
-    return new_path(spark, name).removeprefix("file:").replace("//", "/")
+    """A new folder in the shared one, which must lie on a mounted file system: trees are read from such."""
+    path = qualified(spark, new_path(spark, name))
+    if not path.startswith("file:"):
+        raise RuntimeError(f"source trees need a mounted folder, not {path}")
+    return "/" + path.removeprefix("file:").lstrip("/")
 
 
 _EXTENSIONS_SQL = ", ".join(f"'{e}'" for e in fixed.DEFAULT_INCLUDE_EXTENSIONS)

@@ -32,6 +32,16 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[context.applicationId]
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system; a plain one lies on the default file system of the session.
+
+    For paths that tasks open by themselves: Spark's readers and writers qualify theirs.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(place).toString()
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """Unused path in the folder of the current run, or below the shared folder."""
     folder = _RUN_DIR.get() or f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"

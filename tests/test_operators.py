@@ -11,6 +11,7 @@ from millrace.functions import twister
 from millrace.operators import chunking, commands, filters, joins, positions, split
 from millrace.operators.dedup import find_repeats, keep_first
 from millrace.sources import tables
+from millrace.staging import qualified
 
 
 @pytest.fixture
@@ -277,3 +278,16 @@ def test_focus_of_odd_sources(spark, limit):
     want = [(o, x) for o, x in rows if lists.get(o) == [] or (x and x in (lists.get(o) or []))]
     assert sorted(map(str, ((r.source_ord, r.language) for r in got))) == sorted(map(str, want))
     assert filters.filter_source_language(records, sources.limit(0), limit=limit).isEmpty()
+
+
+def test_plain_paths_lie_on_the_default_file_system(spark, tmp_path):
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    assert qualified(spark, "/a/b").startswith("file:/") and qualified(spark, "file:///a/b") == "file:/a/b"
+    conf.set("fs.viewfs.mounttable.shared.link./data", f"file://{tmp_path}")
+    conf.set("fs.defaultFS", "viewfs://shared/")
+    try:
+        assert qualified(spark, "/data/x") == "viewfs://shared/data/x"
+        assert qualified(spark, "file:///a/b") == "file:/a/b"
+    finally:
+        conf.set("fs.defaultFS", before)
