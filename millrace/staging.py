@@ -39,7 +39,8 @@ def qualified(spark: SparkSession, path: str) -> str:
     """
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    return system.makeQualified(place).toString()
+    uri = system.makeQualified(place).toString()
+    return f"file://{uri.removeprefix('file:')}" if uri.startswith("file:/") else uri
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -283,11 +283,11 @@ def test_focus_of_odd_sources(spark, limit):
 def test_plain_paths_lie_on_the_default_file_system(spark, tmp_path):
     conf = spark._jsc.hadoopConfiguration()
     before = conf.get("fs.defaultFS")
-    assert qualified(spark, "/a/b").startswith("file:/") and qualified(spark, "file:///a/b") == "file:/a/b"
+    assert qualified(spark, "/a/b").startswith("file:/") and qualified(spark, "file:///a/b") == "file:///a/b"
     conf.set("fs.viewfs.mounttable.shared.link./data", f"file://{tmp_path}")
     conf.set("fs.defaultFS", "viewfs://shared/")
     try:
         assert qualified(spark, "/data/x") == "viewfs://shared/data/x"
-        assert qualified(spark, "file:///a/b") == "file:/a/b"
+        assert qualified(spark, "file:///a/b") == "file:///a/b"
     finally:
         conf.set("fs.defaultFS", before)
