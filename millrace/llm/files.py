@@ -15,7 +15,8 @@ _SHIPPED: set[str] = set()
 
 
 def store(uri: str):
-    """File system and path of a URI. A plain path is one of a mounted file system."""
+    """File system and path of a URI. A plain path is one of a mounted file system; writers qualify
+    their folder by the session's default file system first."""
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")

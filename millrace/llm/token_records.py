@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.files import attempt_name, open_input, open_output, prepare_tasks
 from millrace.llm.tokens import encoder
-from millrace.staging import stage
+from millrace.staging import qualified, stage
 
 _MASK_ADD = 0xA282EAD8
 _HEAD = "<QI"
@@ -124,7 +124,7 @@ def write_records(
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = ranged.repartitionByRange(parts, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie")
     files = ordered.select("doc_id", "text").mapInArrow(
-        _writer(folder, tokenizer, end_id, file_bytes), _FILES
+        _writer(qualified(docs.sparkSession, folder), tokenizer, end_id, file_bytes), _FILES
     )
     return stage(files, "record-files")
 

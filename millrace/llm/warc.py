@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.files import attempt_name, open_input, open_output, prepare_tasks
 from millrace.operators.joins import sized_join
-from millrace.staging import stage
+from millrace.staging import qualified, stage
 
 REVISIT_BYTES = 100
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
@@ -111,7 +111,8 @@ def write_warc(
     marked = sized_join(whole, firsts, ["digest"], "left").withColumn(
         "first", F.when(F.col("first") != F.col("page_id"), F.col("first"))
     )
-    files = marked.mapInArrow(_writer(folder, date, file_bytes), _FILES)
+    place = qualified(pages.sparkSession, folder)
+    files = marked.mapInArrow(_writer(place, date, file_bytes), _FILES)
     return stage(files, "warc-files")
 
 

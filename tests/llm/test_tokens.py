@@ -68,6 +68,20 @@ def test_counts_come_from_the_cache_when_it_has_them(spark, docs, tmp_path):
     assert empty.count() == 0
 
 
+@pytest.mark.parametrize("limit", [None, 0])
+def test_a_filled_cache_gets_the_new_texts_only(spark, tmp_path, limit):
+    cache = f"file://{tmp_path}/cache"
+    first = spark.createDataFrame([(k, f"text {k % 7}") for k in range(40)], "doc_id long, text string")
+    cached_token_counts(first, PATH, cache).collect()
+    rows = [*[(k, f"text {k % 9}") for k in range(60)], (None, None), (3, ""), (3, "text 8")]
+    second = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = cached_token_counts(second, PATH, cache, limit=limit).collect()
+    want = [(i, len((t or "").encode()), len(ids(t))) for i, t in rows]
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, want))
+    stored = spark.read.parquet(cache).select("digest").collect()
+    assert len(stored) == 10 == len({bytes(r.digest) for r in stored}), "nothing is counted twice"
+
+
 def test_records_round_trip_in_order_of_ids(spark, docs, tmp_path):
     files = token_records.write_records(docs, f"file://{tmp_path}/r", PATH, file_bytes=1000)
     got = token_records.read_records(files).orderBy("start").collect()
