@@ -62,6 +62,10 @@ def read_record(file, offset: int) -> tuple[bytes, int]:
     return payload, offset + len(head) + length + 4
 
 
+# Records wait for one write of at least so many bytes.
+_WRITE_BYTES = 1 << 20
+
+
 def _writer(folder: str, tokenizer: str, end_id: int, file_bytes: int):
     def write(batches):
         import pyarrow as pa
@@ -72,9 +76,14 @@ def _writer(folder: str, tokenizer: str, end_id: int, file_bytes: int):
         kind, end = f"<u{width}", np.array([end_id], dtype="<u4").tobytes()
         part, rows, out = TaskContext.get().partitionId(), [], None
 
+        def settle():
+            out["file"].write(b"".join(out["held"]))
+            out["held"], out["written"] = [], out["at"]
+
         def close():
             nonlocal out
             if out is not None:
+                settle()
                 out["file"].close()
                 with open_output(out["row"]["index"]) as index:
                     index.write(np.array(out["offsets"], dtype="<u8").tobytes())
@@ -88,13 +97,15 @@ def _writer(folder: str, tokenizer: str, end_id: int, file_bytes: int):
                 if out is None or out["at"] >= file_bytes:
                     close()
                     path = attempt_name(folder, "records", part, len(rows), ".bin")
-                    out = {"file": open_output(path), "at": 0, "offsets": [], "row": {
+                    out = {"file": open_output(path), "at": 0, "written": 0, "held": [], "offsets": [], "row": {
                         "partition": part, "number": len(rows), "path": path,
                         "index": f"{path}.idx", "first_id": doc_id, "tokens": 0, "width": width}}
                 record = frame(struct.pack(_PAYLOAD, doc_id, len(ids)) + ids.astype(kind).tobytes())
                 out["offsets"].append(out["at"])
-                out["file"].write(record)
+                out["held"].append(record)
                 out["at"] += len(record)
+                if out["at"] - out["written"] >= _WRITE_BYTES:
+                    settle()
                 out["row"]["tokens"] += len(ids)
         close()
         if rows:
