@@ -19,11 +19,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
+from millrace.functions import word_sets
 from millrace.operators.components import component_roots
 from millrace.operators.dedup import keep_first
 from millrace.operators.joins import sized_join
-from millrace.staging import stage
+from millrace.staging import bound_batches, stage
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACES = " \t\n\x0b\x0c\r"
@@ -49,29 +51,35 @@ def split_words(content: Column) -> Column:
         F.split(plain, r"[\x20\x09-\x0D]+"))
 
 
-def shingle_set(words: Column, size: int) -> Column:
-    """Hashes of the distinct shingles. Fewer words than a shingle are one; no words give none."""
-    def shingle(k: Column) -> Column:
-        return F.xxhash64(F.array_join(F.slice(words, k, F.lit(size)), " "))
-
-    last = F.greatest(F.lit(1), F.size(words) - size + 1)
-    return F.when(F.size(words) == 0, F.array().cast("array<bigint>")).otherwise(
-        F.array_distinct(F.transform(F.sequence(F.lit(1), last), shingle)))
-
-
 def word_class(words: Column) -> Column:
     """Digest of a text's words: equal for texts that differ in white space and case only."""
     return F.unhex(F.md5(F.array_join(words, " ").cast("binary")))
 
 
-def class_sets(classed: DataFrame, order: Sequence[str], options: NearOptions) -> DataFrame:
-    """Written table of ``class`` and its ``shingles``, of rows with ``class`` and ``content``; classes
-    without words are left out. The text of one row per class is read where it lies."""
-    one = keep_first(classed.select(*order, "class", "content"), ["class"], order)
-    # a filter on the shingles would be pushed below the words, which every shingle would split anew
-    some = one.filter(F.btrim("content", F.lit(_SPACES)) != "")
-    words = some.select("class", split_words(F.col("content")).alias("_words"))
-    return stage(words.select("class", shingle_set(F.col("_words"), options.words).alias("shingles")), "shingle-sets")
+def word_classes(records: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Written table of the ``order`` columns and the ``class`` of every row. A text is read once and not moved."""
+    return stage(_in_tasks(records, order, None), "classes")
+
+
+def class_sets(
+    records: DataFrame, order: Sequence[str], options: NearOptions, *, classes: DataFrame | None = None
+) -> DataFrame:
+    """Written table of ``class`` and its ``shingles``, of rows with ``content``; classes without words are
+    left out. Texts are read where they lie, and one row per class is kept; ``classes`` is their
+    :func:`word_classes`, if they are written already."""
+    classes = word_classes(records, order) if classes is None else classes
+    every = _in_tasks(records, order, options.words)
+    one = keep_first(every, ["class"], order, rows=classes)
+    return stage(one.select("class", "shingles").filter(F.size("shingles") > 0), "shingle-sets")
+
+
+def _in_tasks(records: DataFrame, order: Sequence[str], size: int | None) -> DataFrame:
+    bound_batches(records.sparkSession)
+    rows = records.select(*order, F.col("content").cast("binary").alias("content"))
+    schema = StructType([*(rows.schema[name] for name in order), StructField("class", BinaryType(), False)])
+    if size:
+        schema = schema.add("shingles", ArrayType(LongType(), False), False)
+    return rows.mapInArrow(word_sets.task(order, size), schema)
 
 
 # --- exact join ----------------------------------------------------------------------------------

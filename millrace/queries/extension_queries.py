@@ -12,7 +12,7 @@ from millrace.config import ChunkOptions, CommandSource, DatasetOptions, Ingesti
 from millrace.functions import fixed
 from millrace.operators import extensions, ledger
 from millrace.operators.near_dedup import (
-    NearOptions, class_sets, near_groups, similar_pairs, split_words, word_class,
+    NearOptions, class_sets, near_groups, similar_pairs, word_classes,
 )
 from millrace.queries import inputs
 from millrace.queries.build_queries import BUILD_SQL, CONFIG, COUNTERS_SQL, _built
@@ -287,13 +287,13 @@ DOC_ORDER = ("doc_id",)
   JOIN classes ON array_to_string(docs.w, ' ') = words LEFT JOIN counted ON a = class_id""")
 def near_duplicate_links(spark, sf_dir):
     """Per document the smallest id with the same words, and how many other texts are near it."""
-    classed = _documents(spark, sf_dir).select(
-        "doc_id", "content", word_class(split_words(F.col("content"))).alias("class"))
-    pairs = similar_pairs(class_sets(classed, DOC_ORDER, NearOptions()), 0.8)
-    ways = pairs.select(F.col("a").alias("class")).unionAll(pairs.select("b")).groupBy("class").agg(
+    docs = _documents(spark, sf_dir)
+    classes = word_classes(docs, DOC_ORDER)
+    pairs = similar_pairs(class_sets(docs, DOC_ORDER, NearOptions(), classes=classes), 0.8)
+    ways = pairs.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(
         F.count(F.lit(1)).alias("links"))
-    named = classed.groupBy("class").agg(F.min("doc_id").alias("class_id")).join(ways, "class", "left")
-    return classed.select("doc_id", "class").join(named.hint("merge"), "class").select(
+    named = classes.groupBy("class").agg(F.min("doc_id").alias("class_id")).join(ways, "class", "left")
+    return classes.join(named.hint("merge"), "class").select(
         "doc_id", "class_id", F.coalesce("links", F.lit(0).cast("bigint")).alias("links"))
 
 

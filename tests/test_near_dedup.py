@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators.components import component_roots
 from millrace.operators.near_dedup import (
     NearOptions, band_links, class_sets, near_dedup, near_groups, similar_pairs, split_words, word_class,
+    word_classes,
 )
 
 ORDER = ("source_ord", "relative_path")
@@ -147,3 +148,18 @@ def test_plans_have_no_cross_join(spark):
     for frame in (similar_pairs(sets, 0.8), band_links(sets, NearOptions())):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
+
+
+def test_words_are_split_in_tasks(spark):
+    """Classes and shingles that tasks compute are those of Spark's functions."""
+    texts = [*corpus(), "\u00c9T\u00c9 \u00e9t\u00e9\u00a0x\u0085y \x1cz Z", "\x0ba\x0cB\rc d e f"]
+    rows = records(spark, texts).select(*ORDER, "content")
+    want = rows.select(*ORDER, word_class(split_words(F.col("content"))).alias("class")).collect()
+    classes = word_classes(rows, ORDER)
+    assert sorted(classes.collect()) == sorted(want)
+    words = [t.encode().lower().split() for t in texts if t]
+    wanted = {b" ".join(w[k:k + 5]).decode() for w in words if w for k in range(max(1, len(w) - 4))}
+    hashes = spark.createDataFrame([(s,) for s in wanted], "s string").select(F.xxhash64("s")).collect()
+    sets = class_sets(rows, ORDER, NearOptions(), classes=classes).collect()
+    assert {h for row in sets for h in row.shingles} == {h for h, in hashes}
+    assert all(len(set(row.shingles)) == len(row.shingles) for row in sets)
