@@ -182,9 +182,8 @@ def near_groups(
     ``order`` identifies a record; ``content`` is its text. Texts without words (null, empty, blank) are one
     group. ``exact`` links by all similar pairs instead of bands.
     """
-    classed = records.select(*order, "content", word_class(split_words(F.col("content"))).alias("class"))
-    narrow = stage(classed.select(*order, "class"), "classes")
-    sets = class_sets(classed, order, options)
+    narrow = word_classes(records, order)
+    sets = class_sets(records, order, options, classes=narrow)
     links = similar_pairs(sets, options.similarity) if exact else band_links(sets, options)
     roots = component_roots(links.select("a", "b"))
     named = roots.select(F.col("a").alias("class"), F.col("b").alias("_root"))
