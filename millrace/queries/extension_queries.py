@@ -24,7 +24,7 @@ from millrace.queries.text_queries import EXT_SQL, LANGUAGE_SQL, PROMPT_SQL, STR
 from millrace.sinks import manifest, writers
 from millrace.sources import scan, tables
 from millrace.sources.resolve import ResolvedSource
-from millrace.staging import new_path, qualified, stage
+from millrace.staging import bound_batches, new_path, qualified, stage
 
 
 def _documents(spark, sf_dir):
@@ -203,6 +203,7 @@ def _write_tree(files, folder):
                     handle.write(raw)
             yield pd.DataFrame({"written": [len(batch)]})
 
+    bound_batches(files.sparkSession)
     stage(files.select("place", "raw").mapInPandas(write, "written bigint"), "written-files")
 
 

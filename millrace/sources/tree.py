@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.staging import stage
+from millrace.staging import bound_batches, stage
 
 _PENDING = "source_ord int, root string, directory binary, trail array<binary>"
 _LISTED = (
@@ -27,7 +27,8 @@ _LISTED = (
 )
 _FIRST_BUDGET, _BUDGET_GROWTH, _LAST_BUDGET = 2_000, 10, 200_000
 _LISTING_ROWS = 5_000
-_BATCH_BYTES = 32 << 20
+_BATCH_BYTES = 4 << 20
+_BATCH_FILES = 1_000
 _TASK_BYTES = 128 << 20
 _TASK_FILES = 20_000
 
@@ -62,6 +63,7 @@ def list_tree(
     pending = spark.createDataFrame(
         [(o, r, os.fsencode(r), [os.fsencode(os.path.realpath(r))]) for o, r in roots], _PENDING
     )
+    bound_batches(spark)
     waiting, budget, rounds = len(roots), _FIRST_BUDGET, []
     while waiting:
         tasks = min(waiting, 4 * spark.sparkContext.defaultParallelism)
@@ -170,6 +172,7 @@ def read_files(files: DataFrame) -> DataFrame:
     A task passes on batches of bounded size.
     """
     columns = ["source_ord", "relative_path", "size", "file"]
+    bound_batches(files.sparkSession)
 
     def load_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows, held = [], 0
@@ -182,7 +185,7 @@ def read_files(files: DataFrame) -> DataFrame:
                     raw = None
                 rows.append((source_ord, relative_path, size, raw))
                 held += len(raw or b"")
-                if held >= _BATCH_BYTES:
+                if held >= _BATCH_BYTES or len(rows) >= _BATCH_FILES:
                     yield pd.DataFrame(rows, columns=[*columns[:3], "raw"])
                     rows, held = [], 0
         if rows:

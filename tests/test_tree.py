@@ -189,3 +189,18 @@ def test_metadata(spark, tmp_path):
     assert (two.name, two.origin, two.dependency_manifests, two.ci_cd) == ("two", "github", {}, {})
     joined = metadata.repo_manifests(listing).select("relative_path", "ecosystem").collect()
     assert dict(map(tuple, joined)) == one.dependency_manifests
+
+
+def test_tasks_hold_few_files(spark, tmp_path, monkeypatch):
+    """Batches of rows that reach a task, and of files that leave it, are bounded in number and bytes."""
+    for k in range(7):
+        (tmp_path / f"f{k}.md").write_bytes(b"x" * (k * 1000))
+    (tmp_path / "empty.md").write_bytes(b"")
+    monkeypatch.setattr(tree, "_BATCH_FILES", 2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    listing = tree.list_tree(spark, [(0, str(tmp_path))])
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 256
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    rows = tree.read_files(listing).collect()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 256
+    assert sorted(len(r.raw) for r in rows) == [0, *range(0, 7000, 1000)]
