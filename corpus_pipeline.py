@@ -16,6 +16,8 @@ from millrace.llm.simhash import keep_one_of_each
 from millrace.staging import stage
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+# Workers serve all stages and keep the memo, beside the models and a heap that earlier stages have filled.
+MEMO_CHUNKS = 100_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the mixture into sequences of at most 2048 tokens."""
-    pieces = pack_texts(docs, TOKENIZER, DOCUMENTS)
+    pieces = pack_texts(docs, TOKENIZER, DOCUMENTS, memo_chunks=MEMO_CHUNKS)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 

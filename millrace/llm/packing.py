@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.files import prepare_tasks
-from millrace.llm.tokens import encoder
+from millrace.llm.tokens import MEMO_CHUNKS, encoder
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, doc_tokens bigint, loss_tokens bigint, "
@@ -116,7 +116,7 @@ class Packer:
             self._close()
 
 
-def _packer(tokenizer: str, end_id: int, limits: Limits):
+def _packer(tokenizer: str, end_id: int, limits: Limits, memo_chunks: int):
     def pack(batches):
         import pyarrow as pa
 
@@ -136,7 +136,7 @@ def _packer(tokenizer: str, end_id: int, limits: Limits):
             rows, held = [], 0
             return pa.RecordBatch.from_arrays(columns, schema=schema)
 
-        encode, end = encoder(tokenizer).encode_many, np.array([end_id], dtype="<u4").tobytes()
+        encode, end = encoder(tokenizer, memo_chunks).encode_many, np.array([end_id], dtype="<u4").tobytes()
         packer = Packer(limits, emit, TaskContext.get().partitionId() << 36)
         for batch in batches:
             encoded = encode(t.as_py() for t in batch.column("text"))
@@ -155,18 +155,18 @@ def _packer(tokenizer: str, end_id: int, limits: Limits):
 
 def pack_texts(
     docs: DataFrame, tokenizer: str, limits: Limits = Limits(), *, end_id: int = 1,
-    prompt: str | None = None,
+    prompt: str | None = None, memo_chunks: int = MEMO_CHUNKS,
 ) -> DataFrame:
     """Pieces of all texts of (``doc_id``, ``text``), with their place in sequences and their ids.
 
     Every task packs the rows it reads; nothing is shuffled, and a task holds one batch of rows and
     ``limits.waiting`` examples. ``prompt`` names a column with the number of leading ids of an example
     that bear no loss (instructions); where it is null or not given, ``limits.prompt_share`` says so. Null texts count as empty: their one
-    id is the end id. Repeated rows are packed one by one; other columns are not read.
+    id is the end id. ``memo_chunks`` bounds what the encoder of a worker remembers. Repeated rows are packed one by one; other columns are not read.
     """
     prepare_tasks(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
         (F.col(prompt) if prompt else F.lit(None)).cast("bigint").alias("prompt"),
     )
-    return rows.mapInArrow(_packer(tokenizer, end_id, limits), PIECES)
+    return rows.mapInArrow(_packer(tokenizer, end_id, limits, memo_chunks), PIECES)

@@ -27,6 +27,7 @@ _CUT = re.compile(f"(?<=[^{_SPACE}])[{_SPACE}]")
 _BLOCK = 1 << 16
 _PIECES = 1 << 12
 _LONGEST = 64
+MEMO_CHUNKS = 600_000
 _JOINABLE = re.compile(f"[{_SPACE}]")
 
 
@@ -35,7 +36,7 @@ class Encoder:
     library does by default. Two generations of at most ``memo_chunks`` pieces form the memo: a full
     one becomes the older, whose pieces move up when they are met again."""
 
-    def __init__(self, path: str, memo_chunks: int = 600_000):
+    def __init__(self, path: str, memo_chunks: int = MEMO_CHUNKS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -156,6 +157,7 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder per Python worker and file."""
-    return Encoder(path)
+def encoder(path: str, memo_chunks: int = MEMO_CHUNKS) -> Encoder:
+    """One encoder per Python worker, file and size of the memo. It stays with the worker: a remembered piece
+    takes half a kilobyte, of which there may be twice ``memo_chunks``."""
+    return Encoder(path, memo_chunks)

@@ -254,3 +254,14 @@ def test_little_padding():
 def test_digest_of_a_piece_is_that_of_its_ids(spark, docs):
     row = pack_texts(docs, PATH).withColumn("crc", F.crc32("ids")).first()
     assert row.crc == zlib.crc32(row.ids)
+
+
+def test_packing_with_a_small_memo(spark):
+    """The pipeline bounds what workers remember; ids and places of the pieces stay the same."""
+    import corpus_pipeline
+
+    assert corpus_pipeline.MEMO_CHUNKS <= 200_000
+    docs = spark.createDataFrame(
+        [(k, " ".join(f"w{k * 31 + j}" for j in range(200))) for k in range(30)], "doc_id bigint, text string",
+    ).coalesce(1)
+    assert pack_texts(docs, PATH, memo_chunks=40).collect() == pack_texts(docs, PATH).collect()
