@@ -10,6 +10,7 @@ in step, as in one endless word, are joined and matched again; in the end that i
 pieces between two such places are encoded by the ranks, and the ids of a text are put together in order.
 
 Short texts are one window, encoded where they are read. Only windows of long texts are shuffled.
+Pre-tokens that a task has not met yet are merged many at once: each round joins the best pair of all.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 import base64
 import heapq
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 from pyspark import TaskContext
@@ -29,6 +30,9 @@ from millrace.staging import stage
 
 _LONG_PIECE = 96
 _BLOCK = 1 << 15
+_FEW_PIECES = 16
+_TABLE_ROWS = 1 << 10
+_GROUP_CHARS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -103,6 +107,86 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, dtype="<u4").tobytes()
+
+
+class Merger:
+    """Merges many short pieces at once, each by the steps of ``merge``.
+
+    A piece is a row of a table of symbols, with an end mark on either side. A symbol is the rank of its
+    bytes; a single byte without a rank has a symbol above all ranks. Every round merges the leftmost of
+    the lowest pairs of each row that still has one, and looks up its two new neighbours.
+    """
+
+    NONE = np.iinfo(np.int32).max
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.count = max(ranks.values()) + 1
+        self.end = self.count + 256
+        known = {bytes([b]): self.count + b for b in range(256)} | ranks
+        self.symbols = np.array([known[bytes([b])] for b in range(256)], dtype=np.int64)
+        pairs = {}
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                left, right = known.get(token[:k]), known.get(token[k:])
+                if left is not None and right is not None:
+                    pairs[left * (self.end + 1) + right] = rank
+        keys = np.fromiter(pairs.keys(), np.int64, len(pairs))
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.ranks = np.append(np.fromiter(pairs.values(), np.int32, len(pairs))[order], self.NONE)
+        both = np.append(self.symbols, self.end)
+        self.byte_pairs = self.found(both[:, None], both[None, :])
+
+    def found(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of symbols; NONE if the two make no token."""
+        wanted = left * (self.end + 1) + right
+        at = np.searchsorted(self.keys, wanted)
+        return np.where(self.keys[at] == wanted, self.ranks[at], self.NONE)
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece as little-endian unsigned 32-bit integers; a table holds pieces of like lengths."""
+        order = sorted(range(len(pieces)), key=lambda k: len(pieces[k]))
+        merged = [b""] * len(pieces)
+        for begin in range(0, len(order), _TABLE_ROWS):
+            some = order[begin:begin + _TABLE_ROWS]
+            for at, ids in zip(some, self._table([pieces[k] for k in some])):
+                merged[at] = ids
+        return merged
+
+    def _table(self, pieces: list[bytes]) -> list[bytes]:
+        n = len(pieces)
+        lengths = np.fromiter(map(len, pieces), np.int64, n)
+        columns = np.arange(lengths.max() + 2)
+        width = len(columns)
+        inside = (columns > 0) & (columns <= lengths[:, None])
+        codes = np.full((n, width), 256, dtype=np.int64)
+        codes[inside] = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        table = np.full((n, width), self.NONE, dtype=np.int32)
+        table[:, :-1] = self.byte_pairs[codes[:, :-1], codes[:, 1:]]
+        symbols = np.append(self.symbols, self.end)[codes].ravel()
+        pairs, left, right = table.ravel(), np.arange(n * width) - 1, np.arange(n * width) + 1
+        rows = np.arange(n)
+        while len(rows):
+            at = rows * width + table[rows].argmin(axis=1)
+            least = pairs[at]
+            going = least < self.NONE
+            rows, at, least = rows[going], at[going], least[going].astype(np.int64)
+            gone, before = right[at], left[at]
+            after = right[gone]
+            symbols[at], symbols[gone], pairs[gone] = least, -1, self.NONE
+            right[at], left[after] = after, at
+            pairs[at] = self.found(least, symbols[after])
+            pairs[before] = self.found(symbols[before], least)
+        kept = inside & (symbols.reshape(n, width) >= 0)
+        ids = symbols.reshape(n, width)[kept]
+        if (ids >= self.count).any():
+            raise KeyError("a byte without a rank")
+        raw, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(kept.sum(axis=1))).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Coder:
     """Matches, encodes and decodes. The ids of at most ``memo_pieces`` short pieces are kept."""
 
@@ -121,24 +205,55 @@ class Coder:
         self.places = np.concatenate([[0], np.cumsum(self.widths)])
         self.bytes = np.frombuffer(b"".join(words), dtype=np.uint8)
 
+    @cached_property
+    def merger(self) -> Merger:
+        return Merger(self.ranks)
+
     def starts(self, text: str) -> list[int]:
         """Places in a text where pre-tokens begin."""
         return [match.start() for match in self.pattern.finditer(text)]
 
     def encode_pieces(self, pieces: list[str]) -> bytes:
         """Ids of pre-tokens as little-endian unsigned 32-bit integers."""
+        return self.encode_lists([pieces])[0]
+
+    def encode_lists(self, lists: list[list[str]]) -> list[bytes]:
+        """The same for each list; what none of them has met before is merged together."""
         if len(self.memo) > self.memo_pieces:
             self.memo = {}
-        memo, long = self.memo, []
-        for piece in set(pieces).difference(memo):
-            memo[piece] = np.array(merge(piece.encode(), self.ranks), dtype="<u4").tobytes()
+        memo, long, short = self.memo, [], []
+        for piece in set().union(*lists).difference(memo):
+            raw = piece.encode()
+            rank = self.ranks.get(raw)
+            if rank is None and len(raw) <= _LONG_PIECE:
+                short.append((piece, raw))
+            else:
+                memo[piece] = _packed([rank] if rank is not None else merge(raw, self.ranks))
             if len(piece) > _LONG_PIECE:
                 long.append(piece)
-        ids = b"".join(map(memo.__getitem__, pieces))
+        if len(short) < _FEW_PIECES:
+            memo.update((piece, _packed(merge(raw, self.ranks))) for piece, raw in short)
+        else:
+            memo.update(zip([piece for piece, _ in short], self.merger.merge([raw for _, raw in short])))
+        ids = [b"".join(map(memo.__getitem__, pieces)) for pieces in lists]
         for piece in long:
             del memo[piece]
         return ids
 
+    def encode_each(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; texts of a bounded number of characters are encoded together."""
+        found, held, size = [], [], 0
+        for text in texts:
+            if size + len(text) > _GROUP_CHARS:
+                found += self.encode_lists(held)
+                held, size = [], 0
+            if len(text) > _GROUP_CHARS:
+                found.append(self.encode(text))
+                continue
+            held.append(self.pattern.findall(text))
+            size += len(text)
+        return found + self.encode_lists(held)
+
     def encode(self, text: str) -> bytes:
         if len(text) <= _BLOCK:
             return self.encode_pieces(self.pattern.findall(text))
@@ -174,7 +289,7 @@ def _whole_texts(vocabulary: Vocabulary):
 
         own = coder(vocabulary)
         for batch in batches:
-            ids = [own.encode(text.as_py()) for text in batch.column("text")]
+            ids = own.encode_each(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 

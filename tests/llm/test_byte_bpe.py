@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
+from millrace.llm import byte_bpe
 from millrace.llm.byte_bpe import Chunks, Coder, Vocabulary, decode_texts, encode_texts, merge, read_ranks
 
 VOCABULARY = Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -51,6 +52,45 @@ def test_long_pieces_merge_like_short_ones(library):
             assert merge(piece.encode(), ranks) == library._encode_single_piece(piece)
 
 
+def test_new_pieces_are_merged_together(library, monkeypatch):
+    draw = random.Random(5)
+    text = " ".join("".join(draw.choices("thesaroinqzx", k=draw.randint(8, 20))) for _ in range(3000))
+    alone = []
+    monkeypatch.setattr(byte_bpe, "merge", lambda piece, ranks: alone.append(piece) or merge(piece, ranks))
+    ids = Coder(VOCABULARY).encode(text)
+    assert np.frombuffer(ids, dtype="<u4").tolist() == library.encode_ordinary(text)
+    assert len(alone) < 100
+
+
+def test_tables_merge_like_single_pieces():
+    ranks, draw = read_ranks(VOCABULARY.path), random.Random(3)
+    pieces = ["".join(draw.choices(LETTERS, k=draw.randint(0, 24))).encode() for _ in range(2500)]
+    pieces += [b"a" * n for n in range(97)] + ["\u00e9".encode() * 48, bytes(range(96)), bytes(range(160, 256))]
+    pieces = [piece for piece in pieces if piece not in ranks]
+    got = byte_bpe.Merger(ranks).merge(pieces)
+    assert [np.frombuffer(ids, dtype="<u4").tolist() for ids in got] == [merge(p, ranks) for p in pieces]
+
+
+def test_tables_of_a_vocabulary_without_some_bytes():
+    ranks = {b"a": 0, b"b": 1, b"xy": 2, b"ab": 7, b"xyab": 9}  # x and y have no rank; ranks leave gaps
+    pieces = [b"abab", b"aabb", b"xya", b"xyabxyb", b"bxyxyab", b"axyb"]
+    got = byte_bpe.Merger(ranks).merge(pieces)
+    assert [np.frombuffer(ids, dtype="<u4").tolist() for ids in got] == [merge(p, ranks) for p in pieces]
+    with pytest.raises(KeyError):
+        byte_bpe.Merger(ranks).merge([b"ab", b"ax"])
+    with pytest.raises(KeyError):
+        merge(b"ax", ranks)
+
+
+def test_texts_encoded_together_are_told_apart(library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "_GROUP_CHARS", 300)
+    some = [t or "" for t in texts()] + ["", "z" * 299, "y" * 300, "x" * 301, "", "w " * 151]
+    own = Coder(VOCABULARY, memo_pieces=40)
+    assert [np.frombuffer(ids, dtype="<u4").tolist() for ids in own.encode_each(some)] == [
+        library.encode_ordinary(t) for t in some]
+    assert own.encode_each([]) == [] and all(len(p) <= 96 for p in own.memo)
+
+
 def test_long_texts_take_bounded_steps(library):
     own = Coder(VOCABULARY, memo_pieces=50)
     text = "some words and 123 numbers, " * 20_000 + "z" * 100_000
