@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.files import prepare_tasks
-from millrace.llm.tokens import MEMO_CHUNKS, encoder
+from millrace.llm.tokens import MEMO_CHUNKS, encoded
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, doc_tokens bigint, loss_tokens bigint, "
@@ -50,6 +50,7 @@ class Packer:
         self.limits, self.emit, self.sequence = limits, emit, first_sequence
         self.caps = np.array([limits.tokens, limits.segments, limits.loss_tokens], dtype=np.float64)
         self.sizes = np.zeros((limits.waiting, 3))
+        self.shares = np.zeros((limits.waiting, 3))
         self.items: list = [None] * limits.waiting
         self.free = list(range(limits.waiting - 1, -1, -1))
         self.left = self.caps.copy()
@@ -70,7 +71,7 @@ class Packer:
                 loss = self.limits.loss_tokens
             slot = self.free.pop()
             self.items[slot] = (key, start, ids[start:start + take], total, loss)
-            self.sizes[slot] = (take, 1, loss)
+            self._size(slot, (take, 1, loss))
             start += take
 
     def finish(self) -> None:
@@ -79,6 +80,10 @@ class Packer:
         if self.offset:
             self._close()
 
+    def _size(self, slot: int, size: tuple) -> None:
+        self.sizes[slot] = size
+        self.shares[slot] = self.sizes[slot] / self.caps
+
     def _close(self) -> None:
         self.sequence += 1
         self.offset, self.left = 0, self.caps.copy()
@@ -86,8 +91,10 @@ class Packer:
     def _place(self) -> None:
         """Place one waiting example, or a cut of it, or close the sequence."""
         used = self.sizes[:, 1] > 0
-        fits = used & (self.sizes <= self.left).all(axis=1)
-        products = (self.sizes / self.caps) @ (self.left / self.caps)
+        fits = used.copy()
+        for column, left in zip(self.sizes.T, self.left):
+            fits &= column <= left
+        products = self.shares @ (self.left / self.caps)
         if fits.any():
             self._put(int(np.where(fits, products, -1.0).argmax()), None)
         elif self.left[1] >= 1 and min(self.left[0], self.left[2]) > self.limits.spare:
@@ -106,12 +113,13 @@ class Packer:
         self.offset += length
         self.left -= (length, 1, bearing)
         if length == len(ids):
-            self.items[slot], self.sizes[slot] = None, 0
+            self.items[slot] = None
+            self._size(slot, (0, 0, 0))
             self.free.append(slot)
         else:
             rest = ids[length:]
             self.items[slot] = (key, start + length, rest, total, loss - bearing)
-            self.sizes[slot] = (len(rest), 1, loss - bearing)
+            self._size(slot, (len(rest), 1, loss - bearing))
         if self.left[0] <= 0 or self.left[1] <= 0:
             self._close()
 
@@ -136,12 +144,11 @@ def _packer(tokenizer: str, end_id: int, limits: Limits, memo_chunks: int):
             rows, held = [], 0
             return pa.RecordBatch.from_arrays(columns, schema=schema)
 
-        encode, end = encoder(tokenizer, memo_chunks).encode_many, np.array([end_id], dtype="<u4").tobytes()
+        end = np.array([end_id], dtype="<u4").tobytes()
         packer = Packer(limits, emit, TaskContext.get().partitionId() << 36)
-        for batch in batches:
-            encoded = encode(t.as_py() for t in batch.column("text"))
+        for batch, texts in encoded(tokenizer, batches, memo_chunks):
             keys, prompts = (batch.column(c).to_pylist() for c in ("doc_id", "prompt"))
-            for key, raw, prompt in zip(keys, encoded, prompts):
+            for key, raw, prompt in zip(keys, texts, prompts):
                 ids = np.frombuffer(raw + end, dtype="<u4")
                 packer.add(key, ids, int(limits.prompt_share * len(ids)) if prompt is None else prompt)
                 if held > 4 << 20:

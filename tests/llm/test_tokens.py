@@ -48,6 +48,47 @@ def test_long_texts_are_cut_only_where_tokens_end():
     assert decode(encoder.encode(text)) == ids(text)
 
 
+def test_equal_pieces_of_many_texts_are_looked_up_once():
+    class Counting(dict):
+        looked = 0
+
+        def get(self, key, default=None):
+            Counting.looked += 1
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            Counting.looked += 1
+            return super().__getitem__(key)
+
+    texts, encoder = ["one two, three two"] * 500 + ["<|endoftext|>one\ttwo"], Encoder(PATH)
+    encoder.memo = Counting()
+    for _ in range(2):
+        assert [decode(raw) for raw in encoder.encode_many(texts)] == [ids(text) for text in texts]
+    assert Counting.looked <= 20
+
+
+def test_new_pieces_reach_the_library_in_one_call():
+    class Counting:
+        calls = 0
+
+        def __getattr__(self, name):
+            Counting.calls += name.startswith("encode")
+            return getattr(LIBRARY, name)
+
+    texts, encoder = [f"w{k},x{k} 's{k}'ll -{k}\n({k}" for k in range(300)], Encoder(PATH)
+    encoder.library = Counting()
+    assert [decode(raw) for raw in encoder.encode_many(texts)] == [ids(text) for text in texts]
+    assert Counting.calls == 1
+
+
+def test_texts_of_one_or_two_characters():
+    marks = [*ALPHABET, "é", "ß", "\U0001f000"]
+    texts = [*marks, *(a + b for a in marks for b in marks)]
+    assert [decode(raw) for raw in Encoder(PATH).encode_many(texts)] == [ids(text) for text in texts]
+    for text in marks:
+        assert decode(Encoder(PATH).encode(text)) == ids(text), repr(text)
+
+
 @pytest.fixture
 def docs(spark):
     rows = [(k, text, "extra") for k, text in enumerate(TEXTS)] + [(3, "a", "extra")]
