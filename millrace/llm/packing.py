@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.files import prepare_tasks
-from millrace.llm.tokens import MEMO_CHUNKS, encoded
+from millrace.llm.tokens import MEMO_CHUNKS, encoder
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, doc_tokens bigint, loss_tokens bigint, "
@@ -146,7 +146,7 @@ def _packer(tokenizer: str, end_id: int, limits: Limits, memo_chunks: int):
 
         end = np.array([end_id], dtype="<u4").tobytes()
         packer = Packer(limits, emit, TaskContext.get().partitionId() << 36)
-        for batch, texts in encoded(tokenizer, batches, memo_chunks):
+        for batch, texts in encoder(tokenizer, memo_chunks).encode_batches(batches):
             keys, prompts = (batch.column(c).to_pylist() for c in ("doc_id", "prompt"))
             for key, raw, prompt in zip(keys, texts, prompts):
                 ids = np.frombuffer(raw + end, dtype="<u4")

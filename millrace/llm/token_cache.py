@@ -12,7 +12,7 @@ import hashlib
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.files import prepare_tasks
-from millrace.llm.tokens import encoded
+from millrace.llm.tokens import encoder
 from millrace.operators.joins import fits_broadcast
 from millrace.staging import stage
 
@@ -44,7 +44,7 @@ def _counts(path: str):
     def count(batches):
         import pyarrow as pa
 
-        for batch, texts in encoded(path, batches):
+        for batch, texts in encoder(path).encode_batches(batches):
             counts = [len(ids) // 4 for ids in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"]

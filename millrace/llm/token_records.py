@@ -90,9 +90,8 @@ def _writer(folder: str, tokenizer: str, end_id: int, file_bytes: int):
                 rows.append(out["row"] | {"bytes": out["at"], "records": len(out["offsets"])})
                 out = None
 
-        for batch in batches:
-            encoded = encode.encode_many(t.as_py() for t in batch.column("text"))
-            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), encoded):
+        for batch, texts in encode.encode_batches(batches):
+            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), texts):
                 ids = np.frombuffer(raw + end, dtype="<u4")
                 if out is None or out["at"] >= file_bytes:
                     close()

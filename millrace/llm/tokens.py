@@ -220,32 +220,30 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         return self.encode_many([text])[0]
 
+    def encode_batches(self, batches):
+        """Arrow batches, each with the ids of its column ``text``. Batches of few bytes are encoded
+        together, so that their equal pieces are looked up once."""
+        waiting, held = [], 0
+
+        def settle():
+            nonlocal waiting, held
+            ids = self.encode_many(text.as_py() for batch in waiting for text in batch.column("text"))
+            begin = 0
+            for batch in waiting:
+                yield batch, ids[begin:begin + batch.num_rows]
+                begin += batch.num_rows
+            waiting, held = [], 0
+
+        for batch in batches:
+            waiting.append(batch)
+            held += batch.column("text").nbytes
+            if held >= _HELD:
+                yield from settle()
+        yield from settle()
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str, memo_chunks: int = MEMO_CHUNKS) -> Encoder:
     """One encoder per Python worker, file and size of the memo. It stays with the worker: a remembered piece
     takes half a kilobyte, of which there may be twice ``memo_chunks``."""
     return Encoder(path, memo_chunks)
-
-
-def encoded(path: str, batches, memo_chunks: int = MEMO_CHUNKS):
-    """Arrow batches, each with the ids of its column ``text``. Batches of few bytes are encoded together,
-    so that their equal pieces are looked up once."""
-    encode = encoder(path, memo_chunks).encode_many
-    waiting, held = [], 0
-
-    def settle():
-        nonlocal waiting, held
-        ids = encode(text.as_py() for batch in waiting for text in batch.column("text"))
-        begin = 0
-        for batch in waiting:
-            yield batch, ids[begin:begin + batch.num_rows]
-            begin += batch.num_rows
-        waiting, held = [], 0
-
-    for batch in batches:
-        waiting.append(batch)
-        held += batch.column("text").nbytes
-        if held >= _HELD:
-            yield from settle()
-    yield from settle()

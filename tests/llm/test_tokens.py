@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 from millrace.llm import token_records
 from millrace.llm.packing import DOCUMENTS, Limits, Packer, pack_texts
 from millrace.llm.token_cache import cached_token_counts
-from millrace.llm.tokens import Encoder
+from millrace.llm.tokens import Encoder, encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -48,23 +49,24 @@ def test_long_texts_are_cut_only_where_tokens_end():
     assert decode(encoder.encode(text)) == ids(text)
 
 
-def test_equal_pieces_of_many_texts_are_looked_up_once():
-    class Counting(dict):
-        looked = 0
+class CountingMemo(dict):
+    looked = 0
+
+    def get(self, key, default=None):
+        self.looked += 1
+        return super().get(key, default)
 
-        def get(self, key, default=None):
-            Counting.looked += 1
-            return super().get(key, default)
+    def __getitem__(self, key):
+        self.looked += 1
+        return super().__getitem__(key)
 
-        def __getitem__(self, key):
-            Counting.looked += 1
-            return super().__getitem__(key)
 
+def test_equal_pieces_of_many_texts_are_looked_up_once():
     texts, encoder = ["one two, three two"] * 500 + ["<|endoftext|>one\ttwo"], Encoder(PATH)
-    encoder.memo = Counting()
+    encoder.memo = CountingMemo()
     for _ in range(2):
         assert [decode(raw) for raw in encoder.encode_many(texts)] == [ids(text) for text in texts]
-    assert Counting.looked <= 20
+    assert encoder.memo.looked <= 20
 
 
 def test_new_pieces_reach_the_library_in_one_call():
@@ -137,6 +139,34 @@ def test_records_round_trip_in_order_of_ids(spark, docs, tmp_path):
         token_records.write_records(docs.limit(0), f"file://{tmp_path}/e", PATH)).count() == 0
 
 
+def test_small_batches_are_written_with_one_lookup_of_equal_pieces(tmp_path, monkeypatch):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(token_records, "TaskContext", Task)
+    texts = [f"the same words, {k % 3}" for k in range(400)]
+    table = pa.table({"doc_id": pa.array(range(400), pa.int64()), "text": texts})
+    memo = CountingMemo()
+    monkeypatch.setattr(encoder(PATH), "memo", memo)
+    write = token_records._writer(f"file://{tmp_path}/r", PATH, 0, 1 << 20)
+    (files,) = write(iter(table.to_batches(max_chunksize=10)))
+    assert 0 < memo.looked <= 20
+    rows = [row for batch in token_records._read([files]) for row in batch.to_pylist()]
+    assert [(row["doc_id"], decode(row["ids"])) for row in rows] == [
+        (k, [*ids(text), 0]) for k, text in enumerate(texts)]
+
+
+def test_batches_keep_their_ids():
+    texts = ["a b", None, "", "x" * 100, "longer words " * 200_000, "a b"] * 3
+    batches = pa.table({"text": pa.array(texts)}).to_batches(max_chunksize=2)
+    got = [(batch.num_rows, [decode(raw) for raw in raws])
+           for batch, raws in encoder(PATH).encode_batches([*batches, batches[0][:0]])]
+    assert [n for n, _ in got] == [2] * 9 + [0]
+    assert sum((raws for _, raws in got), []) == [ids(text) for text in texts]
+    assert list(encoder(PATH).encode_batches([])) == []
+
+
 def test_index_allows_reads_in_any_order_and_damage_is_seen(spark, docs, tmp_path):
     files = token_records.write_records(docs.coalesce(1), f"file://{tmp_path}/r", PATH).collect()
     row = max(files, key=lambda f: f.records)
